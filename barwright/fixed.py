@@ -44,6 +44,5 @@ FEED_COLUMNS = {
 FEED_DATE_ALIASES = ["Date", "index", "Datetime"]
 
 # Report labels.
-REPORT_FOLDER_FORMAT = "'report_'yyMMdd'_'HHmm"
+REPORT_NAME_FORMAT = "report_%y%m%d_%H%M"
 DATE_LABEL_FORMAT = "dd/MM/yy"
-MONTH_LABEL_FORMAT = "yyyy-MM"

@@ -42,23 +42,28 @@ def build_silver(
     root: str,
     source: str = fixed.DEFAULT_SOURCE,
     trade_date=None,
+    since=None,
     as_of=None,
     processed_at=None,
 ) -> int:
-    """Bronze to silver: all dates, or one.
+    """Bronze to silver: all dates, one ``trade_date``, or all dates from ``since`` on.
 
-    One date looks up each ticker's last close before it, so its returns are those a full run would
-    give. The result is staged once, the gate reads the staged table, and only a table that passes
-    is written.
+    A partial run looks up each ticker's last close ahead of it, so its returns are those a full
+    run would give. A correction to an older date changes the return of the date after it as well:
+    run it with ``since``. The result is staged once, the gate reads the staged table, and only a
+    table that passes is written.
     """
     raw = layers.read_bronze(spark, root, source, trade_date)
+    if since is not None:
+        raw = raw.where(F.col("trade_date") >= F.lit(since).cast("date"))
     if raw.isEmpty():
         return 0
-    if trade_date is None:
+    first_date = trade_date or since
+    if first_date is None:
         clean = transform_silver(raw, processed_at)
     else:
         bars = staged(clean_bars(raw), "clean")
-        prior = prior_closes(layers.read_silver(spark, root), bars, trade_date)
+        prior = prior_closes(layers.read_silver(spark, root), bars, first_date)
         clean = select_silver_columns(add_processed_at(add_return_after(bars, prior), processed_at))
     checked = require_quality(staged(clean, "silver"), as_of)
     return layers.write_silver(checked, root)
@@ -114,7 +119,7 @@ def report_sections(
 
 
 def report_folder(root: str, report_time: datetime) -> str:
-    return f"{root}/reports/report_{report_time:%y%m%d_%H%M}"
+    return f"{root}/reports/{report_time.strftime(fixed.REPORT_NAME_FORMAT)}"
 
 
 def build_report(

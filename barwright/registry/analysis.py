@@ -69,16 +69,12 @@ def _describe_sql(column):
     return (
         f"SELECT '{column}' AS \"column\", count({column}) AS count, "
         f"count(*) FILTER (WHERE {column} IS NULL) AS null_count, "
-        + r6(
-            f"avg({column}) AS mean",
-            f"stddev_samp({column}) AS std",
-            f"CAST(min({column}) AS DOUBLE) AS min",
-            f"CAST(quantile_disc({column}, 0.25) AS DOUBLE) AS q25",
-            f"CAST(quantile_disc({column}, 0.5) AS DOUBLE) AS q50",
-            f"CAST(quantile_disc({column}, 0.75) AS DOUBLE) AS q75",
-            f"CAST(max({column}) AS DOUBLE) AS max",
-        )
-        + " FROM raw"
+        + r6(f"avg({column}) AS mean", f"stddev_samp({column}) AS std")
+        + f", CAST(min({column}) AS DOUBLE) AS min"
+        + f", CAST(quantile_disc({column}, 0.25) AS DOUBLE) AS q25"
+        + f", CAST(quantile_disc({column}, 0.5) AS DOUBLE) AS q50"
+        + f", CAST(quantile_disc({column}, 0.75) AS DOUBLE) AS q75"
+        + f", CAST(max({column}) AS DOUBLE) AS max FROM raw"
     )
 
 
@@ -132,7 +128,7 @@ def _(spark, folder):
          stddev_samp(close_price) OVER w AS std_20
   FROM daily
   WINDOW w AS (PARTITION BY ticker ORDER BY trade_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
-SELECT upper(ticker) AS ticker, trade_date, {r6("close_price", "sma_20", "std_20",
+SELECT upper(ticker) AS ticker, trade_date, close_price, {r6("sma_20", "std_20",
        "sma_20 + 2 * std_20 AS upper_band", "sma_20 - 2 * std_20 AS lower_band")} FROM bands"""
     ),
 )
@@ -216,7 +212,7 @@ def _(spark, folder):
 
 @query(
     "return_series",
-    oracle(f"SELECT ticker, trade_date, {r6('daily_return')} FROM silver", "part"),
+    oracle("SELECT ticker, trade_date, daily_return FROM silver", "part"),
 )
 def _(spark, folder):
     return analytics.return_series(silver_part(spark, folder))
@@ -224,7 +220,7 @@ def _(spark, folder):
 
 @query(
     "close_series",
-    oracle(f"SELECT ticker, trade_date, {r6('close')} FROM raw"),
+    oracle("SELECT ticker, trade_date, close FROM raw"),
 )
 def _(spark, folder):
     return analytics.return_series(raw_brand(spark, folder), value="close")

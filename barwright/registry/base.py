@@ -18,6 +18,35 @@ LOAD_TIME = datetime(2024, 1, 2, 3, 4, 5)
 PROCESS_TIME = datetime(2024, 1, 2, 4, 0, 0)
 
 
+# Picked values, and quotients of picked values, are the same doubles in any engine. What sums or
+# multiplies many values depends on their order in the last bits and is rounded on both sides.
+EXACT = {
+    "open",
+    "high",
+    "low",
+    "close",
+    "adj_close",
+    "open_price",
+    "high_price",
+    "low_price",
+    "close_price",
+    "daily_return",
+    "price",
+    "month_open",
+    "month_close",
+    "month_high",
+    "month_low",
+    "month_return",
+    "period_high",
+    "period_low",
+    "min",
+    "q25",
+    "q50",
+    "q75",
+    "max",
+}
+
+
 def query(name: str, sql: str | None = None):
     def register(build):
         if name in QUERIES:
@@ -35,9 +64,14 @@ def query(name: str, sql: str | None = None):
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Doubles rounded to 6 places, as the SQL side does."""
-    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.select(*[rounded(f"`{c}`").alias(c) if c in doubles else F.col(f"`{c}`") for c in df.columns])
+    """Doubles rounded to 6 places, as the SQL side does, except the exact ones."""
+
+    def shown(field):
+        c = F.col(f"`{field.name}`")
+        inexact = isinstance(field.dataType, T.DoubleType) and field.name not in EXACT
+        return rounded(c).alias(field.name) if inexact else c
+
+    return df.select(*[shown(field) for field in df.schema.fields])
 
 
 def raw_brand(spark, folder):
@@ -110,10 +144,12 @@ _BARS = {
     "events": _EVENT_BARS.format(ticker="event_type"),
     "users": _EVENT_BARS.format(ticker="user_id"),
     "orders": """
-  SELECT o_orderpriority AS ticker, CAST(date_trunc('month', o_orderdate) AS DATE) AS trade_date,
-         avg(o_totalprice) AS open, max(o_totalprice) AS high, min(o_totalprice) AS low,
-         avg(o_totalprice) AS close, avg(o_totalprice) AS adj_close, count(*) AS volume
-  FROM orders GROUP BY 1, 2""",
+  SELECT ticker, trade_date, mean AS open, high, low, mean AS close, mean AS adj_close, volume
+  FROM (SELECT o_orderpriority AS ticker,
+               CAST(date_trunc('month', o_orderdate) AS DATE) AS trade_date,
+               CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / 100 / count(*) AS mean,
+               max(o_totalprice) AS high, min(o_totalprice) AS low, count(*) AS volume
+        FROM orders GROUP BY 1, 2) AS o""",
 }
 _RAW_WITH_DEFECTS = """
   SELECT ticker, trade_date, open, high,
@@ -184,20 +220,16 @@ def r6(*columns: str) -> str:
     return ", ".join(parts)
 
 
-RAW_VALUES = r6("open", "high", "low", "close", "adj_close") + ", volume"
-CLEAN_VALUES = r6("open_price", "high_price", "low_price", "close_price", "adj_close") + ", volume"
+RAW_VALUES = "open, high, low, close, adj_close, volume"
+CLEAN_VALUES = "open_price, high_price, low_price, close_price, adj_close, volume"
 DAILY_VALUES = (
-    CLEAN_VALUES
-    + ", "
-    + r6("daily_return", "avg_volume_20d", "volatility_20d", "cum_return")
-    + ", year, month"
+    f"{CLEAN_VALUES}, daily_return, year, month, "
+    + r6("avg_volume_20d", "volatility_20d", "cum_return")
 )
-SUMMARY_VALUES = "first_date, last_date, " + r6(
-    "total_return", "avg_daily_volume", "avg_volatility", "period_high", "period_low"
+SUMMARY_VALUES = "first_date, last_date, period_high, period_low, " + r6(
+    "total_return", "avg_daily_volume", "avg_volatility"
 )
 MONTHLY_VALUES = (
-    "year, month, "
-    + r6("month_open", "month_close", "month_high", "month_low")
-    + ", month_volume, "
-    + r6("avg_daily_return", "month_return")
+    "year, month, month_open, month_close, month_high, month_low, month_volume, month_return, "
+    + r6("avg_daily_return")
 )

@@ -9,7 +9,6 @@ from barwright.registry.base import (
     PROCESS_TIME,
     oracle,
     query,
-    r6,
     raw_brand,
     raw_part,
     silver_brand,
@@ -20,16 +19,11 @@ from barwright.sources import bars
 
 _BAR_COLUMNS = ["ticker", "trade_date", *PRICE_COLUMNS, "adj_close", "volume"]
 _TYPED = (
-    "SELECT ticker, trade_date, "
-    + r6(
-        "open AS open_price",
-        "high AS high_price",
-        "low AS low_price",
-        "close AS close_price",
-        "coalesce(adj_close, close) AS adj_close",
-    )
-    + ", volume FROM raw"
+    "SELECT upper(ticker) AS ticker, trade_date, open AS open_price, high AS high_price, "
+    "low AS low_price, close AS close_price, coalesce(adj_close, close) AS adj_close, volume FROM raw"
 )
+_RETURNS = "SELECT upper(ticker) AS ticker, trade_date, daily_return FROM silver"
+_SILVER = f"SELECT upper(ticker) AS ticker, trade_date, {CLEAN_VALUES}, daily_return FROM silver"
 _HAS_REQUIRED = (
     "ticker IS NOT NULL AND trade_date IS NOT NULL AND close IS NOT NULL AND volume IS NOT NULL"
 )
@@ -48,8 +42,7 @@ def _(spark, folder):
         F.concat(F.lit(" \t"), F.lower("ticker"), F.lit("\n")).alias("ticker"),
         *[F.col(c).cast("string").alias(c) for c in raw.columns if c != "ticker"],
     ).fillna("n/a", subset=["close"])
-    typed = silver.cast_types(text).select(*_BAR_COLUMNS)
-    return typed.withColumn("ticker", F.initcap("ticker"))
+    return silver.cast_types(text).select(*_BAR_COLUMNS)
 
 
 @query(
@@ -76,21 +69,15 @@ def _(spark, folder):
 @query(
     "deduplicate",
     oracle(
-        f"SELECT ticker, trade_date, {CLEAN_VALUES} FROM ("
-        f"SELECT ticker, trade_date, open AS open_price, high AS high_price, low AS low_price, "
-        "close AS close_price, adj_close, volume FROM raw "
-        "QUALIFY row_number() OVER (PARTITION BY ticker, trade_date "
-        "ORDER BY adj_close DESC NULLS LAST, close DESC NULLS LAST, volume DESC) = 1) AS d"
+        f"{_TYPED} QUALIFY row_number() OVER (PARTITION BY raw.ticker, trade_date "
+        "ORDER BY raw.adj_close DESC NULLS LAST, close DESC NULLS LAST, volume DESC) = 1"
     ),
 )
 def _(spark, folder):
     return silver.deduplicate(_typed(spark, folder))
 
 
-@query(
-    "daily_return",
-    oracle(f"SELECT ticker, trade_date, {r6('daily_return')} FROM silver"),
-)
+@query("daily_return", oracle(_RETURNS))
 def _(spark, folder):
     clean = silver.clean_bars(raw_brand(spark, folder))
     return silver.add_daily_return(clean).select("ticker", "trade_date", "daily_return")
@@ -101,7 +88,7 @@ _SPLIT = "1998-01-01"
 
 @query(
     "daily_return_incremental",
-    oracle(f"SELECT ticker, trade_date, {r6('daily_return')} FROM silver", "part"),
+    oracle(_RETURNS, "part"),
 )
 def _(spark, folder):
     # bars before the split as loaded earlier, the rest as one later load: together a full run
@@ -115,20 +102,12 @@ def _(spark, folder):
     return earlier.select(*columns).unionByName(later.select(*columns))
 
 
-@query(
-    "silver_bars",
-    oracle(f"SELECT upper(ticker) AS ticker, trade_date, {CLEAN_VALUES}, {r6('daily_return')} FROM silver"),
-)
+@query("silver_bars", oracle(_SILVER))
 def _(spark, folder):
     return silver_brand(spark, folder).drop("processed_at")
 
 
-@query(
-    "silver_bars_part",
-    oracle(
-        f"SELECT ticker, trade_date, {CLEAN_VALUES}, {r6('daily_return')} FROM silver", "part"
-    ),
-)
+@query("silver_bars_part", oracle(_SILVER, "part"))
 def _(spark, folder):
     return silver_part(spark, folder).drop("processed_at")
 
@@ -211,9 +190,9 @@ def _(spark, folder):
 @query(
     "quarantine",
     oracle(
-        f"""
-SELECT ticker, trade_date, {r6("open AS open_price", "high AS high_price", "low AS low_price",
-                               "close AS close_price", "adj_close")}, volume,
+        """
+SELECT upper(ticker) AS ticker, trade_date, open AS open_price, high AS high_price,
+       low AS low_price, close AS close_price, coalesce(adj_close, close) AS adj_close, volume,
        concat_ws('; ', CASE WHEN close IS NULL THEN 'missing close_price' END,
                        CASE WHEN low < 0 THEN 'negative low_price' END) AS reasons
 FROM raw WHERE close IS NULL OR low < 0"""

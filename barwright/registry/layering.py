@@ -1,4 +1,9 @@
-"""Stored layers: what was written is read back."""
+"""Stored layers: what was written is read back.
+
+Bars of events and orders have tens of dates, those of lineitem thousands; a partition folder per
+date is what the layers are for, but thousands of folders with a few rows each are not, so the
+whole event and order tables make the round trips.
+"""
 
 from datetime import date
 
@@ -6,108 +11,115 @@ from barwright.operators import gold
 from barwright.plans import medallion
 from barwright.registry.base import (
     CLEAN_VALUES,
-    LOAD_TIME,
     DAILY_VALUES,
+    LOAD_TIME,
     MONTHLY_VALUES,
     PROCESS_TIME,
     RAW_VALUES,
     SUMMARY_VALUES,
+    daily_part,
     oracle,
     query,
-    r6,
-    raw_brand,
     silver_brand,
     silver_events,
 )
 from barwright.session import new_folder
 from barwright.sources import bars, layers
 
-_DAY = "1998-03-16"
-_EVENT_DAY = "2024-01-15"
+_DAY = "2024-01-15"
+_START, _MIDDLE, _END = date(1900, 1, 1), date(2024, 1, 16), date(2100, 1, 1)
 
 
-@query(
-    "bronze_roundtrip",
-    oracle(f"SELECT ticker, trade_date, {RAW_VALUES}, 'lineitem' AS source FROM raw"),
-)
+def _user_bars(spark, folder):
+    return bars.bars_from_events(spark, folder, by="user_id")
+
+
+_BRONZE = f"SELECT ticker, trade_date, {RAW_VALUES}, 'events' AS source FROM raw"
+
+
+@query("bronze_roundtrip", oracle(_BRONZE, "users"))
 def _(spark, folder):
     root = new_folder(spark, "lake")
-    raw = raw_brand(spark, folder)
-    layers.write_bronze(raw, root, "lineitem", LOAD_TIME)
-    return layers.read_bronze(spark, root, "lineitem").drop("ingested_at")
+    layers.write_bronze(_user_bars(spark, folder), root, "events", LOAD_TIME)
+    return layers.read_bronze(spark, root, "events").drop("ingested_at")
 
 
-@query(
-    "bronze_read_date",
-    oracle(
-        f"SELECT ticker, trade_date, {RAW_VALUES}, 'events' AS source FROM raw "
-        f"WHERE trade_date = DATE '{_EVENT_DAY}'",
-        "users",
-    ),
-)
+@query("bronze_read_date", oracle(f"{_BRONZE} WHERE trade_date = DATE '{_DAY}'", "users"))
 def _(spark, folder):
     root = new_folder(spark, "lake")
-    layers.write_bronze(bars.bars_from_events(spark, folder, "user_id"), root, "events", LOAD_TIME)
-    return layers.read_bronze(spark, root, "events", _EVENT_DAY).drop("ingested_at")
+    layers.write_bronze(_user_bars(spark, folder), root, "events", LOAD_TIME)
+    return layers.read_bronze(spark, root, "events", _DAY).drop("ingested_at")
 
 
-_SILVER = f"SELECT upper(ticker) AS ticker, trade_date, {CLEAN_VALUES}, {r6('daily_return')} FROM silver"
+_SILVER = f"SELECT upper(ticker) AS ticker, trade_date, {CLEAN_VALUES}, daily_return FROM silver"
 
 
-@query("silver_roundtrip", oracle(_SILVER))
+@query("silver_roundtrip", oracle(_SILVER, "events"))
 def _(spark, folder):
     root = new_folder(spark, "lake")
-    layers.write_silver(silver_brand(spark, folder), root)
+    layers.write_silver(silver_events(spark, folder), root)
     return layers.read_silver(spark, root).drop("processed_at")
 
 
-@query(
-    "silver_read_date", oracle(f"{_SILVER} WHERE trade_date = DATE '{_EVENT_DAY}'", "events")
-)
+@query("silver_read_date", oracle(f"{_SILVER} WHERE trade_date = DATE '{_DAY}'", "events"))
 def _(spark, folder):
     root = new_folder(spark, "lake")
     layers.write_silver(silver_events(spark, folder), root)
-    return layers.read_silver(spark, root, _EVENT_DAY).drop("processed_at")
+    return layers.read_silver(spark, root, _DAY).drop("processed_at")
 
 
-@query(
-    "gold_roundtrip", oracle(f"SELECT upper(ticker) AS ticker, {MONTHLY_VALUES} FROM monthly")
-)
+_MONTHLY = f"SELECT upper(ticker) AS ticker, {MONTHLY_VALUES} FROM monthly"
+
+
+@query("gold_roundtrip", oracle(_MONTHLY))
 def _(spark, folder):
     root = new_folder(spark, "lake")
     layers.write_gold(gold.monthly_returns(silver_brand(spark, folder)), root, "monthly_returns")
     return layers.read_gold(spark, root, "monthly_returns")
 
 
-def _run_layers(spark, folder):
-    """All layers over the whole table, loading its dates in two runs, the second one repeated."""
+_DAILY = f"SELECT upper(ticker) AS ticker, trade_date, {DAILY_VALUES} FROM daily"
+
+
+@query("gold_roundtrip_part", oracle(_DAILY, "part"))
+def _(spark, folder):
     root = new_folder(spark, "lake")
-    raw = raw_brand(spark, folder)
-    medallion.load_bronze(raw, root, "lineitem", start=date(1900, 1, 1), end=date(1998, 1, 1))
+    layers.write_gold(daily_part(spark, folder), root, "daily_metrics")
+    return layers.read_gold(spark, root, "daily_metrics").drop("processed_at")
+
+
+@query("full_batch", oracle(_DAILY, "users"))
+def _(spark, folder):
+    """Bronze, silver and gold, loaded in two runs of which the second is repeated."""
+    root = new_folder(spark, "lake")
+    raw = _user_bars(spark, folder)
+    medallion.load_bronze(raw, root, "events", start=_START, end=_MIDDLE)
     for _ in range(2):
-        medallion.load_bronze(raw, root, "lineitem", start=date(1998, 1, 1), end=date(2100, 1, 1))
-    medallion.build_silver(spark, root, "lineitem", processed_at=PROCESS_TIME)
+        medallion.load_bronze(raw, root, "events", start=_MIDDLE, end=_END)
+    medallion.build_silver(spark, root, "events", processed_at=PROCESS_TIME)
     medallion.build_gold(spark, root)
-    return root
+    return layers.read_gold(spark, root, "daily_metrics").drop("processed_at")
 
 
-@query(
-    "full_batch",
-    oracle(f"SELECT upper(ticker) AS ticker, trade_date, {DAILY_VALUES} FROM daily"),
-)
+@query("full_batch_since", oracle(_DAILY, "users"))
 def _(spark, folder):
-    root = _run_layers(spark, folder)
+    """As two loads: silver for the first dates, then for the later ones on top of them."""
+    root = new_folder(spark, "lake")
+    raw = _user_bars(spark, folder)
+    medallion.load_bronze(raw, root, "events", start=_START, end=_MIDDLE)
+    medallion.build_silver(spark, root, "events", processed_at=PROCESS_TIME)
+    medallion.load_bronze(raw, root, "events", start=_MIDDLE, end=_END)
+    medallion.build_silver(spark, root, "events", since=_MIDDLE, processed_at=PROCESS_TIME)
+    medallion.build_gold(spark, root)
     return layers.read_gold(spark, root, "daily_metrics").drop("processed_at")
 
 
 @query(
-    "full_batch_events",
-    oracle(f"SELECT ticker AS ticker, {SUMMARY_VALUES} FROM (SELECT * REPLACE (upper(ticker) AS ticker) FROM summary) AS s", "events"),
+    "full_batch_summary",
+    oracle(f"SELECT upper(ticker) AS ticker, {SUMMARY_VALUES} FROM summary", "events"),
 )
 def _(spark, folder):
+    """All four jobs, report included."""
     root = new_folder(spark, "lake")
-    raw = bars.bars_from_events(spark, folder)
-    medallion.run_all(
-        spark, raw, root, "events", start=date(1900, 1, 1), end=date(2100, 1, 1)
-    )
+    medallion.run_all(spark, bars.bars_from_events(spark, folder), root, "events", start=_START, end=_END)
     return layers.read_gold(spark, root, "portfolio_summary")

@@ -8,7 +8,6 @@ from barwright.registry.base import (
     RAW_VALUES,
     oracle,
     query,
-    r6,
     raw_brand,
 )
 from barwright.session import new_folder
@@ -77,15 +76,8 @@ def _landed_feed(spark, folder):
 @query(
     "normalize_feed",
     oracle(
-        "SELECT ticker, trade_date, "
-        + r6(
-            "open",
-            "high",
-            "low",
-            "close",
-            "CASE WHEN ticker LIKE 'Brand#1%' THEN close ELSE adj_close END AS adj_close",
-        )
-        + ", volume FROM raw"
+        "SELECT ticker, trade_date, open, high, low, close, volume, "
+        "CASE WHEN ticker LIKE 'Brand#1%' THEN close ELSE adj_close END AS adj_close FROM raw"
     ),
 )
 def _(spark, folder):
@@ -125,11 +117,7 @@ def _landed_histories(spark, folder):
 
 @query(
     "json_history_flatten",
-    oracle(
-        "SELECT ticker || '.SA' AS ticker, trade_date, "
-        + r6("open", "high", "low", "close", "adj_close")
-        + ", volume FROM raw"
-    ),
+    oracle(f"SELECT ticker || '.SA' AS ticker, trade_date, {RAW_VALUES} FROM raw"),
 )
 def _(spark, folder):
     return feeds.flatten_history(feeds.read_json_responses(spark, _landed_histories(spark, folder)))
@@ -139,8 +127,8 @@ def _(spark, folder):
     "json_quote_first",
     oracle(
         "SELECT ticker AS symbol, CAST(max(trade_date) AS VARCHAR) AS quote_date, "
-        + r6("arg_max(close, trade_date) AS price")
-        + ", arg_max(volume, trade_date) AS volume FROM bars GROUP BY ticker",
+        "arg_max(close, trade_date) AS price, arg_max(volume, trade_date) AS volume "
+        "FROM bars GROUP BY ticker",
         "part",
     ),
 )
@@ -166,30 +154,24 @@ def _(spark, folder):
     )
 
 
-_UNION_VALUES = r6("open", "high", "low", "close")
-
-
 @query(
     "multi_source_union",
     oracle(
         f"""
-SELECT ticker, trade_date, {_UNION_VALUES}, {r6("adj_close")}, volume, 'lineitem' AS source FROM raw
+SELECT ticker, trade_date, {RAW_VALUES}, 'lineitem' AS source FROM raw
 UNION ALL
-SELECT event_type, CAST(ts AS DATE), {r6("arg_min(value, event_id) AS open", "max(value) AS high",
-                                          "min(value) AS low", "arg_max(value, event_id) AS close")},
-       CAST(NULL AS DOUBLE), count(*), 'events' FROM events GROUP BY 1, 2
+SELECT event_type, CAST(ts AS DATE), arg_min(value, event_id), max(value), min(value),
+       arg_max(value, event_id), NULL, count(*), 'events' FROM events GROUP BY 1, 2
 UNION ALL
-SELECT o_orderpriority, CAST(date_trunc('month', o_orderdate) AS DATE),
-       {r6("avg(o_totalprice) AS open", "max(o_totalprice) AS high", "min(o_totalprice) AS low",
-           "avg(o_totalprice) AS close", "avg(o_totalprice) AS adj_close")}, count(*), 'orders'
-FROM orders GROUP BY 1, 2"""
+SELECT CAST(user_id AS VARCHAR), CAST(ts AS DATE), arg_min(value, event_id), max(value), min(value),
+       arg_max(value, event_id), arg_max(value, event_id), count(*), 'users' FROM events GROUP BY 1, 2"""
     ),
 )
 def _(spark, folder):
     sources = {
         "lineitem": raw_brand(spark, folder),
         "events": bars.bars_from_events(spark, folder).drop("adj_close"),
-        "orders": bars.bars_from_orders(spark, folder),
+        "users": bars.bars_from_events(spark, folder, by="user_id"),
     }
     return feeds.assemble(
         *[layers.with_load_columns(df, name, LOAD_TIME) for name, df in sources.items()]

@@ -59,13 +59,17 @@ def bars_from_events(spark: SparkSession, folder: str, by: str = "event_type") -
 
 
 def bars_from_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Monthly order totals per priority: open = close = the mean."""
+    """Monthly order totals per priority: open = close = the mean.
+
+    The mean is taken over whole cents, so it does not depend on the order of summation.
+    """
     orders = table(spark, folder, "orders").select(
         F.col("o_orderpriority").alias("ticker"),
         F.to_date(F.date_trunc("month", "o_orderdate")).alias("trade_date"),
         "o_totalprice",
     )
-    mean = F.avg("o_totalprice")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    mean = F.sum(cents).cast("double") / 100 / F.count(F.lit(1))
     return orders.groupBy("ticker", "trade_date").agg(
         mean.alias("open"),
         F.max("o_totalprice").alias("high"),

@@ -91,7 +91,7 @@ def flatten_history(responses: DataFrame, suffix: str = fixed.TICKER_SUFFIX) ->
     return conform(
         entries.select(
             "ticker",
-            F.try_to_date("date", F.lit("yyyy-MM-dd")).alias("trade_date"),
+            F.try_to_date("date", "yyyy-MM-dd").alias("trade_date"),
             "open",
             "high",
             "low",
