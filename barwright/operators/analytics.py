@@ -118,15 +118,17 @@ def return_histogram(
 ) -> DataFrame:
     """Returns per ticker counted in ``bins`` equal bins (1..bins) over one common range.
 
-    Without a range it spans the smallest to the largest return, found by two scalar subqueries;
-    with one, returns outside it land in bins 0 and bins + 1.
+    Without a range it spans the smallest to the largest return, found by scalar subqueries that
+    Spark merges into one; with a range, returns outside it land in bins 0 and bins + 1.
     """
     returns = daily.where(all_present("daily_return")).select("ticker", "daily_return")
     lo = F.lit(float(low)) if low is not None else returns.select(F.min("daily_return")).scalar()
     hi = F.lit(float(high)) if high is not None else returns.select(F.max("daily_return")).scalar()
     number = F.width_bucket("daily_return", lo, hi, F.lit(bins))
-    # the top edge belongs to the last bin; a range of zero width has only one
-    number = F.when(F.col("daily_return") == hi, F.when(lo == hi, 1).otherwise(bins)).otherwise(number)
+    # inside the range the number stays in 1..bins: at the top edge, for quotients rounded up to it
+    # and for a range of zero width, whose number is null
+    inside = F.col("daily_return").between(lo, hi)
+    number = F.when(inside, F.least(F.lit(bins), F.greatest(F.lit(1), number))).otherwise(number)
     return (
         returns.select("ticker", number.cast("int").alias("bin"))
         .groupBy("ticker", "bin")

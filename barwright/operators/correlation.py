@@ -29,7 +29,7 @@ def _grid(rows: pd.DataFrame, dates: np.ndarray):
     return tickers, values, present
 
 
-def _tile_moments(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _tile_moments(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     left_group, right_group = key[0], key[1]
     dates = np.unique(rows["day"].to_numpy())
     ta, x, mx = _grid(rows[rows["ticker_group"] == left_group], dates)

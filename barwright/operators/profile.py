@@ -28,12 +28,11 @@ def null_counts(df: DataFrame) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
 
 
-def describe(df: DataFrame, quartile_accuracy: int = 1_000_000) -> DataFrame:
+def describe(df: DataFrame, quartile_accuracy: int = 10_000) -> DataFrame:
     """Count, nulls, mean, std, min, quartiles and max of every numeric column, one row each.
 
-    One aggregate over one scan. Quartiles come from a mergeable sketch of bounded size, whose rank
-    error is at most n / quartile_accuracy: exact up to about that many rows, and a millionth of
-    the rows beyond.
+    One aggregate over one scan. Quartiles come from a mergeable sketch whose rank error is at most
+    n / quartile_accuracy; its size grows with the accuracy, not with the rows.
     """
     numeric = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 

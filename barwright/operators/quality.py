@@ -1,65 +1,95 @@
 """Quality gate and row validation for clean bars."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from barwright.functions.series import by_date
 from barwright.operators.silver import REQUIRED_COLUMNS
 from barwright.schemas import PRICE_COLUMNS, SERIES_KEYS
+from barwright.session import staged
 
 
 class QualityError(AssertionError):
     """A check of the quality gate failed."""
 
 
-def _checks(columns):
+def _row_checks(columns, as_of):
     """name -> row condition that counts as a violation; columns the frame lacks are skipped."""
+    today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     nulls = {f"null_{c}": F.col(c).isNull() for c in REQUIRED_COLUMNS if c in columns}
     prices = {f"non_positive_{c}": F.col(c) <= 0 for c in PRICE_COLUMNS if c in columns}
-    return {**nulls, **prices}
+    return {**nulls, **prices, "future_dates": F.col("trade_date") > today}
+
+
+def _counts(checks):
+    return [
+        F.count(F.lit(1)).alias("n_rows"),
+        F.max("trade_date").alias("last_date"),
+        *[F.count_if(condition).alias(name) for name, condition in checks.items()],
+    ]
 
 
 def quality_report(df: DataFrame, as_of=None, keys=SERIES_KEYS) -> DataFrame:
-    """All checks as one row of violation counts, from a single pass.
+    """All checks as one row of violation counts.
 
-    Violations are counted per key first (partial aggregation ahead of the shuffle), so repeated
-    keys, hot or not, fall out of the same aggregate as the other checks.
+    The row checks are one aggregate that shuffles nothing but its totals. Repeated keys are
+    counted apart, so that only the key columns are scanned and shuffled for them, folded per map
+    task before the shuffle.
     """
-    today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
-    checks = _checks(df.columns)
-    checks["future_dates"] = F.col("trade_date") > today
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.max("trade_date").alias("_last"),
-        *[F.count_if(condition).alias(name) for name, condition in checks.items()],
-    )
-    zero = F.lit(0).cast("bigint")
-    report = per_key.agg(
-        F.coalesce(F.sum("n_rows"), zero).alias("n_rows"),
-        F.max("_last").alias("last_date"),
-        *[F.coalesce(F.sum(name), zero).alias(name) for name in checks],
-        F.coalesce(F.sum(F.col("n_rows") - 1), zero).alias("duplicate_rows"),
+    checks = _row_checks(df.columns, as_of)
+    repeats = (
+        df.groupBy(*keys)
+        .agg((F.count(F.lit(1)) - 1).alias("n"))
+        .agg(F.coalesce(F.sum("n"), F.lit(0).cast("bigint")))
+        .scalar()
     )
+    report = df.agg(*_counts(checks)).withColumn("duplicate_rows", repeats)
     violations = sum((F.col(name) for name in [*checks, "duplicate_rows"]), F.lit(0))
     return report.withColumn("passed", violations == 0)
 
 
+def _refuse(counts: dict):
+    """QualityError naming every check with a count above zero, if there is one."""
+    figures = {k: v for k, v in counts.items() if k not in ("n_rows", "last_date", "passed")}
+    failed = {name: count for name, count in figures.items() if count}
+    if failed:
+        raise QualityError(f"quality checks failed: {failed}, last date {counts['last_date']}")
+
+
 def require_quality(df: DataFrame, as_of=None, keys=SERIES_KEYS) -> DataFrame:
     """``df`` unchanged if every check passes, else QualityError naming the failures.
 
-    Runs one aggregate and brings its single row to the driver. Give it a stored table: ``df`` is
-    read again by whoever writes it.
+    Works on any frame, at the price of scanning it once more; brings one row to the driver.
     """
-    row = quality_report(df, as_of, keys).first().asDict()
-    if not row["passed"]:
-        failed = {
-            name: count
-            for name, count in row.items()
-            if name not in ("n_rows", "last_date", "passed") and count
-        }
-        raise QualityError(f"quality checks failed: {failed}, last date {row['last_date']}")
+    _refuse(quality_report(df, as_of, keys).first().asDict())
     return df
 
 
+def staged_if_sound(df: DataFrame, as_of=None) -> DataFrame:
+    """Stage a silver frame and check it in the same pass; QualityError if it fails.
+
+    For frames with one row per (ticker, trade_date) meant, such as ``transform_silver`` returns:
+    a repeated key then is a row with the date of the row before it, which the window that
+    computes the return can tell without another shuffle or sort. The counts are observed by the
+    tasks that write the staged table.
+    """
+    previous = F.lag("trade_date").over(by_date())
+    repeated = (F.row_number().over(by_date()) > 1) & previous.eqNullSafe(F.col("trade_date"))
+    seen = Observation()
+    checked = (
+        df.withColumn("_repeated", repeated)
+        .observe(
+            seen,
+            *_counts(_row_checks(df.columns, as_of)),
+            F.count_if("_repeated").alias("duplicate_rows"),
+        )
+        .drop("_repeated")
+    )
+    stored = staged(checked, "silver")
+    _refuse(seen.get)
+    return stored
+
+
 def add_reject_reasons(df: DataFrame) -> DataFrame:
     """``reject_reasons``: what keeps a typed row from being a valid clean bar (empty if nothing)."""
     required = ["ticker", "trade_date", *PRICE_COLUMNS, "adj_close", "volume"]

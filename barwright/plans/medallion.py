@@ -9,7 +9,7 @@ from barwright import fixed
 from barwright.operators import analytics, gold, report
 from barwright.operators.correlation import correlation_matrix
 from barwright.operators.incremental import add_return_after, prior_closes
-from barwright.operators.quality import require_quality
+from barwright.operators.quality import staged_if_sound
 from barwright.operators.silver import (
     add_processed_at,
     clean_bars,
@@ -50,8 +50,8 @@ def build_silver(
 
     A partial run looks up each ticker's last close ahead of it, so its returns are those a full
     run would give. A correction to an older date changes the return of the date after it as well:
-    run it with ``since``. The result is staged once, the gate reads the staged table, and only a
-    table that passes is written.
+    run it with ``since``. The result is staged and checked in one pass, and only a table that
+    passes is written.
     """
     raw = layers.read_bronze(spark, root, source, trade_date)
     if since is not None:
@@ -65,8 +65,7 @@ def build_silver(
         bars = staged(clean_bars(raw), "clean")
         prior = prior_closes(layers.read_silver(spark, root), bars, first_date)
         clean = select_silver_columns(add_processed_at(add_return_after(bars, prior), processed_at))
-    checked = require_quality(staged(clean, "silver"), as_of)
-    return layers.write_silver(checked, root)
+    return layers.write_silver(staged_if_sound(clean, as_of), root)
 
 
 def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:

@@ -40,9 +40,6 @@ EXACT = {
     "period_high",
     "period_low",
     "min",
-    "q25",
-    "q50",
-    "q75",
     "max",
 }
 

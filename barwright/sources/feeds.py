@@ -20,13 +20,15 @@ def read_feed_files(spark: SparkSession, path, columns, sep: str = ",") -> DataF
     """One read over any number of delimited files, every field as text.
 
     Lines with the wrong number of fields keep their text in ``_corrupt_record`` and do not stop
-    the others.
+    the others. Column pruning is off: with it a line only counts as corrupt if one of the columns
+    a query happens to use is affected.
     """
     return (
         spark.read.schema(feed_schema(columns))
         .option("header", True)
         .option("sep", sep)
         .option("mode", "PERMISSIVE")
+        .option("columnPruning", False)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )

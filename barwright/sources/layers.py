@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from barwright import fixed
 from barwright.schemas import BRONZE_SCHEMA, GOLD_SCHEMAS, SILVER_SCHEMA, conform, empty
+from barwright.session import new_folder
 
 
 def bronze_path(root: str, source: str = fixed.DEFAULT_SOURCE) -> str:
@@ -26,8 +27,11 @@ def gold_path(root: str, name: str) -> str:
     return f"{root}/gold/{name}"
 
 
-def _write(df: DataFrame, path: str, partitions, order, mode: str) -> int:
-    """Write and return the number of rows, counted by the write itself."""
+def _write(df: DataFrame, path: str, partitions, order, mode: str = "overwrite") -> int:
+    """Write and return the number of rows, counted by the write itself.
+
+    No rows, no change: with partitions, only those with rows are touched.
+    """
     counted = Observation()
     rows = df.hint("rebalance", *partitions).sortWithinPartitions(*partitions, *order)
     writer = (
@@ -90,10 +94,8 @@ def read_bronze(
 
 
 def write_silver(df: DataFrame, root: str, schema=SILVER_SCHEMA) -> int:
-    """Store clean bars, replacing the dates present in ``df``."""
-    if df.isEmpty():
-        return 0
-    return _write(conform(df, schema), silver_path(root), ["trade_date"], ["ticker"], "overwrite")
+    """Store clean bars, replacing the dates present in ``df``; returns the rows written."""
+    return _write(conform(df, schema), silver_path(root), ["trade_date"], ["ticker"])
 
 
 def read_silver(spark: SparkSession, root: str, trade_date=None, schema=SILVER_SCHEMA) -> DataFrame:
@@ -103,15 +105,21 @@ def read_silver(spark: SparkSession, root: str, trade_date=None, schema=SILVER_S
 def write_gold(df: DataFrame, root: str, name: str) -> int:
     """Store a gold table, partitioned by year and month where it has them.
 
-    A table without them is replaced whole, unless ``df`` is empty.
+    A table without them is replaced whole. It is staged first: whether there are rows to replace
+    it with is only known once they are computed, and they should not be computed twice.
     """
-    if df.isEmpty():
-        return 0
     schema = GOLD_SCHEMAS.get(name)
     rows = df if schema is None else conform(df, schema)
-    partitions = ["year", "month"] if {"year", "month"} <= set(df.columns) else []
     order = [c for c in ("ticker", "trade_date") if c in df.columns]
-    return _write(rows, gold_path(root, name), partitions, order, "overwrite")
+    path = gold_path(root, name)
+    if {"year", "month"} <= set(df.columns):
+        return _write(rows, path, ["year", "month"], order)
+    spark = df.sparkSession
+    folder = new_folder(spark, name)
+    n_rows = _write(rows, folder, [], order)
+    if n_rows:
+        _write(spark.read.schema(rows.schema).parquet(folder), path, [], order)
+    return n_rows
 
 
 def read_gold(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:

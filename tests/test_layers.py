@@ -1,0 +1,122 @@
+from datetime import date, datetime
+from pathlib import Path
+
+import pytest
+from conftest import D2, D3, RAW_ROWS
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from barwright import schemas
+from barwright.operators import gold
+from barwright.sources import layers
+
+
+def partitions(path):
+    return sorted(p.name for p in Path(path).iterdir() if "=" in p.name)
+
+
+def test_bronze_has_one_folder_per_date_and_load_columns(spark, raw_df, tmp_path):
+    stamp = datetime(2024, 1, 4, 12)
+    assert layers.write_bronze(raw_df, str(tmp_path), "feed", stamp) == 5
+    assert partitions(tmp_path / "bronze/feed") == ["trade_date=2024-01-02", "trade_date=2024-01-03"]
+    stored = layers.read_bronze(spark, str(tmp_path), "feed")
+    assert stored.columns == schemas.BRONZE_SCHEMA.fieldNames()
+    rows = stored.collect()
+    assert {r.source for r in rows} == {"feed"} and {r.ingested_at for r in rows} == {stamp}
+    assert sorted(tuple(r)[:8] for r in rows) == sorted(RAW_ROWS)
+
+
+def test_writing_a_day_again_adds_nothing_and_leaves_other_days(spark, raw_df, tmp_path):
+    root = str(tmp_path)
+    layers.write_bronze(raw_df, root)
+    layers.write_bronze(raw_df, root)
+    assert layers.read_bronze(spark, root).count() == 5
+    corrected = raw_df.where(F.col("trade_date") == D3).withColumn("close", F.lit(1.0))
+    layers.write_bronze(corrected, root)
+    assert layers.read_bronze(spark, root).count() == 5
+    assert {r.close for r in layers.read_bronze(spark, root, trade_date="2024-01-03").collect()} == {1.0}
+
+
+def test_append_keeps_what_other_loads_brought(spark, raw_df, tmp_path):
+    root = str(tmp_path)
+    layers.write_bronze(raw_df.where("ticker = 'PETR4.SA'"), root)
+    layers.write_bronze(raw_df.where("ticker <> 'PETR4.SA'"), root, mode="append")
+    assert layers.read_bronze(spark, root).count() == 5
+
+
+def test_empty_bronze_write_leaves_no_folder(raw_df, tmp_path):
+    assert layers.write_bronze(raw_df.limit(0), str(tmp_path), "feed") == 0
+    assert not (tmp_path / "bronze").exists()
+
+
+def test_missing_paths_read_as_typed_empty_frames(spark, tmp_path):
+    root = str(tmp_path)
+    for df, schema in [
+        (layers.read_bronze(spark, root, "nonexistent"), schemas.BRONZE_SCHEMA),
+        (layers.read_silver(spark, root), schemas.SILVER_SCHEMA),
+        (layers.read_gold(spark, root, "monthly_returns"), schemas.MONTHLY_RETURNS_SCHEMA),
+    ]:
+        assert df.columns == schema.fieldNames() and df.isEmpty()
+
+
+def test_one_date_reads_one_partition(spark, raw_df, silver_df, tmp_path):
+    root = str(tmp_path)
+    layers.write_bronze(raw_df, root)
+    layers.write_silver(silver_df, root)
+    for df in (
+        layers.read_bronze(spark, root, trade_date=D2),
+        layers.read_silver(spark, root, trade_date="2024-01-02"),
+    ):
+        assert df.count() == 3 and {r.trade_date for r in df.collect()} == {D2}
+        scan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(trade_date" in scan
+
+
+def test_no_century_is_lost(spark, make_raw, tmp_path):
+    rows = [("A", date(y, 1, 2), 1.0, 1.0, 1.0, 1.0, 1.0, y) for y in (1924, 2024)]
+    layers.write_bronze(make_raw(rows), str(tmp_path))
+    assert [r.volume for r in layers.read_bronze(spark, str(tmp_path), trade_date="1924-01-02").collect()] == [1924]
+
+
+def test_silver_with_decimal_prices(spark, silver_df, tmp_path):
+    schema = schemas.with_decimal_prices(schemas.SILVER_SCHEMA)
+    layers.write_silver(silver_df, str(tmp_path), schema)
+    stored = layers.read_silver(spark, str(tmp_path), schema=schema)
+    assert stored.schema["close_price"].dataType == T.DecimalType(18, 4)
+    assert stored.schema["daily_return"].dataType == T.DoubleType()
+    assert stored.count() == 5
+
+
+def test_gold_tables(spark, silver_df, tmp_path):
+    root = str(tmp_path)
+    daily = gold.daily_metrics(silver_df)
+    summary = gold.portfolio_summary(daily)
+    assert layers.write_gold(daily, root, "daily_metrics") == 5
+    assert layers.write_gold(summary, root, "portfolio_summary") == 3
+    assert partitions(tmp_path / "gold/daily_metrics") == ["year=2024"]
+    assert partitions(tmp_path / "gold/daily_metrics/year=2024") == ["month=1"]
+    assert sorted(layers.read_gold(spark, root, "daily_metrics").collect()) == sorted(daily.collect())
+    assert sorted(layers.read_gold(spark, root, "portfolio_summary").collect()) == sorted(summary.collect())
+
+
+def test_empty_gold_write_keeps_the_table(spark, silver_df, tmp_path):
+    root = str(tmp_path)
+    summary = gold.portfolio_summary(gold.daily_metrics(silver_df))
+    layers.write_gold(summary, root, "portfolio_summary")
+    assert layers.write_gold(summary.limit(0), root, "portfolio_summary") == 0
+    assert layers.read_gold(spark, root, "portfolio_summary").count() == 3
+
+
+def test_older_files_lacking_a_column_read_as_null(spark, silver_df, tmp_path):
+    root = str(tmp_path)
+    monthly = gold.monthly_returns(silver_df)
+    layers.write_gold(monthly, root, "monthly_returns")
+    narrow = monthly.withColumn("year", F.lit(2023)).drop("avg_daily_return")
+    narrow.write.mode("append").partitionBy("year", "month").parquet(layers.gold_path(root, "monthly_returns"))
+    rows = layers.read_gold(spark, root, "monthly_returns").where("year = 2023").collect()
+    assert len(rows) == 3 and all(r.avg_daily_return is None for r in rows)
+
+
+def test_unknown_gold_table_needs_a_schema(spark, tmp_path):
+    with pytest.raises(ValueError, match="no schema"):
+        layers.read_gold(spark, str(tmp_path), "other")

@@ -1,0 +1,139 @@
+import math
+from datetime import date, timedelta
+
+import pytest
+from conftest import D2, D3, by_key
+
+from barwright.operators import silver
+from barwright.schemas import PRICE_COLUMNS, SILVER_SCHEMA
+from pyspark.sql import functions as F
+
+
+def test_cast_types_adds_price_columns(raw_df):
+    typed = silver.cast_types(raw_df)
+    kinds = dict(typed.dtypes)
+    assert all(kinds[c] == "double" for c in PRICE_COLUMNS)
+    assert kinds["volume"] == "bigint" and kinds["trade_date"] == "date"
+
+
+@pytest.mark.parametrize("messy", [" petr4.sa ", "\tpetr4.sa\n", "PETR4.SA"])
+def test_ticker_is_stripped_and_upper_cased(raw_df, messy):
+    typed = silver.cast_types(raw_df.withColumn("ticker", F.lit(messy)))
+    assert {r.ticker for r in typed.collect()} == {"PETR4.SA"}
+
+
+def test_bad_text_becomes_null_and_is_dropped(raw_df):
+    text = raw_df.select(*[F.col(c).cast("string").alias(c) for c in raw_df.columns])
+    broken = text.withColumn(
+        "close", F.when(F.col("ticker") == "ITUB4.SA", "n/a").otherwise(F.col("close"))
+    )
+    assert silver.clean_bars(broken).count() == 4
+
+
+def test_feed_without_adj_close_falls_back_to_close(raw_df):
+    rows = silver.cast_types(raw_df.drop("adj_close")).collect()
+    assert all(r.adj_close == r.close_price for r in rows)
+
+
+def test_remove_nulls(raw_df, raw_df_with_nulls):
+    assert silver.remove_nulls(silver.cast_types(raw_df_with_nulls)).count() == 3
+    assert silver.remove_nulls(silver.cast_types(raw_df)).count() == 5
+
+
+def test_non_positive_and_null_prices_are_removed(raw_df):
+    typed = silver.cast_types(raw_df)
+    zero = typed.withColumn(
+        "close_price", F.when(F.col("ticker") == "ITUB4.SA", 0.0).otherwise(F.col("close_price"))
+    )
+    assert silver.remove_invalid_prices(zero).count() == 4
+    null_open = typed.withColumn(
+        "open_price", F.when(F.col("ticker") != "ITUB4.SA", F.col("open_price"))
+    )
+    assert silver.remove_invalid_prices(null_open).count() == 4
+
+
+def test_nan_is_no_null(make_raw):
+    nan = float("nan")
+    rows = [("A", D2, 1.0, 1.0, 1.0, nan, 1.0, 10)]
+    kept = silver.clean_bars(make_raw(rows)).collect()
+    assert len(kept) == 1 and math.isnan(kept[0].close_price)
+
+
+def test_duplicates_are_removed(raw_df_with_duplicates):
+    assert silver.deduplicate(silver.cast_types(raw_df_with_duplicates)).count() == 5
+
+
+def test_largest_adj_close_wins_and_null_loses(make_raw):
+    rows = [
+        ("A", D2, 1.0, 1.0, 1.0, 1.0, None, 10),
+        ("A", D2, 2.0, 2.0, 2.0, 2.0, 5.0, 20),
+        ("A", D2, 3.0, 3.0, 3.0, 3.0, 4.0, 30),
+    ]
+    # before the cast fills adj_close from close
+    typed = silver.cast_types(make_raw(rows)).drop("adj_close").join(
+        make_raw(rows).select("volume", "adj_close"), "volume"
+    )
+    (winner,) = silver.deduplicate(typed).collect()
+    assert (winner.adj_close, winner.close_price, winner.volume) == (5.0, 2.0, 20)
+
+
+def test_ties_fall_to_close_then_volume(make_raw):
+    rows = [
+        ("A", D2, 1.0, 1.0, 1.0, 2.0, 5.0, 10),
+        ("A", D2, 1.0, 1.0, 1.0, 3.0, 5.0, 10),
+        ("A", D2, 1.0, 1.0, 1.0, 3.0, 5.0, 11),
+    ]
+    for ordering in (rows, rows[::-1]):
+        (winner,) = silver.clean_bars(make_raw(ordering)).collect()
+        assert (winner.close_price, winner.volume) == (3.0, 11)
+
+
+def test_daily_return(silver_df):
+    rows = by_key(silver_df, "ticker", "trade_date")
+    assert rows["PETR4.SA", D2].daily_return is None
+    assert rows["PETR4.SA", D3].daily_return == pytest.approx(29.5 / 29.0 - 1, abs=1e-12)
+    assert rows["VALE3.SA", D3].daily_return == pytest.approx(67.0 / 66.0 - 1, abs=1e-12)
+    assert rows["ITUB4.SA", D2].daily_return is None
+
+
+def test_silver_contract(silver_df):
+    assert silver_df.columns == SILVER_SCHEMA.fieldNames()
+    rows = silver_df.collect()
+    assert len(rows) == len({(r.ticker, r.trade_date) for r in rows}) == 5
+    for r in rows:
+        assert all(r[c] is not None for c in silver.REQUIRED_COLUMNS)
+        assert all(r[c] > 0 for c in PRICE_COLUMNS)
+
+
+def test_audit_counts_every_step(make_raw, raw_df):
+    bad = [
+        ("X", D2, 1.0, 1.0, 1.0, None, 1.0, 1),
+        ("X", D3, 1.0, 1.0, -1.0, 1.0, 1.0, 1),
+        (None, D3, 1.0, 1.0, 1.0, 1.0, 1.0, 1),
+    ]
+    frame = raw_df.unionByName(make_raw(bad)).unionByName(raw_df.limit(1))
+    rows = {r.step: r.rows_left for r in silver.silver_audit(frame).collect()}
+    assert rows == {
+        "bronze_input": 9,
+        "cast_types": 9,
+        "remove_nulls": 7,
+        "remove_invalid_prices": 6,
+        "deduplicate": 5,
+        "daily_return": 5,
+    }
+
+
+def test_audit_of_nothing(make_raw):
+    assert {r.rows_left for r in silver.silver_audit(make_raw([])).collect()} == {0}
+
+
+def test_window_is_half_open_and_defaults_to_a_year(make_raw):
+    rows = [("A", date(2024, 1, d), 1.0, 1.0, 1.0, 1.0, 1.0, 1) for d in (1, 2, 3)]
+    days = {r.trade_date.day for r in silver.in_window(make_raw(rows), "2024-01-01", "2024-01-03").collect()}
+    assert days == {1, 2}
+    today = date.today()
+    recent = [
+        ("A", today - timedelta(days=n), 1.0, 1.0, 1.0, 1.0, 1.0, n) for n in (0, 1, 364, 365, 366, 367)
+    ]
+    kept = {r.volume for r in silver.in_window(make_raw(recent), end=today).collect()}
+    assert kept == {1, 364, 365}
