@@ -19,6 +19,13 @@ DEFAULT_TICKERS = [
 # Instruments shown in the report's volatility and heatmap sections.
 FOCUS_TICKERS = ["PETR4.SA", "VALE3.SA", "ITUB4.SA", "BBDC4.SA", "ABEV3.SA"]
 
+# The characters of Unicode's White_Space property.
+WHITE_SPACE = (
+    "\t\n\v\f\r \u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
 TICKER_SUFFIX = ".SA"
 DEFAULT_SOURCE = "yahoo_finance"
 HISTORY_DAYS = 365

@@ -14,8 +14,8 @@ def col_of(c) -> Column:
 
 
 def normalize_ticker(c) -> Column:
-    """Strip any white space at both ends (trim alone keeps tabs) and upper-case."""
-    return F.upper(F.regexp_replace(col_of(c), r"^\s+|\s+$", ""))
+    """Strip any white space at both ends (plain trim keeps all but blanks) and upper-case."""
+    return F.upper(F.btrim(col_of(c), F.lit(fixed.WHITE_SPACE)))
 
 
 def ratio_minus_one(numerator, denominator) -> Column:

@@ -56,7 +56,8 @@ def correlation_matrix(
     groups of about ``tile``, and each pair of groups is multiplied as one block of a matrix
     product: a row is copied once per group, not once per ticker, and a task holds at most
     2 x tile x block_days cells and returns tile^2 sums. Sums of all date blocks are then added up
-    per pair. The number of tickers (one counted row) sets the number of groups.
+    per pair. The number of tickers sets the number of groups; counting them scans one column of
+    ``daily``, which should be a stored table.
 
     Null where a series does not vary over the common dates or where there is only one.
     """
@@ -64,7 +65,7 @@ def correlation_matrix(
         daily.where(all_present("daily_return")), ["ticker", "trade_date"], "daily_return"
     ).where(~F.isnan("daily_return"))
     if n_tickers is None:
-        n_tickers = returns.select("ticker").distinct().count()
+        n_tickers = daily.select("ticker").distinct().count()
     n_groups = max(1, -(-n_tickers // tile))
 
     # Correlation ignores shifts; centring keeps the sums of squares accurate. A ticker whose

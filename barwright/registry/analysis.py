@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from barwright.operators import analytics, gold, profile, report
 from barwright.operators.correlation import correlation_matrix
+from barwright.session import staged
 from barwright.registry.base import (
     daily_brand,
     daily_events,
@@ -98,7 +99,8 @@ FROM pairs"""
     ),
 )
 def _(spark, folder):
-    return correlation_matrix(silver_brand(spark, folder))
+    returns = analytics.return_series(silver_brand(spark, folder))
+    return correlation_matrix(staged(returns, "returns"))
 
 
 @query(

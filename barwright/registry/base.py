@@ -115,17 +115,17 @@ def daily_events(spark, folder):
 
 _ITEM_BARS = """
   SELECT {ticker} AS ticker, CAST(l_shipdate AS DATE) AS trade_date,
-         arg_min(l_extendedprice / l_quantity, {tie}) AS open,
+         arg_min(l_extendedprice / l_quantity, {position}) AS open,
          max(l_extendedprice / l_quantity) AS high,
          min(l_extendedprice / l_quantity) AS low,
-         arg_max(l_extendedprice / l_quantity, {tie}) AS close,
-         arg_max(l_extendedprice / l_quantity, {tie}) AS adj_close,
+         arg_max(l_extendedprice / l_quantity, {position}) AS close,
+         arg_max(l_extendedprice / l_quantity, {position}) AS adj_close,
          CAST(sum(l_quantity) AS BIGINT) AS volume
   FROM lineitem {join}
   GROUP BY 1, 2"""
-_TIE = (
-    "{'a': l_orderkey, 'b': l_linenumber, 'c': l_partkey, "
-    "'d': l_suppkey, 'e': l_extendedprice, 'f': l_quantity}"
+_POSITION = (
+    "(l_orderkey % 1048576) * 8796093022208 "
+    "+ CAST(round(l_extendedprice * 100) AS BIGINT) * 64 + CAST(l_quantity AS BIGINT)"
 )
 _EVENT_BARS = """
   SELECT CAST({ticker} AS VARCHAR) AS ticker, CAST(ts AS DATE) AS trade_date,
@@ -135,9 +135,9 @@ _EVENT_BARS = """
   FROM events GROUP BY 1, 2"""
 _BARS = {
     "brand": _ITEM_BARS.format(
-        ticker="p_brand", tie=_TIE, join="JOIN part ON l_partkey = p_partkey"
+        ticker="p_brand", position=_POSITION, join="JOIN part ON l_partkey = p_partkey"
     ),
-    "part": _ITEM_BARS.format(ticker="'P' || l_partkey", tie=_TIE, join=""),
+    "part": _ITEM_BARS.format(ticker="'P' || l_partkey", position=_POSITION, join=""),
     "events": _EVENT_BARS.format(ticker="event_type"),
     "users": _EVENT_BARS.format(ticker="user_id"),
     "orders": """

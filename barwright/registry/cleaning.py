@@ -15,6 +15,7 @@ from barwright.registry.base import (
     silver_part,
 )
 from barwright.schemas import PRICE_COLUMNS
+from barwright.session import staged
 from barwright.sources import bars
 
 _BAR_COLUMNS = ["ticker", "trade_date", *PRICE_COLUMNS, "adj_close", "volume"]
@@ -92,7 +93,7 @@ _SPLIT = "1998-01-01"
 )
 def _(spark, folder):
     # bars before the split as loaded earlier, the rest as one later load: together a full run
-    clean = silver.clean_bars(raw_part(spark, folder))
+    clean = staged(silver.clean_bars(raw_part(spark, folder)), "clean")
     before = F.col("trade_date") < F.lit(_SPLIT).cast("date")
     earlier = silver.add_daily_return(clean.where(before))
     later = incremental.add_return_after(
@@ -184,7 +185,7 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    return quality.quality_report(silver_part(spark, folder), PROCESS_TIME.date())
+    return quality.quality_report(staged(silver_part(spark, folder), "silver"), PROCESS_TIME.date())
 
 
 @query(

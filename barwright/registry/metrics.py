@@ -56,7 +56,7 @@ def _(spark, folder):
 
 @query("portfolio_summary_part", oracle(_SUMMARY, "part"))
 def _(spark, folder):
-    return gold.by_total_return(gold.portfolio_summary(daily_part(spark, folder)))
+    return gold.portfolio_summary(daily_part(spark, folder))
 
 
 _MONTHLY = f"SELECT upper(ticker) AS ticker, {MONTHLY_VALUES} FROM monthly"

@@ -1,8 +1,9 @@
 """Daily bars from the supplied TPC-H-like tables, which hold no price bars of their own.
 
 Each mapping is one grouped aggregate with partial aggregation, so a key with a third of the rows
-reaches the shuffle as one row per map task. First and last prices are picked by a tie key that is
-unique in the data, so they do not depend on input order.
+reaches the shuffle as one row per map task. First and last prices are picked by a single number
+that no two rows of different price share, so they do not depend on input order, and the aggregate
+can hash: ordering by several columns would make Spark sort the whole table first.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +16,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _bars(df: DataFrame, price, tie, volume) -> DataFrame:
+def _bars(df: DataFrame, price, position, volume) -> DataFrame:
     return df.groupBy("ticker", "trade_date").agg(
-        F.min_by(price, tie).alias("open"),
+        F.min_by(price, position).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
-        F.max_by(price, tie).alias("close"),
-        F.max_by(price, tie).alias("adj_close"),
+        F.max_by(price, position).alias("close"),
+        F.max_by(price, position).alias("adj_close"),
         volume.cast("bigint").alias("volume"),
     )
 
@@ -29,12 +30,19 @@ def _bars(df: DataFrame, price, tie, volume) -> DataFrame:
 def bars_from_lineitem(spark: SparkSession, folder: str, by: str = "brand") -> DataFrame:
     """Unit prices per shipping day. ``by="brand"`` gives few long series, ``by="part"`` many.
 
+    Lines have no time of day. Their position in the day is the order number (its low 20 bits),
+    then the extended price in cents, then the quantity, packed into one 63-bit number; two lines
+    at the same position have the same price. The pair (order, line) is not unique in the data.
+
     The brand join carries no hint: part grows with the data, so Spark broadcasts it only under the
     session's size threshold and otherwise shuffles, splitting a part that dominates lineitem.
     """
-    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
     items = table(spark, folder, "lineitem").select(
-        *columns, F.to_date("l_shipdate").alias("trade_date")
+        "l_orderkey",
+        "l_partkey",
+        "l_extendedprice",
+        "l_quantity",
+        F.to_date("l_shipdate").alias("trade_date"),
     )
     if by == "brand":
         parts = table(spark, folder, "part").select("p_partkey", F.col("p_brand").alias("ticker"))
@@ -44,7 +52,13 @@ def bars_from_lineitem(spark: SparkSession, folder: str, by: str = "brand") -> D
     else:
         raise ValueError(f"unknown series key: {by}")
     price = F.try_divide("l_extendedprice", "l_quantity")
-    return _bars(items, price, F.struct(*columns), F.sum("l_quantity"))
+    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    position = (
+        F.shiftleft(F.col("l_orderkey").bitwiseAND(F.lit((1 << 20) - 1)), 43)
+        + cents * 64
+        + F.col("l_quantity").cast("bigint")
+    )
+    return _bars(items, price, position, F.sum("l_quantity"))
 
 
 def bars_from_events(spark: SparkSession, folder: str, by: str = "event_type") -> DataFrame:

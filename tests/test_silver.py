@@ -16,7 +16,7 @@ def test_cast_types_adds_price_columns(raw_df):
     assert kinds["volume"] == "bigint" and kinds["trade_date"] == "date"
 
 
-@pytest.mark.parametrize("messy", [" petr4.sa ", "\tpetr4.sa\n", "PETR4.SA"])
+@pytest.mark.parametrize("messy", [" petr4.sa ", "\tpetr4.sa\n", "\u00a0petr4.sa\u3000\r", "PETR4.SA"])
 def test_ticker_is_stripped_and_upper_cased(raw_df, messy):
     typed = silver.cast_types(raw_df.withColumn("ticker", F.lit(messy)))
     assert {r.ticker for r in typed.collect()} == {"PETR4.SA"}
