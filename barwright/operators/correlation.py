@@ -18,33 +18,42 @@ _PARTIAL = (
 )
 
 
-def _grid(rows: pd.DataFrame, dates: np.ndarray):
-    """Tickers, and a dates x tickers array of returns with its presence mask."""
-    codes, tickers = pd.factorize(rows["ticker"], sort=True)
-    values = np.zeros((len(dates), len(tickers)))
-    present = np.zeros_like(values)
-    at = np.searchsorted(dates, rows["day"].to_numpy())
-    values[at, codes] = rows["x"].to_numpy()
-    present[at, codes] = 1.0
-    return tickers, values, present
-
-
-def _tile_moments(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    left_group, right_group = key[0], key[1]
-    dates = np.unique(rows["day"].to_numpy())
-    ta, x, mx = _grid(rows[rows["ticker_group"] == left_group], dates)
-    if left_group == right_group:
-        tb, y, my = ta, x, mx
-    else:
-        tb, y, my = _grid(rows[rows["ticker_group"] == right_group], dates)
-    sums = [mx.T @ my, x.T @ my, mx.T @ y, (x * x).T @ my, mx.T @ (y * y), x.T @ y]
-    keep = sums[0] > 0
-    if left_group == right_group:
-        keep &= np.triu(np.ones_like(keep))
-    ia, ib = np.nonzero(keep)
-    columns = {"ticker_a": np.asarray(ta)[ia], "ticker_b": np.asarray(tb)[ib]}
-    columns.update({name: s[ia, ib] for name, s in zip(MOMENTS, sums)})
-    return pd.DataFrame(columns)
+def _tile_moments():
+    """The function that sums up one tile.
+
+    Built in here, it travels to the executors by value: they need numpy and pandas, but not this
+    package.
+    """
+    moments = list(MOMENTS)
+
+    def grid(rows, dates):
+        """Tickers, and a dates x tickers array of returns with its presence mask."""
+        codes, tickers = pd.factorize(rows["ticker"], sort=True)
+        values = np.zeros((len(dates), len(tickers)))
+        present = np.zeros_like(values)
+        at = np.searchsorted(dates, rows["day"].to_numpy())
+        values[at, codes] = rows["x"].to_numpy()
+        present[at, codes] = 1.0
+        return np.asarray(tickers), values, present
+
+    def tile_moments(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        left_group, right_group = key[0], key[1]
+        dates = np.unique(rows["day"].to_numpy())
+        ta, x, mx = grid(rows[rows["ticker_group"] == left_group], dates)
+        if left_group == right_group:
+            tb, y, my = ta, x, mx
+        else:
+            tb, y, my = grid(rows[rows["ticker_group"] == right_group], dates)
+        sums = [mx.T @ my, x.T @ my, mx.T @ y, (x * x).T @ my, mx.T @ (y * y), x.T @ y]
+        keep = sums[0] > 0
+        if left_group == right_group:
+            keep &= np.triu(np.ones_like(keep))
+        ia, ib = np.nonzero(keep)
+        columns = {"ticker_a": ta[ia], "ticker_b": tb[ib]}
+        columns.update({name: s[ia, ib] for name, s in zip(moments, sums)})
+        return pd.DataFrame(columns)
+
+    return tile_moments
 
 
 def correlation_matrix(
@@ -90,7 +99,7 @@ def correlation_matrix(
         .withColumn("right_group", F.greatest("ticker_group", "_other"))
         .drop("_other")
         .groupBy("left_group", "right_group", "date_block")
-        .applyInPandas(_tile_moments, _PARTIAL)
+        .applyInPandas(_tile_moments(), _PARTIAL)
     )
     total = partial.groupBy("ticker_a", "ticker_b").agg(*[F.sum(m).alias(m) for m in MOMENTS])
 

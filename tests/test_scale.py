@@ -1,6 +1,8 @@
 """Properties the plans must keep: what is shuffled, what reaches the scan, what hot keys cost."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 from conftest import D2, D3
@@ -148,3 +150,26 @@ def test_staged_table_cuts_the_lineage(spark, silver_df):
     assert sorted(kept.collect()) == sorted(silver_df.collect())
     assert "Window" not in plan(kept) and D2 < D3
     assert kept.select(F.max("trade_date")).first()[0] == D3
+
+
+def test_executors_need_no_copy_of_the_package(sf_dir, tmp_path):
+    """Run from a folder where workers cannot import the package, as on a cluster."""
+    script = tmp_path / "job.py"
+    script.write_text(
+        "import sys\n"
+        f"sys.path.insert(0, {os.path.dirname(os.path.dirname(os.path.abspath(__file__)))!r})\n"
+        "from barwright import registry\n"
+        "from barwright.session import make_session\n"
+        "spark = make_session('job', 'local[2]', **{'spark.ui.enabled': 'false'})\n"
+        f"print('pairs', registry.QUERIES['correlation_matrix'](spark, {sf_dir!r}).count())\n"
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, str(script)],
+        cwd=tmp_path,
+        env=environment,
+        capture_output=True,
+        text=True,
+        timeout=300,
+    )
+    assert "pairs 625" in done.stdout, done.stderr[-2000:]
