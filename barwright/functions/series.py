@@ -72,13 +72,15 @@ def compound_over_dates(df: DataFrame, value: str, name: str) -> DataFrame:
         dated.groupBy("_year")
         .agg(F.product(growth(value)).alias("_year_growth"))
         .select(
-            "_year",
+            F.col("_year").alias("_carry_year"),
             F.coalesce(F.product("_year_growth").over(earlier_years), F.lit(1.0)).alias("_carry"),
         )
     )
+    # null-safe, so that both sides read the frame alike and its shuffle is run once for the two
+    same_year = F.col("_year").eqNullSafe(F.col("_carry_year"))
     return (
         dated.withColumn("_growth", F.product(growth(value)).over(in_year))
-        .join(F.broadcast(carried), "_year")
+        .join(F.broadcast(carried), same_year)
         .withColumn(name, F.col("_carry") * F.col("_growth") - 1)
-        .drop("_year", "_growth", "_carry")
+        .drop("_year", "_carry_year", "_growth", "_carry")
     )

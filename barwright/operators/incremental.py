@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from barwright.functions.scalars import ratio_minus_one
 from barwright.functions.series import by_date
+from barwright.session import staged
 
 
 def last_closes(silver: DataFrame, before) -> DataFrame:
@@ -34,6 +35,7 @@ def prior_closes(silver: DataFrame, tickers: DataFrame, before, lookback_days: i
     recent = last_closes(silver.where(F.col("trade_date") >= edge), start).join(
         wanted, "ticker", "left_semi"
     )
+    recent = staged(recent, "prior")  # one row per ticker, read by the check and by the caller
     missing = wanted.join(recent, "ticker", "left_anti")
     if missing.isEmpty():
         return recent

@@ -108,6 +108,12 @@ def test_no_query_pairs_rows_without_a_key(spark, sf_dir, name):
     assert "CartesianProduct" not in text and "NestedLoop" not in text
 
 
+def test_backtest_shuffles_the_returns_once(spark, stored):
+    df = analytics.equal_weight_backtest(layers.read_silver(spark, stored))
+    df.collect()
+    assert "ReusedExchange" in plan(df)
+
+
 def test_a_large_dimension_is_not_broadcast(spark, sf_dir):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
     try:
