@@ -205,3 +205,12 @@ def _unjoined(shared: DataFrame, joined: DataFrame) -> DataFrame:
         split.select("key", F.col("doc_id").alias("y"), F.col("c").alias("cy"))
         .join(outside, "key").filter("cx <> cy").select(*_pairs(F.col("x"), F.col("y"))).distinct()
     )
+
+
+def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """The documents, with one of each group of near copies: the one with the smallest doc_id.
+
+    Columns are those of ``docs``. Rows that near_duplicates keeps stay, rows without doc_id too.
+    """
+    dropped = near_duplicates(docs, **options).filter("not kept").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
