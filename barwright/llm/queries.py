@@ -2,18 +2,49 @@
 
 from pyspark.sql import functions as F
 
-from barwright.llm import minhash
+from barwright.llm import decontam, minhash
 from barwright.llm.common import table
 
 QUERIES = {}
 ORACLES = {}
 
 
-def query(build):
-    QUERIES[build.__name__] = build
-    return build
+def query(build=None, *, sql: str | None = None):
+    def register(build):
+        QUERIES[build.__name__] = build
+        if sql:
+            ORACLES[build.__name__] = sql
+        return build
+
+    return register(build) if build else register
+
+
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 
 @query
 def op10_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+
+
+@query(sql=f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS run
+  FROM b, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS t(s) WHERE len(w) > 0),
+doc_windows AS (
+  SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS run
+  FROM d, (SELECT DISTINCT n FROM item_windows) AS l, unnest(generate_series(1, len(w) - n + 1)) AS t(s)),
+hits AS (SELECT doc_id, s, n, item_id FROM doc_windows JOIN item_windows USING (n, run)),
+words AS (SELECT doc_id, count(DISTINCT place) AS n_hit
+          FROM hits, unnest(generate_series(s, s + n - 1)) AS t(place) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) AS i GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""")
+def op9_benchmark_decontamination(spark, sf_dir):
+    found = decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("item_ids")
