@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from barwright.llm import decontam, minhash
+from barwright.llm import decontam, linededup, minhash
 from barwright.llm.common import table
 
 QUERIES = {}
@@ -48,3 +48,33 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""")
 def op9_benchmark_decontamination(spark, sf_dir):
     found = decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("item_ids")
+
+
+_LINE_WORDS = _WORDS.replace("text", "line")
+
+
+@query(sql=f"""
+WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+lines AS (SELECT doc_id, k - 1 AS line_no, ls[k] AS line FROM docs, unnest(generate_series(1, len(ls))) AS t(k)),
+worded AS (SELECT doc_id, line_no, doc_id * 2147483648 + line_no AS place, {_LINE_WORDS} AS w FROM lines),
+classes AS (SELECT w, len(w) AS n, min(place) AS place FROM worded WHERE len(w) > 0 GROUP BY w),
+variants AS (SELECT place, n, i, array_to_string(list_concat(w[1:i - 1], w[i + 1:n]), ' ') AS v
+             FROM classes, unnest(generate_series(1, n)) AS t(i) WHERE n >= 8),
+near AS (
+  SELECT a.place, b.place AS other FROM variants AS a JOIN variants AS b
+      ON a.v = b.v AND a.n = b.n AND a.i = b.i AND b.place < a.place
+  UNION ALL
+  SELECT a.place, c.place FROM variants AS a JOIN classes AS c
+      ON a.v = array_to_string(c.w, ' ') AND c.n = a.n - 1 AND c.n >= 8 AND c.place < a.place
+  UNION ALL
+  SELECT c.place, a.place FROM variants AS a JOIN classes AS c
+      ON a.v = array_to_string(c.w, ' ') AND c.n = a.n - 1 AND c.n >= 8 AND a.place < c.place),
+firsts AS (SELECT c.w, least(c.place, min(other)) AS first
+           FROM classes AS c LEFT JOIN near ON near.place = c.place GROUP BY c.w, c.place)
+SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, CAST(len(worded.w) AS BIGINT) AS n_words,
+       NOT coalesce(first < place, false) AS kept,
+       CASE WHEN first < place THEN first // 2147483648 END AS first_doc_id,
+       CASE WHEN first < place THEN first % 2147483648 END AS first_line_no
+FROM worded LEFT JOIN firsts ON worded.w = firsts.w""")
+def op1_line_dedup(spark, sf_dir):
+    return linededup.line_decisions(table(spark, sf_dir, "documents")).drop("text_key")
