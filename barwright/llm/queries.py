@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from barwright.llm import decontam, linededup, minhash
+from barwright.llm import decontam, langid, linededup, minhash
 from barwright.llm.common import table
 
 QUERIES = {}
@@ -78,3 +78,8 @@ SELECT doc_id, CAST(line_no AS BIGINT) AS line_no, CAST(len(worded.w) AS BIGINT)
 FROM worded LEFT JOIN firsts ON worded.w = firsts.w""")
 def op1_line_dedup(spark, sf_dir):
     return linededup.line_decisions(table(spark, sf_dir, "documents")).drop("text_key")
+
+
+@query
+def op2_language_id(spark, sf_dir):
+    return langid.languages(table(spark, sf_dir, "documents"))
