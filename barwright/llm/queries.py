@@ -1,8 +1,8 @@
 """The registered queries of the operators, and SQL for those that SQL can express."""
 
-from pyspark.sql import functions as F
+import public_tokenizers
 
-from barwright.llm import decontam, langid, linededup, minhash
+from barwright.llm import bpe, decontam, langid, linededup, minhash
 from barwright.llm.common import table
 
 QUERIES = {}
@@ -83,3 +83,8 @@ def op1_line_dedup(spark, sf_dir):
 @query
 def op2_language_id(spark, sf_dir):
     return langid.languages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_bpe_codec(spark, sf_dir):
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
