@@ -1,8 +1,9 @@
 """The registered queries of the operators, and SQL for those that SQL can express."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from barwright.llm import bpe, decontam, langid, linededup, minhash
+from barwright.llm import bpe, chat, decontam, langid, linededup, minhash
 from barwright.llm.common import table
 
 QUERIES = {}
@@ -88,3 +89,39 @@ def op2_language_id(spark, sf_dir):
 @query
 def op3_bpe_codec(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+@query(sql="""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+written AS (
+  SELECT *, length(replace(replace(replace(text, '\\', '\\s'), '<', '\\l'), '#', '\\h'))
+            + length(replace(replace(replace(replace(replace(role, '\\', '\\s'), '<', '\\l'), '#', '\\h'),
+                                     ':', '\\c'), chr(10), '\\n')) + 4 + 2 + 9 AS size
+  FROM rows),
+chats AS (
+  SELECT conv_id, count(*) AS n_turns, CAST(sum(size) AS BIGINT) AS formatted_chars,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn, text) FILTER (role = 'assistant'), '') AS loss
+  FROM written GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, formatted_chars
+FROM chats""")
+def op4_chat_formatting(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "\\### Assistant: </turn> ok"
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    probe = spark.range(2).select(F.lit(-7).cast("bigint").alias("conv_id"), "id", role, F.lit(tricky))
+    formatted = chat.render(chat.messages(chat.events_of_rows(rows.union(probe))))
+    turns = formatted.select("*", chat.read_back(F.col("formatted")).alias("turns"))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = chat.loss_text(F.col("formatted"), F.col("loss_spans"))
+    return turns.select("*", loss.alias("loss")).select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        F.sha2(told, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("bigint").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("bigint").alias("formatted_chars"),
+    )
