@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barwright.llm import bpe, chat, decontam, langid, linededup, minhash
+from barwright.llm import bpe, chat, decontam, langid, licenses, linededup, minhash
 from barwright.llm.common import table
 
 QUERIES = {}
@@ -125,3 +125,7 @@ def op4_chat_formatting(spark, sf_dir):
         F.sha2("loss", 256).alias("loss_sha256"),
         F.char_length("formatted").cast("bigint").alias("formatted_chars"),
     )
+
+@query
+def op6_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("matches")
