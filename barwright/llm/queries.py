@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barwright.llm import bpe, chat, decontam, langid, licenses, linededup, minhash
+from barwright.llm import bpe, chat, decontam, htmltext, langid, licenses, linededup, minhash
 from barwright.llm.common import table
 
 QUERIES = {}
@@ -129,3 +129,7 @@ def op4_chat_formatting(spark, sf_dir):
 @query
 def op6_license_scan(spark, sf_dir):
     return licenses.scan(table(spark, sf_dir, "documents")).drop("matches")
+
+@query
+def op5_html_main_text(spark, sf_dir):
+    return htmltext.main_texts(table(spark, sf_dir, "pages"))
