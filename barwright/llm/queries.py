@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barwright.llm import bpe, chat, decontam, htmltext, langid, licenses, linededup, minhash
+from barwright.llm import bpe, chat, decontam, embdedup, htmltext, langid, licenses, linededup, minhash
 from barwright.llm.common import table
 
 QUERIES = {}
@@ -133,3 +133,7 @@ def op6_license_scan(spark, sf_dir):
 @query
 def op5_html_main_text(spark, sf_dir):
     return htmltext.main_texts(table(spark, sf_dir, "pages"))
+
+@query
+def op7_embedding_near_dedup(spark, sf_dir):
+    return embdedup.linked_vectors(table(spark, sf_dir, "embeddings"))
