@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barwright.llm import bpe, chat, decontam, embdedup, htmltext, langid, licenses, linededup, minhash
+from barwright.llm import bpe, chat, decontam, embdedup, htmltext, langid, licenses, linededup, lmscore, minhash
 from barwright.llm.common import table
 
 QUERIES = {}
@@ -137,3 +137,7 @@ def op5_html_main_text(spark, sf_dir):
 @query
 def op7_embedding_near_dedup(spark, sf_dir):
     return embdedup.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+@query
+def op8_lm_pseudo_likelihood(spark, sf_dir):
+    return lmscore.scores(table(spark, sf_dir, "documents"))
