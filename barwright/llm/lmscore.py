@@ -6,7 +6,7 @@ document's score is the sum of the log-probabilities of all its words, each give
 
 Words are counted over the whole corpus; the most frequent ones are symbols of their own, all others share
 symbols by a hash. Each task trains a copy of the network on targets at every ``STRIDE``-th word of its
-documents, whole documents each, and Spark averages the copies by their targets (``ROUNDS`` times). So
+documents, over their whole length, and Spark averages the copies by their targets (``ROUNDS`` times). So
 what is gathered from the corpus, counts and weights, grows with it, and what is broadcast doesn't.
 """
 
@@ -27,7 +27,7 @@ SYMBOLS = FREQUENT + SHARED
 EDGE = SYMBOLS
 OFFSETS = (-2, -1, 1, 2)
 STRIDE, ROUNDS = 12, 2
-LEARNING_RATE, STEP = 0.2, 2048
+LEARNING_RATE, STEP = 0.2, 512
 _CACHED, _SLICE, _ROWS = 1 << 17, 256, 4096
 
 
@@ -106,12 +106,13 @@ class Network:
 class Trainer:
     """Steps of adaptive gradient descent over a stream of documents."""
 
-    def __init__(self, network: Network):
-        self.network, self.squares, self.targets = network, np.full(len(network.flat), 1e-8, np.float32), 0
+    def __init__(self, network: Network, stride: int = STRIDE):
+        self.network, self.stride, self.targets = network, stride, 0
+        self.squares = np.full(len(network.flat), 1e-8, np.float32)
         self.waiting, self.size = [], 0
 
     def add(self, symbols: np.ndarray, first: int) -> None:
-        around, target = windows([symbols], first, STRIDE)[:2]
+        around, target = windows([symbols], first, self.stride)[:2]
         self.waiting.append((around, target))
         self.size += len(target)
         if self.size >= STEP:
@@ -166,18 +167,18 @@ def frequent_words(docs: DataFrame) -> list:
     return [bytes(r["word"]) for r in top]
 
 
-def _averaged(docs: DataFrame, frequent: list, weights: np.ndarray, turn: int) -> np.ndarray:
+def _averaged(docs: DataFrame, frequent: list, weights: np.ndarray, stride: int, shift: int) -> np.ndarray:
     """The mean of the networks that the tasks trained, by their numbers of targets."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
     def fit(batches):
-        symbols, trainer = Symbols(frequent), Trainer(Network(shared.value))
+        symbols, trainer = Symbols(frequent), Trainer(Network(shared.value), stride)
         for batch in batches:
             for at in range(0, batch.num_rows, _SLICE):
                 for text in batch.column(0).slice(at, _SLICE).to_pylist():
                     own = symbols.of(text)
                     if len(own):
-                        trainer.add(own, (len(own) + turn * (STRIDE // ROUNDS)) % min(STRIDE, len(own)))
+                        trainer.add(own, (len(own) + shift) % min(stride, len(own)))
         trainer.flush()
         if trainer.targets:
             flat = trainer.network.flat.astype(float) * trainer.targets
@@ -191,7 +192,7 @@ def _averaged(docs: DataFrame, frequent: list, weights: np.ndarray, turn: int) -
     return rows["weight"].to_numpy() if len(rows) else weights
 
 
-def scores(docs: DataFrame) -> DataFrame:
+def scores(docs: DataFrame, stride: int = STRIDE, rounds: int = ROUNDS) -> DataFrame:
     """Per row: doc_id, n_tokens, log_prob (sum over all words) and mean_log_prob (null without words).
 
     Reads ``doc_id`` and ``text``. A null, empty or wordless text has no tokens and log_prob 0. Repeated
@@ -199,8 +200,8 @@ def scores(docs: DataFrame) -> DataFrame:
     """
     frequent = frequent_words(docs)
     weights = Network().flat
-    for turn in range(ROUNDS):
-        weights = _averaged(docs, frequent, weights, turn)
+    for turn in range(rounds):
+        weights = _averaged(docs, frequent, weights, stride, turn * stride // rounds)
     shared = docs.sparkSession.sparkContext.broadcast(np.asarray(weights, np.float32))
 
     def score(batches):
@@ -210,7 +211,7 @@ def scores(docs: DataFrame) -> DataFrame:
                 part = batch.slice(at, _SLICE)
                 texts = [symbols.of(t) for t in part.column(1).to_pylist()]
                 around, target, owner = windows(texts)
-                sums = np.bincount(owner, network.log_probabilities(around, target), len(texts))
+                sums = np.bincount(owner, network.log_probabilities(around, target), len(texts)).astype(float)  # int if empty
                 sizes = np.array([len(t) for t in texts])
                 means = pa.array(sums / np.maximum(sizes, 1), mask=sizes == 0)
                 arrays = [part.column(0), pa.array(sizes, pa.int64()), pa.array(sums), means]
