@@ -1,0 +1,66 @@
+import html
+import random
+import re
+
+from barwright.llm import htmltext
+
+SCHEMA = "page_id bigint, url string, html string, text string, label string"
+
+
+def article(source):
+    """The text of the article element, by plain search."""
+    inside = re.search(r"<article>(.*?)(</article>|\Z)", source, re.S)[1]
+    return " ".join(html.unescape(re.sub(r"<[^>]*>", " ", re.sub(r"</?b>", "", inside))).split())
+
+
+def test_articles_of_all_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    sources = {r["page_id"]: r["html"] for r in pages.collect()}
+    rows = htmltext.main_texts(pages).collect()
+    assert {r["page_id"]: r["text"] for r in rows} == {i: article(h) for i, h in sources.items()}
+    assert all(r["n_chars"] == len(r["text"]) for r in rows)
+
+
+def test_unseen_structures(spark):
+    """Pages composed of usual frames, which the trees haven't seen, with their marks removed."""
+    sources = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("page_id").collect()]
+    trees, vocabulary = htmltext.train(sources[:150])
+    paragraphs = [article(s)[:400] for s in sources[150:]]
+    draw, right = random.Random(9), 0
+    for _ in range(100):
+        source = htmltext._composed(draw, paragraphs, ["home page", "contact us today", "all about"])
+        page = htmltext.Page(source, {})
+        labels = htmltext._weak_labels(page)
+        wanted = " ".join(text for node, text in page.runs if labels[node])
+        plain = re.sub(r' data-keep="\d"', "", source)
+        right += htmltext.extract([plain], trees, vocabulary, {}) == [wanted]
+    assert right >= 90
+
+
+def test_reading_of_markup():
+    def runs(source):
+        return [t for _, t in htmltext.Page(source, {}).runs]
+
+    assert runs("<p>a<b>b</b>  c\n d<br>e<p>f &amp; g&#233;<script>x='</p>'</script>h") == ["ab c d", "e", "f & gé", "h"]
+    assert runs("<!-- <p>no</p> --><style>p{}</style>1 < 2<div title='a>b'>x</div></nope><title>t</title>") == ["1 < 2", "x"]
+    assert runs("") == [] and runs("<p>cut <di") == ["cut"] and runs("<textarea>never</TEXTAREA >after") == ["after"]
+
+
+def test_decoding_never_keeps_what_lies_under_a_dropped_node():
+    import numpy as np
+
+    draw = np.random.default_rng(1)
+    for _ in range(50):
+        parent = [-1] + [int(draw.integers(0, k)) for k in range(1, 30)]
+        kept = htmltext.decode(parent, draw.normal(0, 3, 30))
+        assert all(kept[parent[k]] or not kept[k] for k in range(1, 30))
+
+
+def test_messy_rows(spark):
+    rows = [(1, None, None, "t", "l"), (2, "u", "", "t", "l"), (3, "u", "no markup at all", "t", "l"), (3, "u", "no markup at all", "t", "l"),
+            (None, None, "<article><p>one</p></article>", "t", "l"), (4, "u", "<p>" + "long text, again. " * 20_000, "t", "l")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = htmltext.main_texts(df).collect()
+    assert len(got) == 6 and {r["text"] for r in got if r["page_id"] in (1, 2)} == {""}
+    assert len([r for r in got if r["page_id"] == 3]) == 2
+    assert htmltext.main_texts(df.filter("false")).collect() == []
