@@ -55,3 +55,10 @@ def member_of(c, values) -> Column:
 def rounded(c, places: int = 6) -> Column:
     """Rounded to ``places``, with negative zero folded into zero."""
     return F.round(col_of(c), places) + F.lit(0.0)
+
+
+def whole_number(column: str) -> Column:
+    """A whole number, also when it is written as a float (``12000000.0``, ``1.2E7``); else null."""
+    number = F.col(column).try_cast("double")
+    as_float = F.when(number == F.floor(number), F.col(column).cast("string").try_cast("decimal(38,6)").try_cast("bigint"))
+    return F.coalesce(F.col(column).cast("string").try_cast("bigint"), as_float)

@@ -22,7 +22,9 @@ def last_closes(silver: DataFrame, before) -> DataFrame:
     )
 
 
-def prior_closes(silver: DataFrame, tickers: DataFrame, before, lookback_days: int = 45) -> DataFrame:
+def prior_closes(
+    silver: DataFrame, tickers: DataFrame, before, lookback_days: int = 45, held: list | None = None
+) -> DataFrame:
     """``last_closes`` for the given tickers, reading old partitions only when somebody needs them.
 
     Nearly every ticker traded in the last few weeks, so those partitions are read first. Tickers
@@ -35,7 +37,7 @@ def prior_closes(silver: DataFrame, tickers: DataFrame, before, lookback_days: i
     recent = last_closes(silver.where(F.col("trade_date") >= edge), start).join(
         wanted, "ticker", "left_semi"
     )
-    recent = staged(recent, "prior")  # one row per ticker, read by the check and by the caller
+    recent = staged(recent, "prior", held)  # one row per ticker, read by the check and by the caller
     missing = wanted.join(recent, "ticker", "left_anti")
     if missing.isEmpty():
         return recent

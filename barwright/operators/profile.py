@@ -28,7 +28,10 @@ def null_counts(df: DataFrame) -> DataFrame:
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
 
 
-def describe(df: DataFrame, quartile_accuracy: int = 10_000) -> DataFrame:
+ACCURACY = 10_000
+
+
+def describe(df: DataFrame, quartile_accuracy: int = ACCURACY) -> DataFrame:
     """Count, nulls, mean, std, min, quartiles and max of every numeric column, one row each.
 
     One aggregate over one scan. Quartiles come from a mergeable sketch whose rank error is at most

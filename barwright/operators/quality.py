@@ -1,5 +1,8 @@
 """Quality gate and row validation for clean bars."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -18,7 +21,9 @@ def _row_checks(columns, as_of):
     today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     nulls = {f"null_{c}": F.col(c).isNull() for c in REQUIRED_COLUMNS if c in columns}
     prices = {f"non_positive_{c}": F.col(c) <= 0 for c in PRICE_COLUMNS if c in columns}
-    return {**nulls, **prices, "future_dates": F.col("trade_date") > today}
+    nans = [F.isnan(c) for c in PRICE_COLUMNS if c in columns]
+    nan = {"nan_prices": reduce(or_, nans)} if nans else {}
+    return {**nulls, **prices, **nan, "future_dates": F.col("trade_date") > today}
 
 
 def _counts(checks):
@@ -65,13 +70,13 @@ def require_quality(df: DataFrame, as_of=None, keys=SERIES_KEYS) -> DataFrame:
     return df
 
 
-def staged_if_sound(df: DataFrame, as_of=None) -> DataFrame:
+def staged_if_sound(df: DataFrame, as_of=None, held: list | None = None) -> DataFrame:
     """Stage a silver frame and check it in the same pass; QualityError if it fails.
 
     For frames with one row per (ticker, trade_date) meant, such as ``transform_silver`` returns:
     a repeated key then is a row with the date of the row before it, which the window that
     computes the return can tell without another shuffle or sort. The counts are observed by the
-    tasks that write the staged table.
+    tasks that write the staged table, whose folder goes to ``held``.
     """
     previous = F.lag("trade_date").over(by_date())
     repeated = (F.row_number().over(by_date()) > 1) & previous.eqNullSafe(F.col("trade_date"))
@@ -85,7 +90,7 @@ def staged_if_sound(df: DataFrame, as_of=None) -> DataFrame:
         )
         .drop("_repeated")
     )
-    stored = staged(checked, "silver")
+    stored = staged(checked, "silver", held)
     _refuse(seen.get)
     return stored
 

@@ -50,16 +50,21 @@ def risk_return(summary: DataFrame) -> DataFrame:
     )
 
 
+def chosen_or_all(df: DataFrame, tickers) -> DataFrame:
+    """Rows of the chosen tickers; of all if there are none of them, or none are named."""
+    if tickers is None:
+        return df
+    chosen = member_of("ticker", tickers)
+    return df.where(chosen | ~df.where(chosen).exists())
+
+
 def monthly_heatmap(monthly: DataFrame, tickers=fixed.FOCUS_TICKERS) -> DataFrame:
     """Month returns in percent as (ticker, ym, return_pct), for the chosen tickers.
 
     If the table has none of them, all its tickers are shown; an EXISTS subquery decides, inside
     the same query.
     """
-    df = monthly
-    if tickers is not None:
-        chosen = member_of("ticker", tickers)
-        df = monthly.where(chosen | ~monthly.where(chosen).exists())
+    df = chosen_or_all(monthly, tickers)
     cells = mean_per_key(
         df.select("ticker", month_label("year", "month").alias("ym"), "month_return"),
         ["ticker", "ym"],

@@ -7,10 +7,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwright import fixed
-from barwright.functions.scalars import all_present, normalize_ticker, ratio_minus_one
+from barwright.functions.scalars import (
+    all_present,
+    normalize_ticker,
+    ratio_minus_one,
+    whole_number,
+)
 from barwright.functions.series import by_date
 from barwright.schemas import PRICE_COLUMNS, SERIES_KEYS, SILVER_SCHEMA
 
+WHOLE = {"bigint", "int", "smallint", "tinyint"}
 REQUIRED_COLUMNS = ["ticker", "trade_date", "close_price", "volume"]
 
 
@@ -32,7 +38,8 @@ def cast_types(df: DataFrame) -> DataFrame:
             "low_price": typed("low", "double"),
             "close_price": typed("close", "double"),
             "adj_close": F.coalesce(adj_close, typed("close", "double")),
-            "volume": typed("volume", "bigint"),
+            # a stored whole number stays a plain column, so that its filter reaches the scan
+            "volume": typed("volume", "bigint") if dict(df.dtypes)["volume"] in WHOLE else whole_number("volume"),
             "trade_date": typed("trade_date", "date"),
             "ticker": normalize_ticker("ticker"),
         }
@@ -57,7 +64,7 @@ def remove_invalid_prices(df: DataFrame) -> DataFrame:
 
 
 def deduplicate(df: DataFrame) -> DataFrame:
-    """One row per (ticker, trade_date): the largest adj_close, a null losing to any value.
+    """One row per (ticker, trade_date): the largest adj_close; NaN loses to any number, null to both.
 
     Ties fall to the larger close, volume and load time, then to the other columns, so the winner
     never depends on the order of the input. As an aggregate (not a row_number window) it keeps one
@@ -66,7 +73,12 @@ def deduplicate(df: DataFrame) -> DataFrame:
     """
     preferred = [c for c in ["adj_close", "close_price", "volume", "ingested_at"] if c in df.columns]
     others = [c for c in df.columns if c not in preferred and c not in SERIES_KEYS]
-    winner = df.groupBy(*SERIES_KEYS).agg(F.max(F.struct(*preferred, *others)).alias("_winner"))
+    ranked = []
+    for c in preferred:
+        if c in ("adj_close", "close_price"):  # NaN would be the largest value: numbers rank first
+            ranked.append((F.col(c).isNotNull() & ~F.isnan(c)).alias(f"_number_{c}"))
+        ranked.append(F.col(c))
+    winner = df.groupBy(*SERIES_KEYS).agg(F.max(F.struct(*ranked, *others)).alias("_winner"))
     return winner.select(
         *[F.col(c) if c in SERIES_KEYS else F.col(f"_winner.{c}").alias(c) for c in df.columns]
     )
@@ -87,6 +99,16 @@ def select_silver_columns(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in SILVER_SCHEMA.fieldNames() if c in df.columns])
 
 
+def rejected_rows(df: DataFrame) -> DataFrame:
+    """The raw rows that ``clean_bars`` drops other than as repeats, with ``reject_reasons``."""
+    checks = {f"missing {c}": F.col(c).isNull() for c in [*REQUIRED_COLUMNS, *PRICE_COLUMNS]}
+    checks |= {f"not positive {c}": F.col(c) <= 0 for c in PRICE_COLUMNS}
+    reasons = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in checks.items()]))
+    typed = cast_types(df.select("*", F.struct(*df.columns).alias("_raw")))
+    marked = typed.select("_raw", reasons.alias("reject_reasons"))
+    return marked.where(F.size("reject_reasons") > 0).select("_raw.*", "reject_reasons")
+
+
 def clean_bars(df: DataFrame) -> DataFrame:
     """Everything up to the return: typed, filtered, one row per (ticker, trade_date)."""
     keep = set(SILVER_SCHEMA.fieldNames()) | {"ingested_at"}

@@ -14,10 +14,12 @@ from barwright.operators.silver import (
     add_processed_at,
     clean_bars,
     in_window,
+    rejected_rows,
     select_silver_columns,
     transform_silver,
 )
-from barwright.session import staged
+from barwright.functions.scalars import normalize_ticker
+from barwright.session import remove, staged
 from barwright.sources import layers
 
 
@@ -30,17 +32,23 @@ def load_bronze(
     end=None,
     ingested_at=None,
 ) -> int:
-    """Store the raw bars of the window (the last 365 days by default) and tickers (all by default)."""
+    """Store the raw bars of the window (the last 365 days by default) and tickers (all by default).
+
+    Bars outside the window are left out: name ``start`` and ``end`` to load landed files whole. With
+    ``tickers`` named, in any case or spacing, stored bars of other tickers stay.
+    """
     rows = in_window(raw, start, end)
-    if tickers is not None:
-        rows = rows.where(F.col("ticker").isin(list(tickers)))
-    return layers.write_bronze(rows, root, source, ingested_at)
+    if tickers is None:
+        return layers.write_bronze(rows, root, source, ingested_at)
+    wanted = [normalize_ticker(F.lit(t)) for t in tickers]
+    rows = rows.where(normalize_ticker("ticker").isin(wanted))
+    return layers.write_bronze(rows, root, source, ingested_at, mode="merge")
 
 
 def build_silver(
     spark: SparkSession,
     root: str,
-    source: str = fixed.DEFAULT_SOURCE,
+    source: str | None = None,
     trade_date=None,
     since=None,
     as_of=None,
@@ -48,24 +56,44 @@ def build_silver(
 ) -> int:
     """Bronze to silver: all dates, one ``trade_date``, or all dates from ``since`` on.
 
+    All sources go in, unless one is named; bars that several have fold into one per ticker and date.
     A partial run looks up each ticker's last close ahead of it, so its returns are those a full
-    run would give. A correction to an older date changes the return of the date after it as well:
-    run it with ``since``. The result is staged and checked in one pass, and only a table that
-    passes is written.
+    run would give. A date also settles the return of the bar after it: if silver holds later dates
+    than ``trade_date``, the run goes on from there as with ``since``. The result is staged and checked
+    in one pass, and only a table that passes is written. Dates of the run that have no valid bar
+    (any more) are removed. Dropped rows are kept with their reasons, see ``layers.read_rejected``.
     """
+    silver = layers.read_silver(spark, root)
+    if trade_date is not None and since is None:
+        later = F.col("trade_date") > F.lit(trade_date).cast("date")
+        if not silver.where(later).isEmpty():
+            trade_date, since = None, trade_date
     raw = layers.read_bronze(spark, root, source, trade_date)
     if since is not None:
         raw = raw.where(F.col("trade_date") >= F.lit(since).cast("date"))
-    if raw.isEmpty():
-        return 0
     first_date = trade_date or since
-    if first_date is None:
-        clean = transform_silver(raw, processed_at)
-    else:
-        bars = staged(clean_bars(raw), "clean")
-        prior = prior_closes(layers.read_silver(spark, root), bars, first_date)
-        clean = select_silver_columns(add_processed_at(add_return_after(bars, prior), processed_at))
-    return layers.write_silver(staged_if_sound(clean, as_of), root)
+    if first_date is None and raw.isEmpty():
+        return 0
+    held = []
+    try:
+        if first_date is None:
+            clean = transform_silver(raw, processed_at)
+        else:
+            bars = staged(clean_bars(raw), "clean", held)
+            prior = prior_closes(silver, bars, first_date, held=held)
+            clean = select_silver_columns(add_processed_at(add_return_after(bars, prior), processed_at))
+        sound = staged_if_sound(clean, as_of, held)
+        layers.write_rejected(rejected_rows(raw), root, whole=first_date is None)
+        if first_date is not None:
+            stored = silver.where(F.col("trade_date") >= F.lit(first_date).cast("date"))
+            if trade_date is not None:
+                stored = stored.where(F.col("trade_date") == F.lit(trade_date).cast("date"))
+            days = [df.select("trade_date").distinct() for df in (stored, sound)]
+            emptied = days[0].join(days[1], "trade_date", "left_anti").collect()  # calendar days
+            layers.remove_silver_dates(spark, root, [r["trade_date"] for r in emptied])
+        return layers.write_silver(sound, root, whole=first_date is None)
+    finally:
+        remove(spark, *held)
 
 
 def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
@@ -109,7 +137,7 @@ def report_sections(
     if not daily.isEmpty():
         sections["cumulative_return"] = analytics.top_cumulative(daily)
         sections["volatility"] = report.volatility_series(daily, tickers)
-        sections["correlation"] = correlation_matrix(daily)
+        sections["correlation"] = correlation_matrix(report.chosen_or_all(daily, tickers))
         sections["portfolio_backtest"] = analytics.equal_weight_backtest(daily)
         shown = daily.where(F.col("ticker").isin(list(tickers))).agg(F.min("ticker")).first()[0]
         if shown is not None:
@@ -152,7 +180,7 @@ def run_all(
 ) -> dict:
     """Raw bars through all layers; returns rows per table and the report folder."""
     result = {"bronze": load_bronze(raw, root, source, tickers, start, end)}
-    result["silver"] = build_silver(spark, root, source)
+    result["silver"] = build_silver(spark, root)
     result.update(build_gold(spark, root))
     result["report"] = build_report(spark, root, report_time)
     return result

@@ -1,10 +1,13 @@
 """Follow-up questions and report datasets."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from barwright.operators import analytics, gold, profile, report
 from barwright.operators.correlation import correlation_matrix
 from barwright.session import staged
+from barwright.sources import bars
 from barwright.registry.base import (
     daily_brand,
     daily_events,
@@ -18,6 +21,7 @@ from barwright.registry.base import (
     silver_part,
 )
 
+# what the SQL side expects of the data; the queries take both lists from the tables
 BRANDS = [f"BRAND#{i}" for i in range(1, 26)]
 
 
@@ -206,7 +210,8 @@ _WIDE = ", ".join(
 
 @query("returns_wide", oracle(f"SELECT trade_date, {_WIDE} FROM silver GROUP BY trade_date"))
 def _(spark, folder):
-    return analytics.returns_wide(silver_brand(spark, folder), BRANDS)
+    brands = bars.table(spark, folder, "part").select(F.upper("p_brand")).distinct().collect()
+    return analytics.returns_wide(silver_brand(spark, folder), sorted(r[0] for r in brands))
 
 
 @query(
@@ -248,8 +253,10 @@ _MONTHS_WIDE = ", ".join(
     oracle(f"SELECT upper(ticker) AS ticker, {_MONTHS_WIDE} FROM monthly GROUP BY ticker"),
 )
 def _(spark, folder):
+    days = bars.table(spark, folder, "lineitem").agg(F.min("l_shipdate"), F.max("l_shipdate")).first()
     heatmap = report.monthly_heatmap(gold.monthly_returns(silver_brand(spark, folder)))
-    return report.heatmap_wide(heatmap, _MONTHS)
+    whole_years = date(days[0].year, 1, 1), date(days[1].year, 12, 1)
+    return report.heatmap_wide(heatmap, report.month_labels_between(*whole_years))
 
 
 @query(
@@ -292,3 +299,57 @@ def _(spark, folder):
 @query("report_summary_table_events", oracle(_SUMMARY_TABLE, "events"))
 def _(spark, folder):
     return report.report_summary_table(gold.portfolio_summary(daily_events(spark, folder)))
+
+
+_SOME = ["Brand#13", "BRAND#21"]
+_SOME_SQL = "upper(ticker) IN ('BRAND#13', 'BRAND#21')"
+
+
+@query(
+    "volatility_chosen",
+    oracle(
+        f"SELECT upper(ticker) AS ticker, trade_date, "
+        f"{r6('coalesce(volatility_20d * 100, 0) AS volatility_pct')} FROM daily WHERE {_SOME_SQL}"
+    ),
+)
+def _(spark, folder):
+    return report.volatility_series(daily_brand(spark, folder), [t.upper() for t in _SOME])
+
+
+@query("monthly_heatmap_chosen", oracle(_HEATMAP.replace("FROM monthly", f"FROM monthly WHERE {_SOME_SQL}")))
+def _(spark, folder):
+    monthly = gold.monthly_returns(silver_brand(spark, folder))
+    return report.monthly_heatmap(monthly, [t.upper() for t in _SOME])
+
+
+_QUARTILES = [("q25", 0.25), ("q50", 0.5), ("q75", 0.75)]
+
+
+@query(
+    "describe_quartile_ranks",
+    oracle(
+        "\nUNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", '{q}' AS quartile, count({c}) > 0 AS sound FROM raw"
+            for c in _RAW_COLUMNS[2:]
+            for q, _ in _QUARTILES
+        )
+    ),
+)
+def _(spark, folder):
+    """Whether each sketched quartile's rank is as near its target as the sketch promises."""
+    rows = staged(raw_brand(spark, folder), "raw")
+    described = profile.describe(rows)
+    wanted = described.select(
+        "column",
+        F.inline(F.array(*[F.struct(F.lit(q).alias("quartile"), F.lit(p).alias("target"), F.col(q).alias("value")) for q, p in _QUARTILES])),
+    )
+    values = rows.select(
+        F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in _RAW_COLUMNS[2:]]))
+    ).where("x is not null")
+    ranks = values.join(F.broadcast(wanted), "column").groupBy("column", "quartile", "target").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("x") < F.col("value")).alias("below"), F.count_if(F.col("x") <= F.col("value")).alias("upto")
+    )
+    error = F.ceil(F.col("n") / profile.ACCURACY) + 1
+    target = F.col("target") * F.col("n")
+    sound = (F.col("below") <= target + error) & (F.col("upto") >= target - error)
+    return ranks.select("column", "quartile", sound.alias("sound"))

@@ -115,18 +115,16 @@ def daily_events(spark, folder):
 
 _ITEM_BARS = """
   SELECT {ticker} AS ticker, CAST(l_shipdate AS DATE) AS trade_date,
-         arg_min(l_extendedprice / l_quantity, {position}) AS open,
+         first(l_extendedprice / l_quantity {ascending}) AS open,
          max(l_extendedprice / l_quantity) AS high,
          min(l_extendedprice / l_quantity) AS low,
-         arg_max(l_extendedprice / l_quantity, {position}) AS close,
-         arg_max(l_extendedprice / l_quantity, {position}) AS adj_close,
+         first(l_extendedprice / l_quantity {descending}) AS close,
+         first(l_extendedprice / l_quantity {descending}) AS adj_close,
          CAST(sum(l_quantity) AS BIGINT) AS volume
   FROM lineitem {join}
   GROUP BY 1, 2"""
-_POSITION = (
-    "(l_orderkey % 1048576) * 8796093022208 "
-    "+ CAST(round(l_extendedprice * 100) AS BIGINT) * 64 + CAST(l_quantity AS BIGINT)"
-)
+_ORDER = "ORDER BY l_orderkey{0}, l_extendedprice{0}, l_quantity{0}"
+_DIRECTIONS = {"ascending": _ORDER.format(""), "descending": _ORDER.format(" DESC")}
 _EVENT_BARS = """
   SELECT CAST({ticker} AS VARCHAR) AS ticker, CAST(ts AS DATE) AS trade_date,
          arg_min(value, event_id) AS open, max(value) AS high, min(value) AS low,
@@ -135,9 +133,9 @@ _EVENT_BARS = """
   FROM events GROUP BY 1, 2"""
 _BARS = {
     "brand": _ITEM_BARS.format(
-        ticker="p_brand", position=_POSITION, join="JOIN part ON l_partkey = p_partkey"
+        ticker="p_brand", join="JOIN part ON l_partkey = p_partkey", **_DIRECTIONS
     ),
-    "part": _ITEM_BARS.format(ticker="'P' || l_partkey", position=_POSITION, join=""),
+    "part": _ITEM_BARS.format(ticker="'P' || l_partkey", join="", **_DIRECTIONS),
     "events": _EVENT_BARS.format(ticker="event_type"),
     "users": _EVENT_BARS.format(ticker="user_id"),
     "orders": """
@@ -148,7 +146,7 @@ _BARS = {
                max(o_totalprice) AS high, min(o_totalprice) AS low, count(*) AS volume
         FROM orders GROUP BY 1, 2) AS o""",
 }
-_RAW_WITH_DEFECTS = """
+RAW_WITH_DEFECTS = """
   SELECT ticker, trade_date, open, high,
          CASE WHEN k % 89 = 0 THEN -low ELSE low END AS low,
          CASE WHEN k % 97 <> 0 THEN close * factor END AS close,
@@ -202,7 +200,7 @@ def oracle(body: str, series: str = "brand") -> str:
     defects = series in ("brand", "part")
     views = {
         "bars": _BARS[series],
-        "raw": _RAW_WITH_DEFECTS if defects else "\n  SELECT * FROM bars",
+        "raw": RAW_WITH_DEFECTS if defects else "\n  SELECT * FROM bars",
         **_FROM_RAW,
     }
     return "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in views.items()) + "\n" + body

@@ -150,12 +150,13 @@ _AS_OF = "2001-06-30"
          count(*) FILTER (WHERE high <= 0) AS non_positive_high_price,
          count(*) FILTER (WHERE low <= 0) AS non_positive_low_price,
          count(*) FILTER (WHERE close <= 0) AS non_positive_close_price,
+         count(*) FILTER (WHERE isnan(open) OR isnan(high) OR isnan(low) OR isnan(close)) AS nan_prices,
          count(*) FILTER (WHERE trade_date > DATE '{_AS_OF}') AS future_dates,
          count(*) - (SELECT count(*) FROM (SELECT DISTINCT ticker, trade_date FROM raw) AS d)
            AS duplicate_rows
   FROM raw)
 SELECT *, null_ticker + null_trade_date + null_close_price + null_volume + non_positive_open_price
-          + non_positive_high_price + non_positive_low_price + non_positive_close_price
+          + non_positive_high_price + non_positive_low_price + non_positive_close_price + nan_prices
           + future_dates + duplicate_rows = 0 AS passed
 FROM report"""
     ),
@@ -176,6 +177,7 @@ def _(spark, folder):
                 "null_close_price",
                 "null_volume",
                 *[f"non_positive_{c}" for c in PRICE_COLUMNS],
+                "nan_prices",
                 "future_dates",
                 "duplicate_rows",
             ]

@@ -7,6 +7,8 @@ whole event and order tables make the round trips.
 
 from datetime import date
 
+from pyspark.sql import functions as F
+
 from barwright.operators import gold
 from barwright.plans import medallion
 from barwright.registry.base import (
@@ -16,6 +18,7 @@ from barwright.registry.base import (
     MONTHLY_VALUES,
     PROCESS_TIME,
     RAW_VALUES,
+    RAW_WITH_DEFECTS,
     SUMMARY_VALUES,
     daily_part,
     oracle,
@@ -123,3 +126,107 @@ def _(spark, folder):
     root = new_folder(spark, "lake")
     medallion.run_all(spark, bars.bars_from_events(spark, folder), root, "events", start=_START, end=_END)
     return layers.read_gold(spark, root, "portfolio_summary")
+
+
+def _tickers(raw):
+    """All tickers of a frame with few of them."""
+    return sorted(r["ticker"] for r in raw.select("ticker").distinct().collect())
+
+
+@query(
+    "bronze_load_by_ticker",
+    oracle(f"SELECT ticker, trade_date, {RAW_VALUES}, 'events' AS source FROM raw", "events"),
+)
+def _(spark, folder):
+    """Some tickers, the others, and the first ones again."""
+    root = new_folder(spark, "lake")
+    raw = bars.bars_from_events(spark, folder)
+    tickers = _tickers(raw)
+    for some in (tickers[::2], [f" {t.lower()} " for t in tickers[1::2]], tickers[::2]):
+        medallion.load_bronze(raw, root, "events", tickers=some, start=_START, end=_END)
+    return layers.read_bronze(spark, root, "events").drop("ingested_at")
+
+
+@query("silver_two_sources", oracle(_SILVER, "events"))
+def _(spark, folder):
+    """Two sources that share some bars, through one silver table, built twice."""
+    root = new_folder(spark, "lake")
+    raw = bars.bars_from_events(spark, folder)
+    tickers = _tickers(raw)
+    medallion.load_bronze(raw, root, "first", tickers=tickers[:-1], start=_START, end=_END)
+    medallion.load_bronze(raw, root, "second", tickers=tickers[1:], start=_START, end=_END)
+    for _ in range(2):
+        medallion.build_silver(spark, root, processed_at=PROCESS_TIME)
+    return layers.read_silver(spark, root).drop("processed_at")
+
+
+def _corrected(spark, folder, since):
+    """A date whose bars are corrected to invalid prices after all layers were built."""
+    root = new_folder(spark, "lake")
+    raw = _user_bars(spark, folder)
+    medallion.load_bronze(raw, root, "events", start=_START, end=_END)
+    medallion.build_silver(spark, root, processed_at=PROCESS_TIME)
+    medallion.build_gold(spark, root)
+    spoilt = raw.where(F.col("trade_date") == F.lit(_DAY).cast("date")).withColumn("open", F.lit(-1.0))
+    medallion.load_bronze(spoilt, root, "events", start=_START, end=_END)
+    medallion.build_silver(spark, root, since=since, processed_at=PROCESS_TIME)
+    medallion.build_gold(spark, root)
+    return layers.read_gold(spark, root, "daily_metrics").drop("processed_at")
+
+
+_WITHOUT_DAY = oracle(_DAILY, "users").replace(
+    "SELECT * FROM bars", f"SELECT * FROM bars WHERE trade_date <> DATE '{_DAY}'"
+)
+
+
+@query("full_batch_corrected", _WITHOUT_DAY)
+def _(spark, folder):
+    return _corrected(spark, folder, None)
+
+
+@query("full_batch_corrected_since", _WITHOUT_DAY)
+def _(spark, folder):
+    return _corrected(spark, folder, _DAY)
+
+
+@query("full_batch_out_of_order", oracle(_DAILY, "users"))
+def _(spark, folder):
+    """One date comes after later ones."""
+    root = new_folder(spark, "lake")
+    raw = _user_bars(spark, folder)
+    late = F.col("trade_date") == F.lit(_DAY).cast("date")
+    medallion.load_bronze(raw.where(~late), root, "events", start=_START, end=_END)
+    medallion.build_silver(spark, root, processed_at=PROCESS_TIME)
+    medallion.load_bronze(raw.where(late), root, "events", start=_START, end=_END)
+    medallion.build_silver(spark, root, trade_date=_DAY, processed_at=PROCESS_TIME)
+    medallion.build_gold(spark, root)
+    return layers.read_gold(spark, root, "daily_metrics").drop("processed_at")
+
+
+@query(
+    "silver_job_quarantine",
+    oracle(
+        """
+, told AS (
+  SELECT close IS NOT NULL AND volume IS NOT NULL AND open > 0 AND high > 0 AND low > 0 AND close > 0 AS sound
+  FROM raw)
+SELECT count(*) AS n_raw, (SELECT count(*) FROM clean) AS n_kept,
+       count(*) FILTER (WHERE sound IS NOT TRUE) AS n_rejected,
+       count(*) FILTER (WHERE sound) - (SELECT count(*) FROM clean) AS n_repeated
+FROM told""",
+        "users",
+    ).replace("SELECT * FROM bars", RAW_WITH_DEFECTS),
+)
+def _(spark, folder):
+    """Every row that goes into the silver job is kept, rejected with a reason, or a repeat."""
+    root = new_folder(spark, "lake")
+    raw = bars.with_defects(_user_bars(spark, folder))
+    medallion.load_bronze(raw, root, "events", start=_START, end=_END)
+    medallion.build_silver(spark, root, processed_at=PROCESS_TIME)
+    counts = {
+        "n_raw": layers.read_bronze(spark, root, "events"),
+        "n_kept": layers.read_silver(spark, root),
+        "n_rejected": layers.read_rejected(spark, root).where("size(reject_reasons) > 0"),
+    }
+    one = spark.range(1).select(*[df.agg(F.count(F.lit(1))).scalar().alias(n) for n, df in counts.items()])
+    return one.withColumn("n_repeated", F.expr("n_raw - n_kept - n_rejected"))

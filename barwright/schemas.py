@@ -49,6 +49,11 @@ SILVER_SCHEMA = _struct(
     ("processed_at", T.TimestampType(), False),
 )
 
+REJECTED_SCHEMA = T.StructType(
+    [T.StructField(f.name, f.dataType) for f in BRONZE_SCHEMA.fields]
+    + [T.StructField("reject_reasons", T.ArrayType(T.StringType()))]
+)
+
 DAILY_METRICS_SCHEMA = T.StructType(
     SILVER_SCHEMA.fields
     + _struct(
@@ -101,14 +106,15 @@ HISTORY_PAYLOAD_SCHEMA = T.StructType(
                         T.StructField(
                             "historicalDataPrice",
                             T.ArrayType(
+                                # text: a number may come quoted, or whole numbers as floats
                                 _struct(
                                     ("date", T.StringType(), True),
-                                    ("open", T.DoubleType(), True),
-                                    ("high", T.DoubleType(), True),
-                                    ("low", T.DoubleType(), True),
-                                    ("close", T.DoubleType(), True),
-                                    ("adjustedClose", T.DoubleType(), True),
-                                    ("volume", T.LongType(), True),
+                                    ("open", T.StringType(), True),
+                                    ("high", T.StringType(), True),
+                                    ("low", T.StringType(), True),
+                                    ("close", T.StringType(), True),
+                                    ("adjustedClose", T.StringType(), True),
+                                    ("volume", T.StringType(), True),
                                 )
                             ),
                         ),

@@ -45,13 +45,23 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, held: list | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Steps that scan a result more than once use this instead of a cache: the written table cuts the
-    lineage and outlives any executor.
+    lineage and outlives any executor. ``held`` collects the folders, for ``remove`` to take away
+    when nothing reads them any more.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
+    if held is not None:
+        held.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, *paths: str) -> None:
+    """Delete folders, wherever the session's file systems have them."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

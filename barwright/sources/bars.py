@@ -6,6 +6,8 @@ that no two rows of different price share, so they do not depend on input order,
 can hash: ordering by several columns would make Spark sort the whole table first.
 """
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,9 +32,10 @@ def _bars(df: DataFrame, price, position, volume) -> DataFrame:
 def bars_from_lineitem(spark: SparkSession, folder: str, by: str = "brand") -> DataFrame:
     """Unit prices per shipping day. ``by="brand"`` gives few long series, ``by="part"`` many.
 
-    Lines have no time of day. Their position in the day is the order number (its low 20 bits),
-    then the extended price in cents, then the quantity, packed into one 63-bit number; two lines
-    at the same position have the same price. The pair (order, line) is not unique in the data.
+    Lines have no time of day. Their position in the day is the order number, then the extended price
+    in cents, then the quantity, packed into one decimal of 38 digits: 19 for the whole order number,
+    14 for the cents and 5 for the quantity. Two lines at the same position have the same price. The
+    pair (order, line) is not unique in the data. A position that needs more digits ends the job.
 
     The brand join carries no hint: part grows with the data, so Spark broadcasts it only under the
     session's size threshold and otherwise shuffles, splitting a part that dominates lineitem.
@@ -53,11 +56,9 @@ def bars_from_lineitem(spark: SparkSession, folder: str, by: str = "brand") -> D
         raise ValueError(f"unknown series key: {by}")
     price = F.try_divide("l_extendedprice", "l_quantity")
     cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    position = (
-        F.shiftleft(F.col("l_orderkey").bitwiseAND(F.lit((1 << 20) - 1)), 43)
-        + cents * 64
-        + F.col("l_quantity").cast("bigint")
-    )
+    within = cents.cast("decimal(14,0)") * F.lit(10**5) + F.col("l_quantity").cast("decimal(5,0)")
+    position = F.col("l_orderkey").cast("decimal(19,0)") * F.lit(Decimal(10**19)) + within
+    position = position.cast("decimal(38,0)")
     return _bars(items, price, position, F.sum("l_quantity"))
 
 

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barwright import fixed
-from barwright.schemas import HISTORY_PAYLOAD_SCHEMA, RAW_SCHEMA, conform
+from barwright.functions.scalars import whole_number
+from barwright.schemas import HISTORY_PAYLOAD_SCHEMA, RAW_SCHEMA
 
 CORRUPT = "_corrupt_record"
 
@@ -70,6 +71,8 @@ def typed_bars(df: DataFrame) -> DataFrame:
         return F.col(name).try_cast(kind)
 
     columns = {f.name: typed(f.name, f.dataType.simpleString()) for f in RAW_SCHEMA.fields}
+    if "volume" in df.columns:
+        columns["volume"] = whole_number("volume")
     columns["adj_close"] = F.coalesce(columns["adj_close"], columns["close"])
     return df.select(*[c.alias(name) for name, c in columns.items()])
 
@@ -90,7 +93,7 @@ def flatten_history(responses: DataFrame, suffix: str = fixed.TICKER_SUFFIX) ->
         F.concat(F.col("r.symbol"), F.lit(suffix)).alias("ticker"),
         F.inline("r.historicalDataPrice"),
     )
-    return conform(
+    return typed_bars(
         entries.select(
             "ticker",
             F.try_to_date("date", "yyyy-MM-dd").alias("trade_date"),
@@ -98,10 +101,9 @@ def flatten_history(responses: DataFrame, suffix: str = fixed.TICKER_SUFFIX) ->
             "high",
             "low",
             "close",
-            F.coalesce("adjustedClose", "close").alias("adj_close"),
+            F.col("adjustedClose").alias("adj_close"),
             "volume",
-        ),
-        RAW_SCHEMA,
+        )
     )
 
 

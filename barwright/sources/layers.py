@@ -6,19 +6,35 @@ task writes many small partitions, and a partition too big for one task is split
 files nor one heavy day become a problem.
 """
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barwright import fixed
-from barwright.schemas import BRONZE_SCHEMA, GOLD_SCHEMAS, SILVER_SCHEMA, conform, empty
-from barwright.session import new_folder
+from barwright.schemas import (
+    BRONZE_SCHEMA,
+    GOLD_SCHEMAS,
+    REJECTED_SCHEMA,
+    SILVER_SCHEMA,
+    conform,
+    empty,
+)
+from barwright.session import new_folder, remove, staged
 
 
 def bronze_path(root: str, source: str = fixed.DEFAULT_SOURCE) -> str:
     return f"{root}/bronze/{source}"
 
 
+def bronze_sources(spark: SparkSession, root: str) -> list[str]:
+    """The sources that were loaded."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(bronze_path(root, "*"))
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    return sorted(status.getPath().getName() for status in found or [])
+
+
 def silver_path(root: str) -> str:
     return f"{root}/silver"
 
@@ -27,22 +43,43 @@ def gold_path(root: str, name: str) -> str:
     return f"{root}/gold/{name}"
 
 
-def _write(df: DataFrame, path: str, partitions, order, mode: str = "overwrite") -> int:
+def rejected_path(root: str) -> str:
+    return f"{root}/rejected"
+
+
+def _missing(spark: SparkSession, path: str) -> str | None:
+    """The uppermost folder of ``path`` that isn't there yet."""
+    place, missing = spark._jvm.org.apache.hadoop.fs.Path(path), None
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    while place is not None and not files.exists(place):
+        place, missing = place.getParent(), place.toString()
+    return missing
+
+
+def _write(
+    df: DataFrame, path: str, partitions, order, mode: str = "overwrite", whole: bool = False
+) -> int:
     """Write and return the number of rows, counted by the write itself.
 
-    No rows, no change: with partitions, only those with rows are touched.
+    With partitions only those with rows are touched, unless the ``whole`` table is replaced: then
+    partitions without rows go. ``df`` must not read what a whole write replaces. Without rows no new
+    folder is left.
     """
+    made = _missing(df.sparkSession, path)
     counted = Observation()
     rows = df.hint("rebalance", *partitions).sortWithinPartitions(*partitions, *order)
     writer = (
         rows.observe(counted, F.count(F.lit(1)).alias("n"))
         .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
     )
     if partitions:
         writer = writer.partitionBy(*partitions)
     writer.parquet(path)
-    return counted.get["n"]
+    n_rows = counted.get["n"]
+    if made and not n_rows:
+        remove(df.sparkSession, made)
+    return n_rows
 
 
 def _read(spark: SparkSession, path: str, schema) -> DataFrame:
@@ -76,26 +113,58 @@ def write_bronze(
 ) -> int:
     """Store raw bars as they are, plus source and load time; returns the rows written.
 
-    Replaces the dates present in ``df``; ``mode="append"`` adds to them instead, for a load that
-    brings further tickers of the same dates (silver drops repeated bars). Nothing to write leaves
-    nothing behind.
+    Replaces the dates present in ``df``. ``mode="merge"`` replaces only what ``df`` has of them, by
+    ticker and date, and keeps the other tickers of those dates; ``mode="append"`` adds to them
+    (silver drops repeated bars). Both can be repeated. Nothing to write changes nothing.
     """
-    if df.isEmpty():
-        return 0
+    spark, path = df.sparkSession, bronze_path(root, source)
     rows = conform(with_load_columns(df, source, ingested_at), BRONZE_SCHEMA)
-    return _write(rows, bronze_path(root, source), ["trade_date"], ["ticker"], mode)
+    if mode != "merge":
+        return _write(rows, path, ["trade_date"], ["ticker"], mode)
+    held = []
+    rows = staged(rows, "load", held)
+    stored = _read(spark, path, BRONZE_SCHEMA)
+    others = stored.join(rows.select("trade_date").distinct(), "trade_date", "left_semi").join(
+        rows, ["ticker", "trade_date"], "left_anti"
+    )
+    # staged as well: the partitions it comes from are replaced
+    others = staged(others.select(*BRONZE_SCHEMA.fieldNames()), "others", held)
+    n_rows = rows.count()
+    _write(rows.unionByName(others), path, ["trade_date"], ["ticker"])
+    remove(spark, *held)
+    return n_rows
 
 
 def read_bronze(
-    spark: SparkSession, root: str, source: str = fixed.DEFAULT_SOURCE, trade_date=None
+    spark: SparkSession, root: str, source: str | None = fixed.DEFAULT_SOURCE, trade_date=None
 ) -> DataFrame:
-    """All dates or one (only its partition is read); a source never loaded gives no rows."""
-    return _on_date(_read(spark, bronze_path(root, source), BRONZE_SCHEMA), trade_date)
+    """All dates or one (only its partition is read); a source never loaded gives no rows.
+
+    ``source=None`` reads all sources.
+    """
+    sources = bronze_sources(spark, root) if source is None else [source]
+    stored = [_read(spark, bronze_path(root, s), BRONZE_SCHEMA) for s in sources]
+    every = reduce(DataFrame.unionByName, stored) if stored else empty(spark, BRONZE_SCHEMA)
+    return _on_date(every, trade_date)
+
+
+def write_silver(df: DataFrame, root: str, schema=SILVER_SCHEMA, whole: bool = False) -> int:
+    """Store clean bars, replacing the dates present in ``df`` or the ``whole`` table."""
+    return _write(conform(df, schema), silver_path(root), ["trade_date"], ["ticker"], whole=whole)
+
+
+def remove_silver_dates(spark: SparkSession, root: str, dates) -> None:
+    """Take away whole dates, those whose bars all turned out invalid."""
+    remove(spark, *(f"{silver_path(root)}/trade_date={d}" for d in dates))
+
+
+def write_rejected(df: DataFrame, root: str, whole: bool = True) -> int:
+    """Keep the rows that silver dropped, with their reasons, by date."""
+    return _write(df, rejected_path(root), ["trade_date"], ["ticker"], whole=whole)
 
 
-def write_silver(df: DataFrame, root: str, schema=SILVER_SCHEMA) -> int:
-    """Store clean bars, replacing the dates present in ``df``; returns the rows written."""
-    return _write(conform(df, schema), silver_path(root), ["trade_date"], ["ticker"])
+def read_rejected(spark: SparkSession, root: str) -> DataFrame:
+    return _read(spark, rejected_path(root), REJECTED_SCHEMA)
 
 
 def read_silver(spark: SparkSession, root: str, trade_date=None, schema=SILVER_SCHEMA) -> DataFrame:
@@ -103,22 +172,23 @@ def read_silver(spark: SparkSession, root: str, trade_date=None, schema=SILVER_S
 
 
 def write_gold(df: DataFrame, root: str, name: str) -> int:
-    """Store a gold table, partitioned by year and month where it has them.
+    """Store a gold table, partitioned by year and month where it has them, in place of the old one.
 
-    A table without them is replaced whole. It is staged first: whether there are rows to replace
-    it with is only known once they are computed, and they should not be computed twice.
+    A table without them is staged first: whether there are rows to replace it with is only known
+    once they are computed, and they should not be computed twice.
     """
     schema = GOLD_SCHEMAS.get(name)
     rows = df if schema is None else conform(df, schema)
     order = [c for c in ("ticker", "trade_date") if c in df.columns]
     path = gold_path(root, name)
     if {"year", "month"} <= set(df.columns):
-        return _write(rows, path, ["year", "month"], order)
+        return _write(rows, path, ["year", "month"], order, whole=True)
     spark = df.sparkSession
     folder = new_folder(spark, name)
     n_rows = _write(rows, folder, [], order)
     if n_rows:
         _write(spark.read.schema(rows.schema).parquet(folder), path, [], order)
+    remove(spark, folder)
     return n_rows
 
 
