@@ -10,7 +10,7 @@ from barwright.registry.base import (
     query,
     raw_brand,
 )
-from barwright.session import new_folder
+from barwright.session import new_folder, staged
 from barwright.sources import bars, feeds, layers
 
 _ALL_BARS = f"SELECT ticker, trade_date, {RAW_VALUES} FROM bars"
@@ -56,20 +56,28 @@ FEED_HEADER = ["Symbol", "Date", "Open", "High", "Low", "Close", "Adj Close", "V
 
 
 def _landed_feed(spark, folder):
-    """The raw bars as delimited files in a feed's own layout; adj close left out for 'Brand#1x'."""
-    raw = raw_brand(spark, folder)
+    """The raw bars as delimited files of three layouts.
+
+    'Brand#1x' has no adj close and its columns in another order, 'Brand#2x' volumes written as floats.
+    """
     path = new_folder(spark, "feed")
-    adjusted = F.when(~F.col("ticker").startswith("Brand#1"), F.col("adj_close"))
-    raw.select(
+    columns = [
         F.col("ticker").alias("Symbol"),
         F.concat(F.col("trade_date").cast("string"), F.lit(" 00:00:00")).alias("Date"),
-        F.col("open").alias("Open"),
-        F.col("high").alias("High"),
-        F.col("low").alias("Low"),
-        F.col("close").alias("Close"),
-        adjusted.alias("Adj Close"),
-        F.col("volume").alias("Volume"),
-    ).write.option("header", True).csv(path)
+        *[F.col(c.lower().replace(" ", "_")).alias(c) for c in FEED_HEADER[2:]],
+    ]
+    landed = staged(raw_brand(spark, folder), "landed").select(*columns)
+    layouts = {
+        "Brand#1": [c for c in reversed(FEED_HEADER) if c != "Adj Close"],
+        "Brand#2": FEED_HEADER,
+        "": FEED_HEADER,
+    }
+    for start, header in layouts.items():
+        brand = F.substring("Symbol", 1, 7)
+        rows = landed.where(brand == start if start else ~brand.isin("Brand#1", "Brand#2"))
+        if start == "Brand#2":
+            rows = rows.withColumn("Volume", F.format_string("%.1f", F.col("Volume").cast("double")))
+        rows.select(*header).write.mode("append").option("header", True).csv(path)
     return path
 
 
@@ -89,12 +97,12 @@ def _landed_histories(spark, folder):
     """The raw bars as JSON responses, one per ticker and month (so at most 62 entries each)."""
     entry = F.struct(
         F.col("trade_date").cast("string").alias("date"),
-        "open",
+        F.col("open").cast("string").alias("open"),  # quoted in the JSON
         "high",
         "low",
         "close",
         F.col("adj_close").alias("adjustedClose"),
-        "volume",
+        F.col("volume").cast("double").alias("volume"),
     )
     responses = (
         raw_brand(spark, folder)

@@ -11,28 +11,42 @@ from barwright.schemas import HISTORY_PAYLOAD_SCHEMA, RAW_SCHEMA
 CORRUPT = "_corrupt_record"
 
 
-def feed_schema(columns, delimited: bool = True) -> T.StructType:
-    """All-text schema for files with these columns, in file order, plus the corrupt-record field."""
-    names = [*columns, CORRUPT] if delimited else list(columns)
-    return T.StructType([T.StructField(name, T.StringType()) for name in names])
+def _fields(line: Column, sep: str) -> Column:
+    """The fields of a line; a separator within double quotes belongs to its field."""
+    parts = F.split(line, rf'\Q{sep}\E(?=(?:[^"]*"[^"]*")*[^"]*$)', -1)
+    return F.transform(parts, lambda f: F.replace(F.regexp_replace(F.btrim(f), '^"|"$', ""), F.lit('""'), F.lit('"')))
 
 
 def read_feed_files(spark: SparkSession, path, columns, sep: str = ",") -> DataFrame:
-    """One read over any number of delimited files, every field as text.
+    """One read over any number of delimited files, the named columns as text.
 
-    Lines with the wrong number of fields keep their text in ``_corrupt_record`` and do not stop
-    the others. Column pruning is off: with it a line only counts as corrupt if one of the columns
-    a query happens to use is affected.
+    Each file's first line says where its columns lie; a column that a file lacks is null there. Lines
+    with another number of fields than their file's header keep their text in ``_corrupt_record`` and
+    do not stop the others. Folder names like ``ticker=A`` become columns. The headers are gathered
+    by a pass of their own, one row per file.
     """
-    return (
-        spark.read.schema(feed_schema(columns))
-        .option("header", True)
-        .option("sep", sep)
-        .option("mode", "PERMISSIVE")
-        .option("columnPruning", False)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
+    lines = spark.read.text(path)
+    partitions = [c for c in lines.columns if c != "value"]
+    lines = lines.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"))
+    headers = (
+        lines.where("_at = 0").withColumn("_id", F.monotonically_increasing_id())
+        .groupBy("_file").agg(F.min_by("value", "_id").alias("_header"))
     )
+    rows = lines.join(headers, "_file").where((F.col("value") != F.col("_header")) & (F.btrim("value") != ""))
+    rows = rows.select(*partitions, "value", _fields(F.col("_header"), sep).alias("_names"), _fields(F.col("value"), sep).alias("_values"))
+    complete = F.size("_names") == F.size("_values")
+
+    def named(name):
+        at = F.array_position("_names", name).cast("int")
+        return F.when(complete & (at > 0), F.nullif(F.get("_values", at - 1), F.lit(""))).alias(name)
+
+    wanted = [named(c) for c in columns if c not in partitions]
+    return rows.select(*wanted, *partitions, F.when(~complete, F.col("value")).alias(CORRUPT))
+
+
+def read_parquet_feed(spark: SparkSession, path) -> DataFrame:
+    """Landed Parquet history files; a column that a file lacks is null there."""
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
 def intact(feed: DataFrame) -> DataFrame:

@@ -27,6 +27,30 @@ def test_delimited_feed(spark, tmp_path):
     ]
 
 
+def test_every_file_has_its_own_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Date,Open,High,Low,Close,Adj Close,Volume\n2024-01-02,1,2,0.5,1.5,1.4,12000000.0\n")
+    (tmp_path / "b.csv").write_text("Date,Close,Open,High,Low,Volume\n2024-01-03,1.5,1,2,0.5,1.2E7\n\n2024-01-05,1\n")
+    (tmp_path / "c.csv").write_text('Volume,"Adj Close",Close,Low,High,Open,Date\n"7",1.4,1.5,"0.5",2,1,2024-01-04\n1.5,1,1,1,1,1,2024-01-06\n')
+    feed = feeds.read_feed_files(spark, str(tmp_path), HEADER)
+    assert feeds.rejected(feed).count() == 1 and feeds.intact(feed).count() == 4
+    bars = feeds.normalize_feed(feeds.intact(feed), "A").where("volume is not null")
+    assert sorted(tuple(r)[1:] for r in bars.collect()) == [
+        (date(2024, 1, 2), 1.0, 2.0, 0.5, 1.5, 1.4, 12_000_000),
+        (date(2024, 1, 3), 1.0, 2.0, 0.5, 1.5, 1.5, 12_000_000),
+        (date(2024, 1, 4), 1.0, 2.0, 0.5, 1.5, 1.4, 7),
+    ]
+
+
+def test_parquet_feed(spark, tmp_path):
+    columns = ["Date", "Open", "High", "Low", "Close", "Volume"]
+    row = ("2024-01-02", 1.0, 2.0, 0.5, 1.5, 12_000_000.0)
+    spark.createDataFrame([row], columns).write.parquet(str(tmp_path / "f" / "x"))
+    wide = spark.createDataFrame([(*row, 1.4)], [*columns, "Adj Close"])
+    wide.write.parquet(str(tmp_path / "f" / "y"))
+    bars = feeds.normalize_feed(feeds.read_parquet_feed(spark, str(tmp_path / "f" / "*")), "A")
+    assert sorted(tuple(r)[2:] for r in bars.collect()) == [(1.0, 2.0, 0.5, 1.5, c, 12_000_000) for c in (1.4, 1.5)]
+
+
 @pytest.mark.parametrize("date_name", ["Date", "index", "Datetime"])
 def test_date_aliases_and_missing_adj_close(spark, date_name):
     frame = spark.createDataFrame(
@@ -56,6 +80,7 @@ def responses(spark, tmp_path):
     entry = {"date": "2024-01-02", "open": 1, "high": 2, "low": 0.5, "close": 1.5, "volume": 100}
     payloads = [
         {"results": [{"symbol": "PETR4", "historicalDataPrice": [entry, {**entry, "date": "02/01/2024", "adjustedClose": 9.0}]}]},
+        {"results": [{"symbol": "ITUB4", "historicalDataPrice": [{**entry, "open": "1.25", "volume": 12000000.0, "adjustedClose": 10}]}]},
         {"results": [{"symbol": "VALE3"}]},
         {"results": []},
         {"error": True},
@@ -70,11 +95,12 @@ def test_json_history(responses):
     assert sorted(map(tuple, bars.collect()), key=lambda r: r[6]) == [
         ("PETR4.SA", date(2024, 1, 2), 1.0, 2.0, 0.5, 1.5, 1.5, 100),
         ("PETR4.SA", None, 1.0, 2.0, 0.5, 1.5, 9.0, 100),
+        ("ITUB4.SA", date(2024, 1, 2), 1.25, 2.0, 0.5, 1.5, 10.0, 12_000_000),
     ]
 
 
 def test_first_quote(responses):
-    assert [r.symbol for r in feeds.first_quote(responses, "symbol string").collect()] == ["PETR4", "VALE3"]
+    assert [r.symbol for r in feeds.first_quote(responses, "symbol string").collect()] == ["PETR4", "ITUB4", "VALE3"]
 
 
 def test_assemble_fills_absent_columns(spark, raw_df):
