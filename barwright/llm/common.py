@@ -37,8 +37,11 @@ def ascii_lower(text):
 
 def word_array(text):
     """The words of a text; a null text has none."""
-    words = F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD)
-    return F.filter(words, lambda w: w != "")
+    return split_words(ascii_lower(F.coalesce(text, F.lit(""))))
+
+
+def split_words(text):
+    return F.array_remove(F.split(text, NOT_WORD), "")
 
 
 def stage(df: DataFrame, label: str) -> tuple[DataFrame, str]:

@@ -2,7 +2,7 @@
 
 Two lines are near if their words are equal, or if both have at least ``min_words`` words and one
 inserted, deleted or replaced word turns one into the other. A line goes if an earlier line, by
-(doc_id, line number), is near it.
+(doc_id, line number), is near it. Words are runs of letters and digits in lower case.
 
 1. Lines with equal words fold into one class, known by its earliest place.
 2. One edit leaves the first or the last half of the words as it is. Only classes that share a half
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from barwright.llm.common import discard, stage, word_array
+from barwright.llm.common import discard, split_words, stage
 
 MIN_WORDS = 8
 #: Up to so many shared classes (8 bytes each) are broadcast; more meet the lines in a shuffle.
@@ -40,7 +40,7 @@ def _line_rows(docs: DataFrame) -> DataFrame:
     lines = texts.filter("text is not null").select(
         "doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("line_no", "line")
     )
-    return lines.select("doc_id", "text_key", "line_no", word_array(F.col("line")).alias("words"))
+    return lines.select("doc_id", "text_key", "line_no", split_words(F.lower("line")).alias("words"))
 
 
 def _half(words, n, side: str) -> Column:
@@ -123,10 +123,10 @@ def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     shared = halved.join(shared_halves, "half", "left_semi").select("c1").distinct()
     shared, shared_path = stage(shared, "shared")
     few = shared.count() <= BROADCAST_CLASSES
-    texts = _line_rows(docs.filter("doc_id is not null")).filter(F.size(words) >= min_words).select(
-        "words", F.size(words).alias("n"), F.xxhash64(words).alias("c1"), F.xxhash64(F.lit(1), words).alias("c2"), _order().alias("order")
-    )
+    # classes that share a half have min_words words; no filter on words, which would split lines twice
+    texts = _line_rows(docs.filter("doc_id is not null")).select("doc_id", "line_no", "words", F.xxhash64(words).alias("c1"))
     texts = texts.join(F.broadcast(shared) if few else shared, "c1", "left_semi")
+    texts = texts.select("words", n.alias("n"), "c1", F.xxhash64(F.lit(1), words).alias("c2"), _order().alias("order"))
     # the earliest line of each class brings the words
     texts = texts.join(classes, [*_CLASS, "order"], "left_semi").dropDuplicates(["c1"]).select("order", "c1", "words")
     texts, texts_path = stage(texts, "texts")

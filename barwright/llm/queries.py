@@ -51,7 +51,7 @@ def op9_benchmark_decontamination(spark, sf_dir):
     return found.drop("item_ids")
 
 
-_LINE_WORDS = _WORDS.replace("text", "line")
+_LINE_WORDS = "regexp_extract_all(lower(line), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
 
 
 @query(sql=f"""
