@@ -37,18 +37,21 @@ def _counts(checks):
 def quality_report(df: DataFrame, as_of=None, keys=SERIES_KEYS) -> DataFrame:
     """All checks as one row of violation counts.
 
-    The row checks are one aggregate that shuffles nothing but its totals. Repeated keys are
-    counted apart, so that only the key columns are scanned and shuffled for them, folded per map
-    task before the shuffle.
+    One scan: rows are folded per key within each map task, which is what counting repeated keys needs,
+    and the checks are counted in the same fold.
     """
     checks = _row_checks(df.columns, as_of)
-    repeats = (
-        df.groupBy(*keys)
-        .agg((F.count(F.lit(1)) - 1).alias("n"))
-        .agg(F.coalesce(F.sum("n"), F.lit(0).cast("bigint")))
-        .scalar()
+    per_key = df.groupBy(*keys).agg(*_counts(checks))
+
+    def total(column, name):
+        return F.coalesce(F.sum(column), F.lit(0)).alias(name)
+
+    report = per_key.agg(
+        total("n_rows", "n_rows"),
+        F.max("last_date").alias("last_date"),
+        *[total(name, name) for name in checks],
+        total(F.col("n_rows") - 1, "duplicate_rows"),
     )
-    report = df.agg(*_counts(checks)).withColumn("duplicate_rows", repeats)
     violations = sum((F.col(name) for name in [*checks, "duplicate_rows"]), F.lit(0))
     return report.withColumn("passed", violations == 0)
 

@@ -96,9 +96,9 @@ def _(spark, folder):
     clean = staged(silver.clean_bars(raw_part(spark, folder)), "clean")
     before = F.col("trade_date") < F.lit(_SPLIT).cast("date")
     earlier = silver.add_daily_return(clean.where(before))
-    later = incremental.add_return_after(
-        clean.where(~before), incremental.last_closes(earlier, _SPLIT)
-    )
+    bars = clean.where(~before)
+    # some of the parts have no bar in the look-back window and are found in the older ones
+    later = incremental.add_return_after(bars, incremental.prior_closes(earlier, bars, _SPLIT))
     columns = ["ticker", "trade_date", "daily_return"]
     return earlier.select(*columns).unionByName(later.select(*columns))
 
