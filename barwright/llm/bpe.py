@@ -20,14 +20,14 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barwright.llm.common import by_value
+from barwright.llm.common import by_value, discard, slices, stage
 
 by_value(__name__)
 
 LEXICON_WORDS = 100_000
-#: Words whose ids a task remembers at once; then it starts anew.
-CACHED_WORDS = 200_000
-_SLICE = 512
+#: Words that a task counts, and whose ids it remembers, at once; then it starts anew.
+COUNTED_WORDS, CACHED_WORDS = 100_000, 150_000
+_SLICE = 256
 # what separates and what makes words, as the tokenizer file has it
 _SPACE = r"\t\n\x0b\x0c\r \x85\xa0"
 _WIDE_SPACE = _SPACE + r"  -     　"
@@ -50,29 +50,38 @@ class Vocabulary:
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         model = content["model"]
-        self.ids = dict(model["vocab"])
+        ids, end = model["vocab"], model["end_of_word_suffix"]
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
+        self.tokens = {i: t for t, i in [*ids.items(), *self.special.items()]}
+        letters = _byte_letters()
+        self.letters = [ids[x] for x in letters]
+        self.last_letters = [ids[x + end] for x in letters]
         pairs = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
-        self.ranks = {pair: rank for rank, pair in enumerate(pairs)}
-        self.end = model["end_of_word_suffix"]
-        self.letters = _byte_letters()
-        self.tokens = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
+        # two ids in one number, to the merge's rank; and what each merge makes
+        self.ranks = {ids[x] << 32 | ids[y]: rank for rank, (x, y) in enumerate(pairs)}
+        self.made = [ids[x + y] for x, y in pairs]
         names = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(names) + ")") if names else None
 
     def merge(self, word: str) -> list:
         """The ids of one word: the pair of lowest rank is merged, the leftmost first."""
-        parts = [self.letters[b] for b in word.encode()]
-        parts[-1] += self.end
-        rank, last = self.ranks.get, len(self.ranks)
-        while len(parts) > 1:
-            found = [rank(pair, last) for pair in zip(parts, parts[1:])]
-            best = min(found)
-            if best == last:
+        coded = word.encode()
+        parts = [self.letters[b] for b in coded[:-1]]
+        parts.append(self.last_letters[coded[-1]])
+        rank, never = self.ranks.get, len(self.made)
+        ranks = [rank(x << 32 | y, never) for x, y in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == never:
                 break
-            at = found.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ids[p] for p in parts]
+            at = ranks.index(best)
+            made = parts[at] = self.made[best]
+            del parts[at + 1], ranks[at]
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] << 32 | made, never)
+            if at < len(ranks):
+                ranks[at] = rank(made << 32 | parts[at + 1], never)
+        return parts
 
     def words(self, text: str | None) -> list:
         """The words of a text; a special token stands for itself."""
@@ -219,7 +228,7 @@ class Encoder:
 
 
 def frequent_words(docs: DataFrame, vocabulary: Vocabulary, most: int) -> list:
-    """The ``most`` frequent words, counted over all texts."""
+    """At most ``most`` words: the most frequent ones, counted over all texts."""
 
     def count(batches):
         counts = {}
@@ -229,17 +238,28 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, most: int) -> list:
             counts.clear()
             return pa.RecordBatch.from_arrays(arrays, ["word", "n"])
 
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
+        for part in slices(batches, _SLICE):
+            for text in part.column(0).to_pylist():
                 for word in vocabulary.words(text):
                     counts[word] = counts.get(word, 0) + 1
-                if len(counts) > CACHED_WORDS:
-                    yield flushed()
+            if len(counts) > COUNTED_WORDS:
+                yield flushed()
         yield flushed()
 
     counts = docs.select("text").mapInArrow(count, "word string, n bigint")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return [w for w in top.toPandas()["word"] if w not in vocabulary.special]
+    counts, path = stage(counts.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
+    # as many of the highest counts as fit, in steps of an eighth of a power of two: a few hundred rows
+    step = F.floor(F.log2("n") * 8)
+    sizes = counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect()
+    least, total = None, 0
+    for row in sizes:
+        total += row["count"]
+        if total > most:
+            break
+        least = row["step"]
+    words = [] if least is None else counts.filter(step >= least).select("word").toPandas()["word"].tolist()
+    discard(docs.sparkSession, path)
+    return [w for w in words if w not in vocabulary.special]
 
 
 def _encoder(spark: SparkSession, docs: DataFrame, path: str, lexicon_words: int):
@@ -278,27 +298,25 @@ def _coded(docs: DataFrame, path: str, lexicon_words: int, full: bool) -> DataFr
 
     def code(batches):
         encoder = make()
-        for batch in batches:
-            for at in range(0, batch.num_rows, _SLICE):
-                part = batch.slice(at, _SLICE)
-                texts = [encoder.vocabulary.words(t) for t in part.column(1).to_pylist()]
-                encoder.learn(texts)
-                out = [[], [], []]
-                ids_out, decoded_out = [], []
-                for words in texts:
-                    ids, decoded = encoder.encode(words)
-                    out[0].append(ids.count(" ") + 1 if ids else 0)
-                    out[1].append(digest(ids))
-                    out[2].append(digest(decoded))
-                    if full:
-                        ids_out.append(np.array(ids.split(), np.int32))
-                        decoded_out.append(decoded)
-                arrays = [part.column(0), pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()), pa.array(out[2], pa.string())]
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        for part in slices(batches, _SLICE):
+            texts = [encoder.vocabulary.words(t) for t in part.column(1).to_pylist()]
+            encoder.learn(texts)
+            out = [[], [], []]
+            ids_out, decoded_out = [], []
+            for words in texts:
+                ids, decoded = encoder.encode(words)
+                out[0].append(ids.count(" ") + 1 if ids else 0)
+                out[1].append(digest(ids))
+                out[2].append(digest(decoded))
                 if full:
-                    arrays += [pa.array(ids_out, pa.list_(pa.int32())), pa.array(decoded_out, pa.string())]
-                    names += ["ids", "decoded"]
-                yield pa.RecordBatch.from_arrays(arrays, names)
+                    ids_out.append(np.fromstring(ids, np.int32, sep=" ") if ids else [])
+                    decoded_out.append(decoded)
+            arrays = [part.column(0), *(pa.array(c, k) for c, k in zip(out, (pa.int64(), pa.string(), pa.string())))]
+            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+            if full:
+                arrays += [pa.array(ids_out, pa.list_(pa.int32())), pa.array(decoded_out, pa.string())]
+                names += ["ids", "decoded"]
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"

@@ -2,6 +2,7 @@
 
 import sys
 
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,17 @@ def by_value(module: str) -> None:
 by_value(__name__)
 
 
+def slices(batches, rows: int):
+    """Arrow batches in pieces of a few rows, so that little of them is held as Python objects at once.
+
+    Afterwards what Arrow has kept for further batches goes back to the system: the worker lives on.
+    """
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barwright.llm.common import by_value
+from barwright.llm.common import by_value, slices
 
 by_value(__name__)
 
@@ -23,7 +23,8 @@ MOST_LANGUAGES = 400
 #: Evidence counts as at most so many independent n-grams: neighbouring ones overlap.
 EVIDENCE = 64
 UNKNOWN = "und"
-_BLOCK = 1 << 20
+#: Characters that are hashed at once, and rows that are turned into strings at once.
+_BLOCK, _SLICE = 1 << 17, 256
 
 
 def letter_table() -> np.ndarray:
@@ -32,7 +33,7 @@ def letter_table() -> np.ndarray:
 
 
 def _blocks(texts):
-    """Lists of (row, piece) of about a million characters; a piece's end counts as a word's end."""
+    """Lists of (row, piece) of about ``_BLOCK`` characters; a piece's end counts as a word's end."""
     block, size = [], 0
     for row, text in enumerate(texts):
         for at in range(0, len(text or ""), _BLOCK):
@@ -69,7 +70,7 @@ def grams(texts, letters: np.ndarray, buckets: int):
 def _counter(buckets: int):
     def count(batches):
         letters, counts = letter_table(), {}
-        for batch in batches:
+        for batch in slices(batches, _SLICE):
             langs = batch.column(0).to_pylist()
             names = sorted(set(langs))
             code = np.array([names.index(x) for x in langs])
@@ -139,7 +140,7 @@ def languages(docs: DataFrame, **options) -> DataFrame:
 
     def predict(batches):
         letters = letter_table()
-        for batch in batches:
+        for batch in slices(batches, _SLICE):
             found, score = classify(batch.column("text").to_pylist(), names, model.value, letters)
             arrays = [batch.column("doc_id"), batch.column("held_out"), pa.array(found, pa.string()), pa.array(score)]
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "held_out", "lang_pred", "score"])
@@ -155,7 +156,7 @@ def with_known_language(docs: DataFrame, least_score: float = 0.5, **options) ->
 
     def accept(batches):
         letters = letter_table()
-        for batch in batches:
+        for batch in slices(batches, _SLICE):
             found, score = classify(batch.column("text").to_pylist(), names, model.value, letters)
             keep = (np.array(found) != UNKNOWN) & (score >= least_score) if found else np.zeros(0, bool)
             yield batch.filter(pa.array(keep, pa.bool_()))
