@@ -20,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barwright.llm.common import by_value, components, stage
+from barwright.llm.common import by_value, components, discard, stage
 
 by_value(__name__)
 
 THRESHOLD, RECALL = 0.93, 0.995
 #: Vectors of a tile, and the width of a confidence bound in standard errors.
 TILE, CONFIDENCE = 2048, 4.0
+#: Up to so many buckets larger than a tile are broadcast.
+BROADCAST_BUCKETS = 100_000
 #: Vectors per bucket that the number of bits aims at.
 _AIM = 32
 _CODED = "vec_id bigint, label string, dim int, keys array<bigint>, unit binary, code binary, factor double"
@@ -195,7 +197,9 @@ def linked_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFram
     large = entries.groupBy(*place).count().filter(F.col("count") > TILE).select(
         *place, F.ceil(F.col("count") / TILE).cast("int").alias("tiles")
     )
-    split = entries.join(large, place, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    large, large_path = stage(large, "large")
+    few = large.count() <= BROADCAST_BUCKETS
+    split = entries.join(F.broadcast(large) if few else large, place, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
     split = split.withColumn("tile", F.pmod(F.xxhash64("vec_id"), F.col("tiles")).cast("int"))
     met = split.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("partner")).select(
         *place, F.least("tile", "partner").alias("low"), F.greatest("tile", "partner").alias("high"),
@@ -205,6 +209,7 @@ def linked_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFram
     pair = [*place, "low", "high"]
     found = met.repartition(*pair).sortWithinPartitions(*pair).mapInArrow(_matcher(bits, tables, threshold), _LINKS)
     found, _ = stage(found, "vector-links")
+    discard(vectors.sparkSession, large_path)
     counts = found.filter("other is null").groupBy(F.col("vec_id").alias("id")).agg(F.sum("n").alias("n_links"))
     joined = components(found.filter("other is not null"), "vec_id", "other")
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"))
