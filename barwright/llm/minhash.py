@@ -6,10 +6,11 @@ tables of 2 x ``rows`` rows each, instead of ``bands``^2 x 2 x ``rows`` minhashe
 
 Texts with equal shingle sets fold into one class first. A table key never yields the pairs of its
 members: each member is compared with up to three of them (the smallest, the largest and one by
-hash). When the confirmed links have been joined into components, only pairs of one key that still
-lie in different components remain; all of them are compared then. So a key shared by a third of
-the rows costs a few comparisons per row once its members hang together, and no link that changes a
-component is lost. Every link is confirmed on the whole sets.
+hash), and then, in keys whose members don't hang together yet, with the best linked one. Only pairs of
+one key that still lie in different components remain. Each comes once, in the first table that both
+share, and only if sketches of ``SKETCH`` bits leave its similarity possible (within ``MARGIN`` standard
+errors). So a key shared by a third of the rows costs a few comparisons per row once its members hang
+together. Every link is confirmed on the whole sets.
 """
 
 import hashlib
@@ -19,14 +20,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barwright.llm.common import by_value, components, discard, stage
+from barwright.llm.common import by_value, components, discard, slices, stage
 
 by_value(__name__)
 
 BANDS, ROWS = 9, 3
 _SIGNATURE = "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, a array<bigint>, b array<bigint>"
 _SET = "doc_id bigint, shingles array<bigint>"
-CACHED_WORDS = 1 << 18
+_SKETCH = "doc_id bigint, bits array<bigint>"
+SKETCH, MARGIN = 2048, 3.5
+#: Up to so many ids (8 bytes each) are broadcast to pick their texts.
+BROADCAST_IDS = 500_000
+CACHED_WORDS = 1 << 17
+_SLICE = 256
 
 
 class _WordHashes(dict):
@@ -73,22 +79,25 @@ def _signer(width: int, bands: int, rows: int):
             keys = _mix(keys + least[:, k])
         return keys.view(np.int64)
 
+    def signed(part, hashes):
+        out = []
+        for text in part.column(1).to_pylist():
+            values = shingle_set(text, width, hashes)
+            if len(values):
+                placed = _mix(values + np.arange(len(values), dtype=np.uint64))
+                marks = [int(np.bitwise_xor.reduce(x).view(np.int64)) for x in (_mix(values), placed)]
+                keys = minima(values)
+                out.append((len(values), *marks, keys[:bands], keys[bands:]))
+            else:
+                out.append((0, None, None, None, None))
+        kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2
+        arrays = [part.column(0), *(pa.array(c, k) for c, k in zip(zip(*out), kinds))]
+        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "h1", "h2", "a", "b"])
+
     def sign(batches):
         hashes = _WordHashes()
-        for batch in batches:
-            out = []
-            for text in batch.column(1).to_pylist():
-                values = shingle_set(text, width, hashes)
-                if len(values):
-                    with_place = _mix(values + np.arange(len(values), dtype=np.uint64))
-                    keys = minima(values)
-                    out.append((len(values), int(np.bitwise_xor.reduce(_mix(values)).view(np.int64)), int(np.bitwise_xor.reduce(with_place).view(np.int64)), keys[:bands], keys[bands:]))
-                else:
-                    out.append((0, None, None, None, None))
-            columns = list(zip(*out)) or [()] * 5
-            kinds = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2
-            arrays = [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_shingles", "h1", "h2", "a", "b"])
+        for part in slices(batches, _SLICE):
+            yield signed(part, hashes)
 
     return sign
 
@@ -96,21 +105,43 @@ def _signer(width: int, bands: int, rows: int):
 def _setter(width: int):
     def build(batches):
         hashes = _WordHashes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                sets = [shingle_set(t, width, hashes).view(np.int64) for t in part.column(1).to_pylist()]
-                arrays = [part.column(0), pa.array(sets, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "shingles"])
+        for part in slices(batches, _SLICE):
+            sets = [shingle_set(t, width, hashes).view(np.int64) for t in part.column(1).to_pylist()]
+            arrays = [part.column(0), pa.array(sets, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "shingles"])
 
     return build
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _sketch(batches):
+    """One bit of each of ``SKETCH`` minhashes: two sets of similarity s agree in a share of (1 + s) / 2."""
+    random = np.random.default_rng(21)
+    factors = random.integers(0, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def bits(values: np.ndarray) -> np.ndarray:
+        least = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
+        for at in range(0, len(values), 128):
+            np.minimum(least, (values[at : at + 128, None] * factors).min(axis=0), out=least)
+        return np.packbits((_mix(least) & np.uint64(1)).astype(bool)).view(np.int64)
+
+    for batch in batches:
+        ends, flat = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy().view(np.uint64)
+        found = [bits(flat[x:y]) for x, y in zip(ends, ends[1:])]
+        arrays = [batch.column(0), pa.array(found, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "bits"])
+
+
+def _sets(texts: DataFrame, ids: DataFrame, width: int) -> tuple[DataFrame, str]:
+    """The staged shingle sets of some documents. Texts are shuffled only if the ids are too many to broadcast."""
+    ids, path = stage(ids, "ids")
+    wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    sets = stage(texts.join(wanted, "doc_id", "left_semi").mapInArrow(_setter(width), _SET).distinct(), "sets")
+    discard(texts.sparkSession, path)
+    return sets
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those pairs (u, v) whose whole shingle sets are similar enough."""
-    ids = pairs.select("u").union(pairs.select("v")).distinct().withColumnRenamed("u", "doc_id")
-    sets = texts.join(ids, "doc_id", "left_semi").mapInArrow(_setter(width), _SET).distinct()
-    sets, path = stage(sets, "sets")
     left = sets.toDF("u", "su")
     right = sets.toDF("v", "sv")
     common = F.size(F.array_intersect("su", "sv"))
@@ -121,9 +152,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) ->
         .filter((small * 100 >= large * percent) & (common * 100 >= total * percent))
         .select("u", "v").distinct()
     )
-    links, _ = stage(links, "links")
-    discard(pairs.sparkSession, path)
-    return links
+    return stage(links, "links")[0]
 
 
 def _pairs(left, right):
@@ -155,7 +184,7 @@ def near_duplicates(
     members = (
         classes.select("doc_id", "b", F.posexplode("a").alias("i", "x"))
         .select("doc_id", "i", "x", F.posexplode("b").alias("j", "y"))
-        .select("doc_id", F.xxhash64("i", "j", "x", "y").alias("key"))
+        .select("doc_id", "i", "j", F.xxhash64("i", "j", "x", "y").alias("key"))
     )
     hubs = members.groupBy("key").agg(
         F.min("doc_id").alias("first_id"),
@@ -163,24 +192,26 @@ def near_duplicates(
         F.min_by("doc_id", F.xxhash64("doc_id")).alias("some_id"),
     ).filter("first_id < last_id")
     shared, shared_path = stage(members.join(hubs, "key"), "members")
-    stars = (
-        shared.select("doc_id", F.explode(F.array("first_id", "last_id", "some_id")).alias("hub"))
-        .filter("doc_id <> hub").select(*_pairs(F.col("doc_id"), F.col("hub"))).distinct()
-    )
-    tried, tried_path = stage(stars, "pairs")
-    links = _confirmed(tried, texts, shingle_words, percent)
+    stars = shared.select("doc_id", F.explode(F.array("first_id", "last_id", "some_id")).alias("hub"))
+    tried, tried_path = stage(stars.filter("doc_id <> hub").select(*_pairs("doc_id", "hub")).distinct(), "pairs")
+    sets, sets_path = _sets(texts, shared.select("doc_id").distinct(), shingle_words)
+    links = _confirmed(tried, sets, percent)
     joined = components(copies.union(links), "u", "v")
 
-    rest = _unjoined(shared, joined).join(tried, ["u", "v"], "left_anti")
+    apart = _apart(shared, joined)
+    degrees = links.select("u").union(links.select("v")).groupBy("u").count().toDF("doc_id", "links")
+    linked = apart.join(degrees, "doc_id", "left").groupBy("key").agg(
+        F.max_by(F.struct(F.col("doc_id").alias("hub"), F.col("c").alias("hub_c")), F.coalesce("links", F.lit(0))).alias("h")
+    ).select("key", "h.*")
+    second = apart.join(linked, "key").filter("c <> hub_c").select(*_pairs("doc_id", "hub")).distinct()
+    second, second_path = stage(second.join(tried, ["u", "v"], "left_anti"), "pairs")
+    joined = _joined(joined, _confirmed(second, sets, percent))
+
+    apart, apart_path = stage(_apart(shared, joined), "apart")
+    rest = _possible(apart, sets, named, percent).join(tried.union(second), ["u", "v"], "left_anti")
     rest, rest_path = stage(rest, "pairs")
-    if not rest.isEmpty():
-        more = _confirmed(rest, texts, shingle_words, percent)
-        if not more.isEmpty():
-            joined = components(
-                joined.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more),
-                "u", "v",
-            )
-    discard(spark, shared_path, tried_path, rest_path)
+    joined = _joined(joined, _confirmed(rest, sets, percent))
+    discard(spark, shared_path, sets_path, tried_path, second_path, apart_path, rest_path)
     component = F.coalesce("component", "doc_id").alias("component_id")
     out = signed.join(joined, signed.doc_id == joined.node, "left")
     return out.select(
@@ -189,22 +220,50 @@ def near_duplicates(
     )
 
 
-def _unjoined(shared: DataFrame, joined: DataFrame) -> DataFrame:
-    """Pairs of one key whose members lie in different components.
+def _joined(joined: DataFrame, links: DataFrame) -> DataFrame:
+    """The components with some more links."""
+    if links.isEmpty():
+        return joined
+    return components(joined.toDF("u", "v").union(links), "u", "v")
 
-    The largest component of a key is never paired with itself: one side of every pair lies outside.
-    """
-    placed = shared.select("key", "doc_id").join(joined, F.col("doc_id") == F.col("node"), "left").select(
-        "key", "doc_id", F.coalesce("component", "doc_id").alias("c")
+
+def _apart(shared: DataFrame, joined: DataFrame) -> DataFrame:
+    """Members (with component c) of the keys that hold several components; top is the largest one."""
+    placed = shared.join(joined, F.col("doc_id") == F.col("node"), "left").select(
+        "key", "i", "j", "doc_id", F.coalesce("component", "doc_id").alias("c")
     )
     sizes = placed.groupBy("key", "c").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("key").agg(F.max_by("c", F.col("n")).alias("top"), F.count("*").alias("parts"))
-    split = placed.join(largest.filter("parts > 1"), "key")
-    outside = split.filter("c <> top").select("key", F.col("doc_id").alias("x"), F.col("c").alias("cx"))
-    return (
-        split.select("key", F.col("doc_id").alias("y"), F.col("c").alias("cy"))
-        .join(outside, "key").filter("cx <> cy").select(*_pairs(F.col("x"), F.col("y"))).distinct()
+    keys = sizes.groupBy("key").agg(F.max_by("c", F.col("n")).alias("top"), F.count("*").alias("parts"))
+    return placed.join(keys.filter("parts > 1").drop("parts"), "key")
+
+
+def _possible(apart: DataFrame, sets: DataFrame, named: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components whose sketches allow the similarity, each from one table only.
+
+    One side of a pair lies outside the key's largest component, which is never paired with itself.
+    """
+    ids = apart.select("doc_id").distinct()
+    sketches = sets.join(ids, "doc_id", "left_semi").mapInArrow(_sketch, _SKETCH)
+    bands = named.join(ids, "doc_id", "left_semi").select("doc_id", "a", "b").distinct()
+    sketched = bands.join(sketches.distinct(), "doc_id")
+    rows = apart.join(sketched, "doc_id")
+    left = rows.filter("c <> top").select("key", "i", "j", *[F.col(x).alias(f"{x}1") for x in ("doc_id", "c", "a", "b", "bits")])
+    right = rows.select("key", "top", *[F.col(x).alias(f"{x}2") for x in ("doc_id", "c", "a", "b", "bits")])
+
+    def first_common(x, y):
+        return F.array_position(F.zip_with(x, y, lambda p, q: p == q), True) - 1
+
+    alike = (1 + percent / 100) / 2
+    alike -= MARGIN * (alike * (1 - alike) / SKETCH) ** 0.5
+    different = F.aggregate(
+        F.zip_with("bits1", "bits2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
+    )
+    once = (F.col("c2") == F.col("top")) | (F.col("doc_id1") < F.col("doc_id2"))
+    pairs = left.join(right, "key").filter(
+        (F.col("c1") != F.col("c2")) & once & (different <= int(SKETCH * (1 - alike)))
+        & (first_common("a1", "a2") == F.col("i")) & (first_common("b1", "b2") == F.col("j"))
     )
+    return pairs.select(*_pairs("doc_id1", "doc_id2")).distinct()
 
 
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
