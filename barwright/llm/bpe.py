@@ -26,7 +26,7 @@ by_value(__name__)
 
 LEXICON_WORDS = 100_000
 #: Words that a task counts, and whose ids it remembers, at once; then it starts anew.
-COUNTED_WORDS, CACHED_WORDS = 100_000, 150_000
+COUNTED_WORDS, CACHED_WORDS = 150_000, 300_000
 _SLICE = 256
 # what separates and what makes words, as the tokenizer file has it
 _SPACE = r"\t\n\x0b\x0c\r \x85\xa0"
