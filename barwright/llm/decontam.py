@@ -41,7 +41,7 @@ def _text(words, start, width) -> Column:
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Per document: n_words, n_hit, n_items, items_sha256, contaminated and item_ids.
+    """Per document: n_words, n_hit, n_items, items_sha256, contaminated, item_ids and text_key (xxhash64 of its text).
 
     Reads ``doc_id``, ``text`` of ``docs`` and ``item_id``, ``text`` of ``benchmark``; other columns are
     left alone. A word is hit if it lies in a run of ``window`` words that an item has too, or in a
@@ -123,6 +123,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram:
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.size("runs") > 0).alias("contaminated"),
         "item_ids",
+        "text_key",
         F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
     ).drop("copy")
 
@@ -130,7 +131,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram:
 def without_overlaps(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that share no window with a benchmark item, with the columns of ``docs``.
 
-    Rows without doc_id are judged by their own text, as all others are by doc_id.
+    Every row is judged by its own text, whether its doc_id is null or shared.
     """
-    hit = overlaps(docs, benchmark, **options).filter("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, docs["doc_id"].eqNullSafe(hit["hit_id"]), "left_anti")
+    hit = overlaps(docs, benchmark, **options).filter("contaminated")
+    hit = hit.select(F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key")).distinct()
+    same = docs["doc_id"].eqNullSafe(hit["hit_id"]) & (F.xxhash64(docs["text"]) == hit["hit_key"])
+    return docs.join(hit, same, "left_anti")

@@ -48,7 +48,7 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""")
 def op9_benchmark_decontamination(spark, sf_dir):
     found = decontam.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.drop("item_ids")
+    return found.drop("item_ids", "text_key")
 
 
 _LINE_WORDS = "regexp_extract_all(lower(line), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"

@@ -68,6 +68,16 @@ def test_messy_rows(spark, messy, empty):
     assert left.columns == messy.columns and left.count() == messy.count()
 
 
+def test_clean_rows_stay_beside_a_hit_of_the_same_id(spark, docs_of):
+    """Rows that share a doc_id, or lack one, are judged by their own texts."""
+    items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    docs = docs_of([(None, FOX), (None, "clean and nameless"), (None, None), (1, FOX), (1, "clean"), (2, FOX), (3, "clean"), (3, "clean")])
+    left = [(r["doc_id"], r["text"]) for r in decontam.without_overlaps(docs, items).collect()]
+    assert sorted(left, key=str) == sorted(
+        [(None, "clean and nameless"), (None, None), (1, "clean"), (3, "clean"), (3, "clean")], key=str
+    )
+
+
 def test_native_plan(spark, documents, sf_dir):
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     plan = decontam.overlaps(documents, items)._jdf.queryExecution().toString()
