@@ -140,4 +140,4 @@ def op7_embedding_near_dedup(spark, sf_dir):
 
 @query
 def op8_lm_pseudo_likelihood(spark, sf_dir):
-    return lmscore.scores(table(spark, sf_dir, "documents"))
+    return lmscore.word_scores(table(spark, sf_dir, "documents"))

@@ -1,6 +1,9 @@
 import math
+import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 
 from barwright.llm import lmscore
 
@@ -47,3 +50,34 @@ def test_messy_rows(messy, empty):
     assert len(rows) == messy.count()
     assert {(r["n_tokens"], r["log_prob"], r["mean_log_prob"]) for r in rows if r["doc_id"] in (1, 2, 3)} == {(0, 0.0, None)}
     assert lmscore.scores(empty).collect() == []
+
+
+@pytest.mark.parametrize("known", [lmscore.KNOWN, 0])
+def test_every_word_has_a_probability_of_its_own(docs_of, monkeypatch, known):
+    """A word's log-probability is its symbol's and that of its share of the symbol's occurrences."""
+    monkeypatch.setattr(lmscore, "KNOWN", known)
+    draw = np.random.default_rng(3)
+    texts = [(k, " ".join(f"w{int(j)}" for j in draw.zipf(1.2, 300) % 2000)) for k in range(30)]
+    texts += [(k, None) for k in (40, None)] + [texts[0], (50, "")]
+    counts = Counter(w for _, t in texts for w in (t or "").split())
+    own = set(sorted(counts, key=lambda w: (-counts[w], w))[: lmscore.FREQUENT])
+    bucket = {w: zlib.crc32(w.encode()) % lmscore.SHARED for w in counts if w not in own}
+    totals = Counter()
+    for word, b in bucket.items():
+        totals[b] += counts[word]
+    assert len(bucket) > 3 * lmscore.SHARED
+    docs = docs_of(texts).coalesce(1)
+    plain = {r["doc_id"]: r["log_prob"] for r in lmscore.scores(docs).collect()}
+    rows = lmscore.word_scores(docs).collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        words = (dict(texts)[row["doc_id"]] or "").split()
+        shares = sum(math.log(counts[w] / totals[bucket[w]]) for w in words if w in bucket)
+        assert row["n_tokens"] == len(words)
+        assert math.isclose(row["log_prob"], plain[row["doc_id"]] + shares, rel_tol=1e-4, abs_tol=1e-9)
+        assert (row["mean_log_prob"] is None) == (not words)
+
+
+def test_words_of_messy_rows(messy, empty):
+    assert lmscore.word_scores(messy).count() == messy.count()
+    assert lmscore.word_scores(empty).collect() == []
