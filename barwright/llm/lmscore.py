@@ -8,7 +8,8 @@ Words are counted over the whole corpus; the most frequent ones are symbols of t
 symbols by a hash. A shared word's probability is its symbol's times its share of the symbol's occurrences, so
 each word has a probability of its own and those of all words add up to one. Counts of the commoner words go to
 the tasks with the job, those of all others are joined. Each task trains a copy of the network on targets at every ``STRIDE``-th word of its
-documents, over their whole length, and Spark averages the copies by their targets (``ROUNDS`` times). So
+documents, over their whole length, and Spark averages the copies by their targets (``ROUNDS`` times, each
+beginning a word further on, so that all words are targets). So
 what is gathered from the corpus, counts and weights, grows with it, and what is broadcast doesn't.
 """
 
@@ -28,7 +29,8 @@ SYMBOLS = FREQUENT + SHARED
 #: The symbol beyond a document's ends.
 EDGE = SYMBOLS
 OFFSETS = (-2, -1, 1, 2)
-STRIDE, ROUNDS = 12, 2
+#: Each round has every second word as a target, so that the two have every word once.
+STRIDE, ROUNDS = 2, 2
 LEARNING_RATE, STEP = 0.2, 512
 #: Most words whose counts are broadcast; the others' counts are joined.
 KNOWN = 1 << 16

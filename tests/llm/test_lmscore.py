@@ -81,3 +81,22 @@ def test_every_word_has_a_probability_of_its_own(docs_of, monkeypatch, known):
 def test_words_of_messy_rows(messy, empty):
     assert lmscore.word_scores(messy).count() == messy.count()
     assert lmscore.word_scores(empty).collect() == []
+
+
+def test_every_word_is_a_target_once():
+    stride, rounds = lmscore.STRIDE, lmscore.ROUNDS
+    for size in (1, 2, 3, 11, 12, 25, 100):
+        hit = Counter()
+        for turn in range(rounds):
+            document = np.arange(size)
+            hit.update(lmscore.windows([document], lmscore.first_target(size, stride, turn, rounds), stride)[1].tolist())
+        assert hit == Counter(range(size))
+
+
+def test_order_of_words_counts_as_registered(docs_of):
+    """With the parameters that the query runs with: words in the corpus' order beat the same words out of order."""
+    cycle = " ".join("abcdefgh")
+    texts = [(k, " ".join([cycle] * 60)) for k in range(60)]
+    texts.append((100, " ".join(np.random.default_rng(0).permutation(list("abcdefgh") * 60))))
+    rows = {r["doc_id"]: r["mean_log_prob"] for r in lmscore.word_scores(docs_of(texts).coalesce(1)).collect()}
+    assert rows[0] > -math.log(8) / 2 and rows[0] > rows[100] + 1
