@@ -8,8 +8,8 @@ Texts with equal shingle sets fold into one class first. A table key never yield
 members: each member is compared with up to three of them (the smallest, the largest and one by
 hash), and then, in keys whose members don't hang together yet, with the best linked one. Only pairs of
 one key that still lie in different components remain. Each comes once, in the first table that both
-share, and only if sketches of ``SKETCH`` bits leave its similarity possible (within ``MARGIN`` standard
-errors). So a key shared by a third of the rows costs a few comparisons per row once its members hang
+share, and only if the sizes of the sets and sketches of ``SKETCH`` bits leave its similarity possible (the
+sketches within ``MARGIN`` standard errors: they lose about one true pair at the bound in 10^9). So a key shared by a third of the rows costs a few comparisons per row once its members hang
 together. Every link is confirmed on the whole sets.
 """
 
@@ -28,7 +28,7 @@ BANDS, ROWS = 9, 3
 _SIGNATURE = "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, a array<bigint>, b array<bigint>"
 _SET = "doc_id bigint, shingles array<bigint>"
 _SKETCH = "doc_id bigint, bits array<bigint>"
-SKETCH, MARGIN = 2048, 3.5
+SKETCH, MARGIN = 2048, 6
 #: Up to so many ids (8 bytes each) are broadcast to pick their texts.
 BROADCAST_IDS = 500_000
 CACHED_WORDS = 1 << 17
@@ -237,30 +237,36 @@ def _apart(shared: DataFrame, joined: DataFrame) -> DataFrame:
     return placed.join(keys.filter("parts > 1").drop("parts"), "key")
 
 
+def most_different(percent: int) -> int:
+    """The most bits in which sketches of sets that similar may differ."""
+    alike = (1 + percent / 100) / 2
+    return int(SKETCH * (1 - alike + MARGIN * (alike * (1 - alike) / SKETCH) ** 0.5))
+
+
 def _possible(apart: DataFrame, sets: DataFrame, named: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components whose sketches allow the similarity, each from one table only.
+    """Pairs of different components whose sizes and sketches allow the similarity, each from one table only.
 
     One side of a pair lies outside the key's largest component, which is never paired with itself.
     """
     ids = apart.select("doc_id").distinct()
     sketches = sets.join(ids, "doc_id", "left_semi").mapInArrow(_sketch, _SKETCH)
-    bands = named.join(ids, "doc_id", "left_semi").select("doc_id", "a", "b").distinct()
+    bands = named.join(ids, "doc_id", "left_semi").select("doc_id", "n_shingles", "a", "b").distinct()
     sketched = bands.join(sketches.distinct(), "doc_id")
     rows = apart.join(sketched, "doc_id")
-    left = rows.filter("c <> top").select("key", "i", "j", *[F.col(x).alias(f"{x}1") for x in ("doc_id", "c", "a", "b", "bits")])
-    right = rows.select("key", "top", *[F.col(x).alias(f"{x}2") for x in ("doc_id", "c", "a", "b", "bits")])
+    left = rows.filter("c <> top").select("key", "i", "j", *[F.col(x).alias(f"{x}1") for x in ("doc_id", "c", "n_shingles", "a", "b", "bits")])
+    right = rows.select("key", "top", *[F.col(x).alias(f"{x}2") for x in ("doc_id", "c", "n_shingles", "a", "b", "bits")])
 
     def first_common(x, y):
         return F.array_position(F.zip_with(x, y, lambda p, q: p == q), True) - 1
 
-    alike = (1 + percent / 100) / 2
-    alike -= MARGIN * (alike * (1 - alike) / SKETCH) ** 0.5
+    small, large = F.least("n_shingles1", "n_shingles2"), F.greatest("n_shingles1", "n_shingles2")
     different = F.aggregate(
         F.zip_with("bits1", "bits2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
     )
     once = (F.col("c2") == F.col("top")) | (F.col("doc_id1") < F.col("doc_id2"))
     pairs = left.join(right, "key").filter(
-        (F.col("c1") != F.col("c2")) & once & (different <= int(SKETCH * (1 - alike)))
+        (F.col("c1") != F.col("c2")) & once & (small * 100 >= large * percent)
+        & (different <= most_different(percent))
         & (first_common("a1", "a2") == F.col("i")) & (first_common("b1", "b2") == F.col("j"))
     )
     return pairs.select(*_pairs("doc_id1", "doc_id2")).distinct()

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from barwright.llm import minhash
@@ -65,3 +66,14 @@ def test_messy_rows(messy, empty):
     left = minhash.without_near_duplicates(messy, shingle_words=2)
     assert left.columns == messy.columns and left.count() == messy.count() - 1
     assert minhash.near_duplicates(empty).collect() == []
+
+
+@pytest.mark.parametrize("seed", [6411, 7331, 12167])
+def test_sketches_reject_no_true_pair_at_the_bound(spark, seed):
+    """Sets of similarity 0.8 whose sketches lie more than 3.5 standard errors off, as one pair in 4,000 does."""
+    values = np.random.default_rng(seed).integers(0, 2**63, 30, dtype=np.uint64).view(np.int64).tolist()
+    rows = [(1, values[:27]), (2, values[3:])]
+    sets = spark.createDataFrame([(i, sorted(v)) for i, v in rows], "doc_id bigint, shingles array<bigint>")
+    named = spark.createDataFrame([(i, 27, [5], [6]) for i, _ in rows], "doc_id bigint, n_shingles bigint, a array<bigint>, b array<bigint>")
+    apart = spark.createDataFrame([(9, 0, 0, i, i, 1) for i, _ in rows], "key bigint, i int, j int, doc_id bigint, c bigint, top bigint")
+    assert [tuple(r) for r in minhash._possible(apart, sets, named, 80).collect()] == [(1, 2)]
