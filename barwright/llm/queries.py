@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barwright.llm import bpe, chat, decontam, embdedup, htmltext, langid, licenses, linededup, lmscore, minhash
+from barwright.llm import bpe, chat, decontam, embdedup, htmltext, langid, licenses, linededup, lmscore, minhash, quality
 from barwright.llm.common import table
 
 QUERIES = {}
@@ -141,3 +141,8 @@ def op7_embedding_near_dedup(spark, sf_dir):
 @query
 def op8_lm_pseudo_likelihood(spark, sf_dir):
     return lmscore.word_scores(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_quality_classifier(spark, sf_dir):
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -14,13 +14,14 @@ COLUMNS = {
     "op6_license_scan": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
     "op7_embedding_near_dedup": ["vec_id", "n_links", "component_id", "kept"],
     "op8_lm_pseudo_likelihood": ["doc_id", "n_tokens", "log_prob", "mean_log_prob"],
+    "op13_quality_classifier": ["doc_id", "held_out", "score", "predicted"],
     "op10_minhash_near_dedup": ["doc_id", "n_shingles", "component_id", "kept"],
 }
 
 
 def test_all_are_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert set(COLUMNS) | set(queries.ORACLES) == set(queries.QUERIES)
 
 
