@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barwright.llm import bpe, chat, decontam, embdedup, htmltext, langid, licenses, linededup, lmscore, minhash, quality
+from barwright.llm import bpe, chat, decontam, embdedup, htmltext, langid, lexsearch, licenses, linededup, lmscore, minhash, quality
 from barwright.llm.common import table
 
 QUERIES = {}
@@ -146,3 +146,23 @@ def op8_lm_pseudo_likelihood(spark, sf_dir):
 @query
 def op13_quality_classifier(spark, sf_dir):
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(sql=f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+sized AS (SELECT r, doc_id, w, len(w) AS n FROM d WHERE len(w) > 0),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sized),
+q AS (SELECT DISTINCT item_id, unnest({_WORDS}) AS word FROM benchmark),
+told AS (SELECT r, doc_id, n, word, count(*) AS tf
+         FROM (SELECT r, doc_id, n, unnest(w) AS word FROM sized) AS t
+         WHERE word IN (SELECT word FROM q) GROUP BY ALL),
+weights AS (SELECT word, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+            FROM (SELECT word, count(*) AS df FROM told GROUP BY word) AS c, totals),
+scored AS (
+  SELECT item_id, r, doc_id,
+         CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM q JOIN told USING (word) JOIN weights USING (word), totals GROUP BY item_id, r, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50""")
+def op12_ranked_search(spark, sf_dir):
+    return lexsearch.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
