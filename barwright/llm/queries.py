@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from barwright.llm import bpe, chat, decontam, embdedup, htmltext, langid, lexsearch, licenses, linededup, lmscore, minhash, quality
+from barwright.llm import bpe, chat, decontam, embdedup, htmltext, langid, lexsearch, licenses, linededup, lmscore, minhash, prefixtrie, quality
 from barwright.llm.common import table
 
 QUERIES = {}
@@ -166,3 +166,38 @@ SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC
 FROM scored WHERE score > 0 QUALIFY rank <= 50""")
 def op12_ranked_search(spark, sf_dir):
     return lexsearch.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query(sql="""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base,
+         xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(generate_series(0, 8 * length(id) - 1),
+                                      lambda i: CAST((ascii(id[i // 8 + 1]) >> CAST(i % 8 AS INTEGER)) % 2 AS BIGINT))),
+                         lambda c, b: xor(c >> 1, xor(c, b) % 2 * 3988292384)), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS id FROM t) AS d),
+rebuilt AS (
+  SELECT ids.conv_id, k, role, text FROM ids JOIN t ON t.conv_id = base AND k <= h
+  UNION ALL SELECT conv_id, k, role, text FROM ids JOIN t USING (conv_id) WHERE k > h),
+convs AS (
+  SELECT conv_id, coalesce(list([role, text] ORDER BY k) FILTER (k IS NOT NULL), []) AS p
+  FROM ids LEFT JOIN rebuilt USING (conv_id) GROUP BY conv_id),
+members AS (SELECT conv_id, d, p[1:d] AS q, len(p) = d AS ends FROM convs, unnest(generate_series(0, len(p))) AS u(d)),
+nodes AS (
+  SELECT q, d, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(strlen(q[d][2]), 0) AS bytes,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY q, d),
+kids AS (SELECT q[1:d - 1] AS q, d - 1 AS d, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1, 2),
+subtrees AS (
+  SELECT q[1:a] AS q, a AS d, count(*) FILTER (n_children IS NULL) AS n_leaves,
+         CAST(sum((n_convs - 1) * bytes) AS BIGINT) AS saved_tokens
+  FROM nodes LEFT JOIN kids USING (q, d), unnest(generate_series(0, d)) AS u(a) GROUP BY 1, 2)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+       n_leaves, saved_tokens, n.ends_sha256
+FROM nodes AS n JOIN subtrees USING (q, d) LEFT JOIN kids USING (q, d)
+LEFT JOIN nodes AS p ON p.q = n.q[1:n.d - 1] AND p.d = n.d - 1""")
+def op11_prefix_trie(spark, sf_dir):
+    return prefixtrie.prefix_nodes(table(spark, sf_dir, "conversations"))
