@@ -56,7 +56,7 @@ def quality_report(df: DataFrame, as_of=None, keys=SERIES_KEYS) -> DataFrame:
     return report.withColumn("passed", violations == 0)
 
 
-def _refuse(counts: dict):
+def refuse(counts: dict):
     """QualityError naming every check with a count above zero, if there is one."""
     figures = {k: v for k, v in counts.items() if k not in ("n_rows", "last_date", "passed")}
     failed = {name: count for name, count in figures.items() if count}
@@ -69,17 +69,16 @@ def require_quality(df: DataFrame, as_of=None, keys=SERIES_KEYS) -> DataFrame:
 
     Works on any frame, at the price of scanning it once more; brings one row to the driver.
     """
-    _refuse(quality_report(df, as_of, keys).first().asDict())
+    refuse(quality_report(df, as_of, keys).first().asDict())
     return df
 
 
-def staged_if_sound(df: DataFrame, as_of=None, held: list | None = None) -> DataFrame:
-    """Stage a silver frame and check it in the same pass; QualityError if it fails.
+def checked_on_the_way(df: DataFrame, as_of=None) -> tuple[DataFrame, Observation]:
+    """A silver frame whose checks are counted by whatever computes it; the counts are for ``refuse``.
 
     For frames with one row per (ticker, trade_date) meant, such as ``transform_silver`` returns:
     a repeated key then is a row with the date of the row before it, which the window that
-    computes the return can tell without another shuffle or sort. The counts are observed by the
-    tasks that write the staged table, whose folder goes to ``held``.
+    computes the return can tell without another shuffle or sort.
     """
     previous = F.lag("trade_date").over(by_date())
     repeated = (F.row_number().over(by_date()) > 1) & previous.eqNullSafe(F.col("trade_date"))
@@ -93,8 +92,17 @@ def staged_if_sound(df: DataFrame, as_of=None, held: list | None = None) -> Data
         )
         .drop("_repeated")
     )
+    return checked, seen
+
+
+def staged_if_sound(df: DataFrame, as_of=None, held: list | None = None) -> DataFrame:
+    """Stage a silver frame and check it in the same pass; QualityError if it fails.
+
+    The staged table's folder goes to ``held``.
+    """
+    checked, seen = checked_on_the_way(df, as_of)
     stored = staged(checked, "silver", held)
-    _refuse(seen.get)
+    refuse(seen.get)
     return stored
 
 

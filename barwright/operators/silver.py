@@ -51,8 +51,8 @@ def has_required() -> Column:
 
 
 def has_valid_prices() -> Column:
-    """All four prices above zero. A null price makes this null, which a filter drops; NaN passes."""
-    return reduce(and_, [F.col(c) > 0 for c in PRICE_COLUMNS])
+    """All four prices are numbers above zero. A null price makes this null, which a filter drops."""
+    return reduce(and_, [(F.col(c) > 0) & ~F.isnan(c) for c in PRICE_COLUMNS])
 
 
 def remove_nulls(df: DataFrame) -> DataFrame:
@@ -99,16 +99,27 @@ def select_silver_columns(df: DataFrame) -> DataFrame:
     return df.select(*[c for c in SILVER_SCHEMA.fieldNames() if c in df.columns])
 
 
+def _reject_reasons(column) -> list[Column]:
+    """What keeps a row from silver, each null where it doesn't hold; ``column`` gives a typed column."""
+    checks = {f"missing {c}": column(c).isNull() for c in [*REQUIRED_COLUMNS, *PRICE_COLUMNS]}
+    checks |= {f"not positive {c}": column(c) <= 0 for c in PRICE_COLUMNS}
+    checks |= {f"no number {c}": F.isnan(column(c)) for c in PRICE_COLUMNS}
+    return [F.when(bad, F.lit(name)) for name, bad in checks.items()]
+
+
 def rejected_rows(df: DataFrame) -> DataFrame:
     """The raw rows that ``clean_bars`` drops other than as repeats, with ``reject_reasons``."""
-    checks = {f"missing {c}": F.col(c).isNull() for c in [*REQUIRED_COLUMNS, *PRICE_COLUMNS]}
-    checks |= {f"not positive {c}": F.col(c) <= 0 for c in PRICE_COLUMNS}
-    reasons = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in checks.items()]))
     typed = cast_types(df.select("*", F.struct(*df.columns).alias("_raw")))
-    marked = typed.select("_raw", reasons.alias("reject_reasons"))
+    marked = typed.select("_raw", F.array_compact(F.array(*_reject_reasons(F.col))).alias("reject_reasons"))
     return marked.where(F.size("reject_reasons") > 0).select("_raw.*", "reject_reasons")
 
 
+def count_rejected() -> Column:
+    """How many rows of stored raw bars ``rejected_rows`` would return: an aggregate over their columns."""
+    stored = {name: name.removesuffix("_price") for name in PRICE_COLUMNS}
+    return F.count_if(F.coalesce(*_reject_reasons(lambda c: F.col(stored.get(c, c)))).isNotNull())
+
+
 def clean_bars(df: DataFrame) -> DataFrame:
     """Everything up to the return: typed, filtered, one row per (ticker, trade_date)."""
     keep = set(SILVER_SCHEMA.fieldNames()) | {"ingested_at"}
@@ -134,10 +145,10 @@ def transform_silver(df: DataFrame, processed_at=None) -> DataFrame:
     )
 
 
-def in_window(df: DataFrame, start=None, end=None) -> DataFrame:
-    """Dates from ``start`` (inclusive) to ``end`` (exclusive); by default the last 365 days."""
+def in_window(df: DataFrame, start=None, end=None, days: int = fixed.HISTORY_DAYS) -> DataFrame:
+    """Dates from ``start`` (inclusive) to ``end`` (exclusive); by default the last ``days`` days."""
     last = F.current_date() if end is None else F.lit(end).cast("date")
-    first = F.date_sub(last, fixed.HISTORY_DAYS) if start is None else F.lit(start).cast("date")
+    first = F.date_sub(last, days) if start is None else F.lit(start).cast("date")
     return df.where((F.col("trade_date") >= first) & (F.col("trade_date") < last))
 
 

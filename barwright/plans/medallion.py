@@ -1,28 +1,38 @@
 """Layer jobs: what runs between the stored tables."""
 
 from datetime import date, datetime, timezone
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barwright import fixed
 from barwright.operators import analytics, gold, report
 from barwright.operators.correlation import correlation_matrix
 from barwright.operators.incremental import add_return_after, prior_closes
-from barwright.operators.quality import staged_if_sound
+from barwright.operators.quality import checked_on_the_way, refuse
 from barwright.operators.silver import (
     add_processed_at,
     clean_bars,
+    count_rejected,
     in_window,
     rejected_rows,
     select_silver_columns,
     transform_silver,
 )
 from barwright.functions.scalars import normalize_ticker
+from barwright.schemas import SILVER_SCHEMA, conform
 from barwright.session import remove, staged
 from barwright.sources import layers
 
 
+class Load(NamedTuple):
+    """What a load stored, and how many rows it left out because of its window or tickers."""
+
+    rows: int
+    left_out: int
+
+
 def load_bronze(
     raw: DataFrame,
     root: str,
@@ -30,19 +40,23 @@ def load_bronze(
     tickers=None,
     start=None,
     end=None,
+    days: int | None = None,
     ingested_at=None,
-) -> int:
-    """Store the raw bars of the window (the last 365 days by default) and tickers (all by default).
+) -> Load:
+    """Store raw bars: all of them, those from ``start`` up to ``end``, or of the last ``days`` days.
 
-    Bars outside the window are left out: name ``start`` and ``end`` to load landed files whole. With
-    ``tickers`` named, in any case or spacing, stored bars of other tickers stay.
+    With ``tickers`` named, in any case or spacing, only theirs. Every load adds to the ones before it;
+    where tickers and dates meet, the latest load counts.
     """
-    rows = in_window(raw, start, end)
-    if tickers is None:
-        return layers.write_bronze(rows, root, source, ingested_at)
-    wanted = [normalize_ticker(F.lit(t)) for t in tickers]
-    rows = rows.where(normalize_ticker("ticker").isin(wanted))
-    return layers.write_bronze(rows, root, source, ingested_at, mode="merge")
+    seen = Observation()
+    rows = raw.observe(seen, F.count(F.lit(1)).alias("n"))
+    if not (start is None and end is None and days is None):
+        rows = in_window(rows, start, end, days or fixed.HISTORY_DAYS)
+    if tickers is not None:
+        rows = rows.where(normalize_ticker("ticker").isin([normalize_ticker(F.lit(t)) for t in tickers]))
+    stored = layers.write_bronze(rows, root, source, ingested_at)
+    # a plan that turns out empty is cut short, and what was counted below is lost with it
+    return Load(stored, (seen.get["n"] if stored else raw.count()) - stored)
 
 
 def build_silver(
@@ -56,43 +70,50 @@ def build_silver(
 ) -> int:
     """Bronze to silver: all dates, one ``trade_date``, or all dates from ``since`` on.
 
-    All sources go in, unless one is named; bars that several have fold into one per ticker and date.
+    All sources go in; bars that several have fold into one per ticker and date. With a ``source``
+    named, the run starts at its first date, and takes in what the other sources have from there on.
     A partial run looks up each ticker's last close ahead of it, so its returns are those a full
     run would give. A date also settles the return of the bar after it: if silver holds later dates
-    than ``trade_date``, the run goes on from there as with ``since``. The result is staged and checked
-    in one pass, and only a table that passes is written. Dates of the run that have no valid bar
-    (any more) are removed. Dropped rows are kept with their reasons, see ``layers.read_rejected``.
+    than ``trade_date``, the run goes on from there as with ``since``.
+
+    Bars and rejected rows of the run are written aside, checked by the tasks that write them, and
+    published together: a run that fails at any point leaves silver as it was. Dates of the run that
+    have no valid bar (any more) have none from then on, and rejected rows are those of the last run
+    over their date. Superseded folders go, but for those of the run before.
     """
-    silver = layers.read_silver(spark, root)
-    if trade_date is not None and since is None:
-        later = F.col("trade_date") > F.lit(trade_date).cast("date")
-        if not silver.where(later).isEmpty():
-            trade_date, since = None, trade_date
-    raw = layers.read_bronze(spark, root, source, trade_date)
-    if since is not None:
-        raw = raw.where(F.col("trade_date") >= F.lit(since).cast("date"))
-    first_date = trade_date or since
-    if first_date is None and raw.isEmpty():
+    if source is not None and trade_date is None and since is None:
+        since = min(layers.bronze_dates(spark, root, source), default=None)
+        if since is None:
+            return 0
+    stored = layers.silver_dates(spark, root)
+    if trade_date is not None and since is None and any(d > str(trade_date) for d in stored):
+        trade_date, since = None, trade_date
+    raw = layers.read_bronze(spark, root, None, trade_date, since)
+    first = trade_date or since
+    if first is None and raw.isEmpty():
         return 0
-    held = []
+    held, bad = [], Observation()
+    run = layers.SilverRun(spark, root, first, trade_date)
     try:
-        if first_date is None:
-            clean = transform_silver(raw, processed_at)
+        watched = raw.observe(bad, count_rejected().alias("n"))
+        if first is None:
+            clean = transform_silver(watched, processed_at)
         else:
-            bars = staged(clean_bars(raw), "clean", held)
-            prior = prior_closes(silver, bars, first_date, held=held)
+            bars = staged(clean_bars(watched), "clean", held)
+            prior = prior_closes(layers.read_silver(spark, root), bars, first, held=held)
             clean = select_silver_columns(add_processed_at(add_return_after(bars, prior), processed_at))
-        sound = staged_if_sound(clean, as_of, held)
-        layers.write_rejected(rejected_rows(raw), root, whole=first_date is None)
-        if first_date is not None:
-            stored = silver.where(F.col("trade_date") >= F.lit(first_date).cast("date"))
-            if trade_date is not None:
-                stored = stored.where(F.col("trade_date") == F.lit(trade_date).cast("date"))
-            days = [df.select("trade_date").distinct() for df in (stored, sound)]
-            emptied = days[0].join(days[1], "trade_date", "left_anti").collect()  # calendar days
-            layers.remove_silver_dates(spark, root, [r["trade_date"] for r in emptied])
-        return layers.write_silver(sound, root, whole=first_date is None)
+        checked, seen = checked_on_the_way(clean, as_of)
+        n_rows = run.write(conform(checked, SILVER_SCHEMA), "bars")
+        refuse(seen.get)
+        if not n_rows or bad.get["n"]:  # without a valid row, the plan was cut short and counted nothing
+            run.write(rejected_rows(raw), "rejected")
+        else:
+            run.covers_without_rows("rejected")
+        run.publish()
+        layers.expire_silver(spark, root)
+        return n_rows
     finally:
+        run.discard()
         remove(spark, *held)
 
 
@@ -178,8 +199,9 @@ def run_all(
     end: date | None = None,
     report_time: datetime | None = None,
 ) -> dict:
-    """Raw bars through all layers; returns rows per table and the report folder."""
-    result = {"bronze": load_bronze(raw, root, source, tickers, start, end)}
+    """Raw bars through all layers; returns rows per table, rows left out, and the report folder."""
+    load = load_bronze(raw, root, source, tickers, start, end)
+    result = {"bronze": load.rows, "left_out": load.left_out}
     result["silver"] = build_silver(spark, root)
     result.update(build_gold(spark, root))
     result["report"] = build_report(spark, root, report_time)

@@ -147,6 +147,36 @@ def _(spark, folder):
     return layers.read_bronze(spark, root, "events").drop("ingested_at")
 
 
+def _loaded_piecemeal(spark, folder):
+    """Two loads that share all dates and no ticker, a wrong third one for some, and its correction."""
+    root = new_folder(spark, "lake")
+    raw = _user_bars(spark, folder)
+    odd = F.crc32("ticker") % 2 == 1
+    wrong = raw.where(odd).withColumn("close", F.col("close") + 1)
+    for part in (raw.where(~odd), wrong, raw.where(odd), raw.where(~odd)):
+        medallion.load_bronze(part, root, "events", ingested_at=LOAD_TIME)
+    return root
+
+
+@query("bronze_two_loads", oracle(_BRONZE, "users"))
+def _(spark, folder):
+    return layers.read_bronze(spark, _loaded_piecemeal(spark, folder), "events").drop("ingested_at")
+
+
+@query("bronze_compacted", oracle(_BRONZE, "users"))
+def _(spark, folder):
+    root = _loaded_piecemeal(spark, folder)
+    layers.compact_bronze(spark, root, "events")
+    return layers.read_bronze(spark, root, "events").drop("ingested_at")
+
+
+@query("bronze_read_since", oracle(f"{_BRONZE} WHERE trade_date >= DATE '{_DAY}'", "users"))
+def _(spark, folder):
+    root = new_folder(spark, "lake")
+    layers.write_bronze(_user_bars(spark, folder), root, "events", LOAD_TIME)
+    return layers.read_bronze(spark, root, "events", since=_DAY).drop("ingested_at")
+
+
 @query("silver_two_sources", oracle(_SILVER, "events"))
 def _(spark, folder):
     """Two sources that share some bars, through one silver table, built twice."""
@@ -160,6 +190,19 @@ def _(spark, folder):
     return layers.read_silver(spark, root).drop("processed_at")
 
 
+@query("silver_one_source", oracle(_SILVER, "events"))
+def _(spark, folder):
+    """A run for one source after one for all."""
+    root = new_folder(spark, "lake")
+    raw = bars.bars_from_events(spark, folder)
+    first = F.crc32("ticker") % 2 == 0
+    medallion.load_bronze(raw.where(first), root, "first")
+    medallion.load_bronze(raw.where(~first), root, "second")
+    medallion.build_silver(spark, root, processed_at=PROCESS_TIME)
+    medallion.build_silver(spark, root, source="first", processed_at=PROCESS_TIME)
+    return layers.read_silver(spark, root).drop("processed_at")
+
+
 def _corrected(spark, folder, since):
     """A date whose bars are corrected to invalid prices after all layers were built."""
     root = new_folder(spark, "lake")
@@ -230,3 +273,24 @@ def _(spark, folder):
     }
     one = spark.range(1).select(*[df.agg(F.count(F.lit(1))).scalar().alias(n) for n, df in counts.items()])
     return one.withColumn("n_repeated", F.expr("n_raw - n_kept - n_rejected"))
+
+
+@query(
+    "rejects_after_correction",
+    oracle(
+        f"""
+SELECT ticker, trade_date, {RAW_VALUES}, 'not positive low_price' AS reasons
+FROM (SELECT * REPLACE (-low AS low) FROM raw) AS r WHERE trade_date < DATE '{_DAY}'""",
+        "users",
+    ),
+)
+def _(spark, folder):
+    """All bars are rejected; those from a date on are corrected, and silver built again from there."""
+    root = new_folder(spark, "lake")
+    raw = _user_bars(spark, folder)
+    medallion.load_bronze(raw.withColumn("low", -F.col("low")), root, "events", ingested_at=LOAD_TIME)
+    medallion.build_silver(spark, root, processed_at=PROCESS_TIME)
+    medallion.load_bronze(raw, root, "events", start=_DAY, end=_END, ingested_at=LOAD_TIME)
+    medallion.build_silver(spark, root, since=_DAY, processed_at=PROCESS_TIME)
+    rejected = layers.read_rejected(spark, root).drop("source", "ingested_at")
+    return rejected.withColumn("reasons", F.concat_ws("; ", "reject_reasons")).drop("reject_reasons")

@@ -1,18 +1,29 @@
 """The stored layers: Parquet tables that a load can be repeated into without doubling rows.
 
-Bars are partitioned by trade_date and gold tables by year and month. A write replaces exactly the
-partitions it has rows for. Ahead of the write, rows are rebalanced on the partition columns: one
-task writes many small partitions, and a partition too big for one task is split, so neither small
-files nor one heavy day become a problem.
+Bars are partitioned by trade_date and gold tables by year and month. Ahead of a write, rows are
+rebalanced on the partition columns: one task writes many small partitions, and a partition too big
+for one task is split, so neither small files nor one heavy day become a problem.
+
+Bronze is a folder per load. Reads take, for every ticker and date of a source, the rows of the latest
+load that has some: a load adds to the ones before it, repeating it changes nothing, and a correction
+wins. Which dates have several loads is known from the folder names; only their older loads are matched
+against the newer ones. ``compact_bronze`` folds them.
+
+Silver is a folder per run, which holds the bars and the rejected rows of the dates it covers. For every
+date the latest run that covers it counts. Both are written aside and published in one step, so a run
+that fails leaves the table as it was.
 """
 
+from collections import defaultdict
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barwright import fixed
+from barwright.functions.scalars import normalize_ticker
 from barwright.schemas import (
     BRONZE_SCHEMA,
     GOLD_SCHEMAS,
@@ -21,7 +32,8 @@ from barwright.schemas import (
     conform,
     empty,
 )
-from barwright.session import new_folder, remove, staged
+from barwright.session import new_folder, remove
+from barwright.sources import versions
 
 
 def bronze_path(root: str, source: str = fixed.DEFAULT_SOURCE) -> str:
@@ -36,6 +48,7 @@ def bronze_sources(spark: SparkSession, root: str) -> list[str]:
 
 
 def silver_path(root: str) -> str:
+    """Bars and rejected rows, by run."""
     return f"{root}/silver"
 
 
@@ -43,10 +56,6 @@ def gold_path(root: str, name: str) -> str:
     return f"{root}/gold/{name}"
 
 
-def rejected_path(root: str) -> str:
-    return f"{root}/rejected"
-
-
 def _missing(spark: SparkSession, path: str) -> str | None:
     """The uppermost folder of ``path`` that isn't there yet."""
     place, missing = spark._jvm.org.apache.hadoop.fs.Path(path), None
@@ -93,82 +102,239 @@ def _read(spark: SparkSession, path: str, schema) -> DataFrame:
     return stored.select(*schema.fieldNames())
 
 
-def _on_date(df: DataFrame, trade_date) -> DataFrame:
-    if trade_date is None:
-        return df
-    return df.where(F.col("trade_date") == F.lit(trade_date).cast("date"))
-
-
 def with_load_columns(df: DataFrame, source: str, ingested_at=None) -> DataFrame:
     stamp = F.current_timestamp() if ingested_at is None else F.lit(ingested_at).cast("timestamp")
     return df.withColumn("source", F.lit(source)).withColumn("ingested_at", stamp)
 
 
+def _folders(spark: SparkSession, pattern: str) -> list[tuple[str, str, str]]:
+    """(number, trade_date, path) of the date folders that match."""
+    found = []
+    for path in versions.listed(spark, f"{pattern}/trade_date=*"):
+        numbered = next(part for part in path.split("/") if part.startswith(("load=", "version=")))
+        found.append((numbered.split("=")[1], path.rsplit("=", 1)[1], path))
+    return found
+
+
+def _within(dates, trade_date, since):
+    """Dates as folder names: one, those from ``since`` on, or all."""
+    for d in dates:
+        if trade_date is not None:
+            if d == str(trade_date):
+                yield d
+        elif since is None or (d >= str(since) and d[0].isdigit()):
+            yield d
+
+
+def _read_folders(spark: SparkSession, base: str, paths, schema) -> DataFrame:
+    if not paths:
+        return empty(spark, schema)
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths)
+
+
+# --- bronze -----------------------------------------------------------------------------------
+
+_LOAD = "load"
+
+
 def write_bronze(
-    df: DataFrame,
-    root: str,
-    source: str = fixed.DEFAULT_SOURCE,
-    ingested_at=None,
-    mode: str = "overwrite",
+    df: DataFrame, root: str, source: str = fixed.DEFAULT_SOURCE, ingested_at=None
 ) -> int:
-    """Store raw bars as they are, plus source and load time; returns the rows written.
+    """Store raw bars as a load of their own, plus source and load time; returns the rows written.
 
-    Replaces the dates present in ``df``. ``mode="merge"`` replaces only what ``df`` has of them, by
-    ticker and date, and keeps the other tickers of those dates; ``mode="append"`` adds to them
-    (silver drops repeated bars). Both can be repeated. Nothing to write changes nothing.
+    What earlier loads brought stays, but for the tickers and dates that this one has, too. Nothing to
+    write changes nothing.
     """
     spark, path = df.sparkSession, bronze_path(root, source)
     rows = conform(with_load_columns(df, source, ingested_at), BRONZE_SCHEMA)
-    if mode != "merge":
-        return _write(rows, path, ["trade_date"], ["ticker"], mode)
-    held = []
-    rows = staged(rows, "load", held)
-    stored = _read(spark, path, BRONZE_SCHEMA)
-    others = stored.join(rows.select("trade_date").distinct(), "trade_date", "left_semi").join(
-        rows, ["ticker", "trade_date"], "left_anti"
-    )
-    # staged as well: the partitions it comes from are replaced
-    others = staged(others.select(*BRONZE_SCHEMA.fieldNames()), "others", held)
-    n_rows = rows.count()
-    _write(rows.unionByName(others), path, ["trade_date"], ["ticker"])
-    remove(spark, *held)
-    return n_rows
+    return _publish_load(spark, rows, path)
+
+
+def _publish_load(spark: SparkSession, rows: DataFrame, path: str, number: str | None = None) -> int:
+    made, folder = _missing(spark, path), versions.pending(path)
+    try:
+        n_rows = _write(rows, folder, ["trade_date"], ["ticker"])
+        if n_rows:
+            versions.publish(spark, path, folder, _LOAD, number)
+            made = None
+        return n_rows
+    finally:
+        remove(spark, folder, *([made] if made else []))
+
+
+def _identity():
+    """What a row of bronze is known by within its date: its ticker, or all of it if it has none."""
+    values = [f.name for f in BRONZE_SCHEMA.fields if f.name not in ("ticker", "trade_date", "ingested_at")]
+    ticker = normalize_ticker("ticker")
+    return F.coalesce(ticker, F.concat(F.lit("\0"), F.xxhash64(*values).cast("string"))).alias("_identity")
+
+
+def _resolved(spark: SparkSession, path: str, trade_date=None, since=None, only=None) -> DataFrame:
+    """The rows of the latest load that has their ticker and date, of the wanted dates."""
+    loads = defaultdict(list)
+    for number, day, folder in _folders(spark, f"{path}/{_LOAD}=*"):
+        loads[day].append((number, folder))
+    wanted = [d for d in _within(sorted(loads), trade_date, since) if only is None or d in only]
+    newest = [max(loads[d])[1] for d in wanted]
+    several = [d for d in wanted if len(loads[d]) > 1]
+    latest = _read_folders(spark, path, newest, BRONZE_SCHEMA)
+    if not several:
+        return latest.select(*BRONZE_SCHEMA.fieldNames())
+    numbered = T.StructType([*BRONZE_SCHEMA.fields, T.StructField(_LOAD, T.StringType())])
+    # the newest load of a date counts whole, so only the older ones are matched by ticker
+    every = _read_folders(spark, path, [f for d in several for _, f in loads[d]], numbered)
+    older = _read_folders(spark, path, [f for d in several for _, f in sorted(loads[d])[:-1]], numbered)
+    last = every.groupBy(_identity(), "trade_date").agg(F.max(_LOAD).alias(_LOAD)).alias("last")
+    mine = older.withColumn("_identity", _identity()).alias("mine")
+    same = [F.col(f"mine.{c}").eqNullSafe(F.col(f"last.{c}")) for c in ("_identity", "trade_date", _LOAD)]
+    kept = mine.join(last, same, "left_semi")
+    return latest.select(*BRONZE_SCHEMA.fieldNames()).unionByName(kept.select(*BRONZE_SCHEMA.fieldNames()))
 
 
 def read_bronze(
-    spark: SparkSession, root: str, source: str | None = fixed.DEFAULT_SOURCE, trade_date=None
+    spark: SparkSession, root: str, source: str | None = fixed.DEFAULT_SOURCE, trade_date=None, since=None
 ) -> DataFrame:
-    """All dates or one (only its partition is read); a source never loaded gives no rows.
+    """All dates, one, or those from ``since`` on (only their folders are read); each ticker's latest load.
 
-    ``source=None`` reads all sources.
+    ``source=None`` reads all sources; a source never loaded gives no rows.
     """
     sources = bronze_sources(spark, root) if source is None else [source]
-    stored = [_read(spark, bronze_path(root, s), BRONZE_SCHEMA) for s in sources]
-    every = reduce(DataFrame.unionByName, stored) if stored else empty(spark, BRONZE_SCHEMA)
-    return _on_date(every, trade_date)
+    stored = [_resolved(spark, bronze_path(root, s), trade_date, since) for s in sources]
+    return reduce(DataFrame.unionByName, stored) if stored else empty(spark, BRONZE_SCHEMA)
+
+
+def bronze_dates(spark: SparkSession, root: str, source: str) -> list[str]:
+    """The dates that a source has bars for, by folder name."""
+    folders = _folders(spark, f"{bronze_path(root, source)}/{_LOAD}=*")
+    return sorted({day for _, day, _ in folders if day[0].isdigit()})
+
+
+def compact_bronze(spark: SparkSession, root: str, source: str = fixed.DEFAULT_SOURCE) -> int:
+    """Fold the dates with several loads into one; returns the rows written.
+
+    The folded rows take a number right behind the last load they come from, so a load that comes in
+    meanwhile is newer still. Loads of which a claim is open are left for the next time. The folders that
+    were folded go once the result is published.
+    """
+    path = bronze_path(root, source)
+    barrier = versions.unsettled(spark, path, _LOAD)
+    folders = [f for f in _folders(spark, f"{path}/{_LOAD}=*") if barrier is None or f[0] < barrier]
+    loads = defaultdict(list)
+    for number, day, folder in folders:
+        loads[day].append((number, folder))
+    several = {d: found for d, found in loads.items() if len(found) > 1}
+    if not several:
+        return 0
+    last = max(number for found in several.values() for number, _ in found)
+    step = int(last.split(".")[1]) + 1 if "." in last else 1
+    rows = _resolved(spark, path, only=set(several))
+    n_rows = _publish_load(spark, rows, path, f"{last.split('.')[0]}.{step:06d}")
+    remove(spark, *(folder for found in several.values() for _, folder in found))
+    return n_rows
+
+
+# --- silver -----------------------------------------------------------------------------------
+
+_RUN, _BARS, _REJECTED, _ALL, _PRESENT = "version", "bars", "rejected", "all", "present"
+
+
+class SilverRun:
+    """A run's bars and rejected rows, written aside until ``publish``.
+
+    It covers all dates, or those from ``first`` to ``last`` (both may be left open); of these, dates that
+    it has no rows for have none from then on.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, first=None, last=None):
+        self.spark, self.table = spark, silver_path(root)
+        self.made = _missing(spark, self.table)
+        self.folder = versions.pending(self.table)
+        self.covers = _ALL if first is None and last is None else f"{first or ''}_{last or ''}"
+
+    def write(self, df: DataFrame, kind: str, covers: str | None = None) -> int:
+        n_rows = _write(df, f"{self.folder}/kind={kind}", ["trade_date"], ["ticker"])
+        versions.mark(self.spark, f"{self.folder}/_covers_{kind}_{covers or self.covers}")
+        return n_rows
+
+    def covers_without_rows(self, kind: str) -> None:
+        versions.mark(self.spark, f"{self.folder}/_covers_{kind}_{self.covers}")
+
+    def publish(self) -> None:
+        versions.publish(self.spark, self.table, self.folder, _RUN)
+        self.made = None
+
+    def discard(self) -> None:
+        """Take away what has not been published."""
+        remove(self.spark, self.folder, *([self.made] if self.made else []))
+
+
+def _current(spark: SparkSession, root: str, kind: str) -> dict[str, str]:
+    """The folder that counts for every date."""
+    covers = {}
+    for path in versions.listed(spark, f"{silver_path(root)}/{_RUN}=*/_covers_{kind}_*"):
+        run, marker = path.split("/")[-2:]
+        covers[run.split("=")[1]] = marker.split("_", 3)[3]
+    by_day = defaultdict(dict)
+    for number, day, folder in _folders(spark, f"{silver_path(root)}/{_RUN}=*/kind={kind}"):
+        by_day[day][number] = folder
+
+    def covered(number, day):
+        if covers[number] in (_ALL, _PRESENT):
+            return covers[number] == _ALL or number in by_day[day]
+        first, last = covers[number].split("_")
+        return day[0].isdigit() and first <= day and (not last or day <= last)
+
+    current = {}
+    for day in by_day:
+        run = next((n for n in sorted(covers, reverse=True) if covered(n, day)), None)
+        if run in by_day[day]:
+            current[day] = by_day[day][run]
+    return current
+
+
+def _read_current(spark, root, kind, schema, trade_date=None, since=None) -> DataFrame:
+    current = _current(spark, root, kind)
+    paths = [current[d] for d in _within(sorted(current), trade_date, since)]
+    return _read_folders(spark, silver_path(root), paths, schema).select(*schema.fieldNames())
+
+
+def expire_silver(spark: SparkSession, root: str, keep: int = 1) -> None:
+    """Take away superseded folders of all runs but the ``keep`` latest; those may still have readers."""
+    table = silver_path(root)
+    runs = versions.numbers(spark, table, _RUN)
+    old = set(runs[: len(runs) - keep] if keep else runs)
+    for kind in (_BARS, _REJECTED):
+        current = set(_current(spark, root, kind).values())
+        folders = _folders(spark, f"{table}/{_RUN}=*/kind={kind}")
+        remove(spark, *(folder for number, _, folder in folders if number in old and folder not in current))
 
 
 def write_silver(df: DataFrame, root: str, schema=SILVER_SCHEMA, whole: bool = False) -> int:
     """Store clean bars, replacing the dates present in ``df`` or the ``whole`` table."""
-    return _write(conform(df, schema), silver_path(root), ["trade_date"], ["ticker"], whole=whole)
+    run = SilverRun(df.sparkSession, root)
+    try:
+        n_rows = run.write(conform(df, schema), _BARS, _ALL if whole else _PRESENT)
+        if n_rows or whole:
+            run.publish()
+        return n_rows
+    finally:
+        run.discard()
 
 
-def remove_silver_dates(spark: SparkSession, root: str, dates) -> None:
-    """Take away whole dates, those whose bars all turned out invalid."""
-    remove(spark, *(f"{silver_path(root)}/trade_date={d}" for d in dates))
+def silver_dates(spark: SparkSession, root: str) -> list[str]:
+    return sorted(_current(spark, root, _BARS))
 
 
-def write_rejected(df: DataFrame, root: str, whole: bool = True) -> int:
-    """Keep the rows that silver dropped, with their reasons, by date."""
-    return _write(df, rejected_path(root), ["trade_date"], ["ticker"], whole=whole)
+def read_silver(spark: SparkSession, root: str, trade_date=None, schema=SILVER_SCHEMA, since=None) -> DataFrame:
+    return _read_current(spark, root, _BARS, schema, trade_date, since)
 
 
 def read_rejected(spark: SparkSession, root: str) -> DataFrame:
-    return _read(spark, rejected_path(root), REJECTED_SCHEMA)
+    """The rows that silver dropped, with their reasons."""
+    return _read_current(spark, root, _REJECTED, REJECTED_SCHEMA)
 
 
-def read_silver(spark: SparkSession, root: str, trade_date=None, schema=SILVER_SCHEMA) -> DataFrame:
-    return _on_date(_read(spark, silver_path(root), schema), trade_date)
+# --- gold -------------------------------------------------------------------------------------
 
 
 def write_gold(df: DataFrame, root: str, name: str) -> int:

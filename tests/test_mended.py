@@ -37,7 +37,7 @@ def test_position_takes_whole_keys_prices_and_quantities(spark, tmp_path):
 def test_load_of_some_tickers_keeps_the_others(spark, raw_df, tmp_path):
     root = str(tmp_path)
     for ticker in ("PETR4.SA", " vale3.sa ", "ITUB4.SA", "PETR4.SA"):
-        assert medallion.load_bronze(raw_df, root, tickers=[ticker], **WINDOW) > 0
+        assert medallion.load_bronze(raw_df, root, tickers=[ticker], **WINDOW).rows > 0
     assert sorted(map(tuple, layers.read_bronze(spark, root).drop("source", "ingested_at").collect())) == sorted(RAW_ROWS)
 
 
@@ -53,14 +53,20 @@ def test_corrected_date_goes_from_all_layers(spark, raw_df, tmp_path):
     assert len(rejected) == 2 and {tuple(r.reject_reasons) for r in rejected} == {("not positive close_price",)}
 
 
-def test_nan_prices(make_raw):
+def test_nan_prices(spark, make_raw, tmp_path):
+    """A price that is no number is a bad record: it is rejected, and ends no load."""
     nan = float("nan")
     rows = [("A", D2, 1.0, 1.0, 1.0, 2.0, nan, 5), ("A", D2, 1.0, 1.0, 1.0, 2.0, 3.0, 5), ("A", D3, 1.0, nan, 1.0, 1.0, 1.0, 5)]
-    clean = silver.transform_silver(make_raw(rows), datetime(2024, 1, 4))
-    assert clean.where(F.col("trade_date") == D2).first().adj_close == 3.0
-    assert quality.quality_report(clean, date(2024, 1, 5)).first().nan_prices == 1
+    raw = make_raw(rows)
+    clean = silver.transform_silver(raw, datetime(2024, 1, 4))
+    assert [(r.trade_date, r.adj_close) for r in clean.collect()] == [(D2, 3.0)]
+    assert quality.quality_report(silver.cast_types(raw), date(2024, 1, 5)).first().nan_prices == 1
     with pytest.raises(quality.QualityError, match="nan_prices"):
-        quality.staged_if_sound(clean, date(2024, 1, 5))
+        quality.require_quality(silver.cast_types(raw), date(2024, 1, 5))
+    medallion.load_bronze(raw, str(tmp_path))
+    assert medallion.build_silver(spark, str(tmp_path)) == 1
+    (rejected,) = layers.read_rejected(spark, str(tmp_path)).collect()
+    assert rejected.trade_date == D3 and rejected.reject_reasons == ["no number high_price"]
 
 
 def test_no_staged_table_outlives_the_jobs(spark, raw_df, tmp_path):
@@ -69,8 +75,7 @@ def test_no_staged_table_outlives_the_jobs(spark, raw_df, tmp_path):
     medallion.run_all(spark, raw_df, str(tmp_path), **WINDOW)
     medallion.load_bronze(raw_df, str(tmp_path), tickers=["PETR4.SA"], **WINDOW)
     medallion.build_silver(spark, str(tmp_path), trade_date=D2)
-    bad = raw_df.withColumn("high", F.lit(float("nan")))
-    medallion.load_bronze(bad, str(tmp_path), **WINDOW)
     with pytest.raises(quality.QualityError):
-        medallion.build_silver(spark, str(tmp_path))
+        medallion.build_silver(spark, str(tmp_path), as_of=date(2023, 1, 1))
     assert set(os.listdir(folder)) == before
+    assert not [p for p in tmp_path.rglob("_pending-*")]

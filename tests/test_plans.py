@@ -75,7 +75,7 @@ def test_failed_gate_writes_nothing(spark, bars, tmp_path):
 
 def test_empty_layers_return_early(spark, raw_df, tmp_path):
     root = str(tmp_path)
-    assert load(raw_df.limit(0), root) == 0
+    assert load(raw_df.limit(0), root) == (0, 0)
     assert medallion.build_silver(spark, root) == 0
     assert medallion.build_gold(spark, root) == {}
     assert medallion.build_report(spark, root) is None
@@ -83,7 +83,7 @@ def test_empty_layers_return_early(spark, raw_df, tmp_path):
 
 
 def test_load_takes_the_chosen_tickers(spark, raw_df, tmp_path):
-    assert load(raw_df, str(tmp_path), tickers=["PETR4.SA"]) == 2
+    assert load(raw_df, str(tmp_path), tickers=["PETR4.SA"]) == (2, 3)
 
 
 def test_all_layers_and_report(spark, raw_df, tmp_path):
@@ -93,6 +93,7 @@ def test_all_layers_and_report(spark, raw_df, tmp_path):
     )
     assert result == {
         "bronze": 5,
+        "left_out": 0,
         "silver": 5,
         "daily_metrics": 5,
         "portfolio_summary": 3,

@@ -61,7 +61,7 @@ def test_a_heavy_day_is_written_by_several_tasks(spark, make_raw, tmp_path):
         assert layers.write_bronze(frame, str(tmp_path)) == 30_001
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    files = {d: len(list((tmp_path / f"bronze/yahoo_finance/trade_date={d}").glob("*.parquet"))) for d in (D2, D3)}
+    files = {d: len(list((tmp_path / f"bronze/yahoo_finance/load=0000000001/trade_date={d}").glob("*.parquet"))) for d in (D2, D3)}
     assert files[D2] > 1 and files[D3] == 1
 
 

@@ -1,4 +1,3 @@
-import math
 from datetime import date, timedelta
 
 import pytest
@@ -52,11 +51,10 @@ def test_non_positive_and_null_prices_are_removed(raw_df):
     assert silver.remove_invalid_prices(null_open).count() == 4
 
 
-def test_nan_is_no_null(make_raw):
-    nan = float("nan")
-    rows = [("A", D2, 1.0, 1.0, 1.0, nan, 1.0, 10)]
-    kept = silver.clean_bars(make_raw(rows)).collect()
-    assert len(kept) == 1 and math.isnan(kept[0].close_price)
+def test_nan_is_no_null_and_no_price(make_raw):
+    typed = silver.cast_types(make_raw([("A", D2, 1.0, 1.0, 1.0, float("nan"), 1.0, 10)]))
+    assert silver.remove_nulls(typed).count() == 1
+    assert silver.remove_invalid_prices(typed).count() == 0
 
 
 def test_duplicates_are_removed(raw_df_with_duplicates):
