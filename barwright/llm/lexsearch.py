@@ -29,6 +29,8 @@ ITEM_WORDS = 200_000
 #: Postings of one shard: its tables take some 130 bytes each.
 SHARD_POSTINGS = 1 << 20
 SHARD_DOCS = 1 << 16
+#: Documents per task, about.
+TASK_DOCS = 1 << 14
 _SLICE = 256
 _NO_ID = np.iinfo(np.int64).max
 
@@ -221,7 +223,7 @@ def _round(texts: DataFrame, pairs: list, most: int) -> DataFrame:
     for row in df:
         weights[row["term"]] = weight(n_docs, row["count"])
     # shards of some size: many small files are read by few tasks
-    tasks = max(spark.sparkContext.defaultParallelism, -(-n_rows // SHARD_DOCS))
+    tasks = max(spark.sparkContext.defaultParallelism, -(-n_rows // TASK_DOCS))
     search = _searcher(share(asked), share((n_docs, n_terms, weights)), most)
     found = postings.coalesce(tasks).mapInArrow(search, "item_id bigint, doc_id bigint, score bigint")
     found, _ = stage(found, "found")
