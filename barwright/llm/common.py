@@ -4,7 +4,7 @@ import sys
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barwright.session import new_folder
@@ -91,8 +91,9 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """Connected components: ``node`` and ``component`` (its smallest node) of all linked nodes.
 
     Alternates large-star and small-star steps until nothing moves. Every step is two shuffles of the
-    edges, written to the shared folder; no node meets its neighbours in one task, since only minima
-    are gathered. The rounds grow with the logarithm of the longest path.
+    edges, written to the shared folder. Minima are gathered map-side; a node's edges meet its minimum in
+    a streamed join, which adaptive skew handling splits for a node of very many. The rounds grow with the
+    logarithm of the longest path.
     """
     spark = edges.sparkSession
     a, b = F.col(left), F.col(right)
@@ -100,8 +101,12 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     current, path = stage(current, "edges")
     seen = None
     while True:
-        after, after_path = stage(_small_star(_large_star(current)), "edges")
-        state = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        told = Observation()
+        step = _small_star(_large_star(current)).observe(
+            told, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("mark")
+        )
+        after, after_path = stage(step, "edges")
+        state = (told.get["n"], told.get["mark"])
         discard(spark, path)
         current, path = after, after_path
         if state == seen or state[0] == 0:

@@ -6,11 +6,10 @@ tables of 2 x ``rows`` rows each, instead of ``bands``^2 x 2 x ``rows`` minhashe
 
 Texts with equal shingle sets fold into one class first. A table key never yields the pairs of its
 members: each member is compared with up to three of them (the smallest, the largest and one by
-hash), and then, in keys whose members don't hang together yet, with the best linked one. Only pairs of
-one key that still lie in different components remain. Each comes once, in the first table that both
-share, and only if the sizes of the sets and sketches of ``SKETCH`` bits leave its similarity possible (the
-sketches within ``MARGIN`` standard errors: they lose about one true pair at the bound in 10^9). So a key shared by a third of the rows costs a few comparisons per row once its members hang
-together. Every link is confirmed on the whole sets.
+hash), on whole sets. What still lies in different components under one key goes, with its sets, to tasks by
+band of the first collection; bands larger than a tile are split, and their tiles meet in pairs. A task compares
+members of different components that share a key, each pair in the first band it shares, until they are found
+linked or none is left, and returns only the links that joined two components: a forest, linear in what it read.
 """
 
 import hashlib
@@ -27,8 +26,13 @@ by_value(__name__)
 BANDS, ROWS = 9, 3
 _SIGNATURE = "doc_id bigint, n_shingles bigint, h1 bigint, h2 bigint, a array<bigint>, b array<bigint>"
 _SET = "doc_id bigint, shingles array<bigint>"
-_SKETCH = "doc_id bigint, bits array<bigint>"
-SKETCH, MARGIN = 2048, 6
+_LINK = "u bigint, v bigint"
+#: Documents of a tile, and those compared with one other at once.
+TILE, _CHUNK = 512, 64
+#: Up to so many bands larger than a tile are broadcast.
+BROADCAST_BANDS = 100_000
+#: Parts that a class of equal sets is folded in.
+PARTS = 64
 #: Up to so many ids (8 bytes each) are broadcast to pick their texts.
 BROADCAST_IDS = 500_000
 CACHED_WORDS = 1 << 17
@@ -113,24 +117,6 @@ def _setter(width: int):
     return build
 
 
-def _sketch(batches):
-    """One bit of each of ``SKETCH`` minhashes: two sets of similarity s agree in a share of (1 + s) / 2."""
-    random = np.random.default_rng(21)
-    factors = random.integers(0, 2**63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-    def bits(values: np.ndarray) -> np.ndarray:
-        least = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
-        for at in range(0, len(values), 128):
-            np.minimum(least, (values[at : at + 128, None] * factors).min(axis=0), out=least)
-        return np.packbits((_mix(least) & np.uint64(1)).astype(bool)).view(np.int64)
-
-    for batch in batches:
-        ends, flat = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy().view(np.uint64)
-        found = [bits(flat[x:y]) for x, y in zip(ends, ends[1:])]
-        arrays = [batch.column(0), pa.array(found, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "bits"])
-
-
 def _sets(texts: DataFrame, ids: DataFrame, width: int) -> tuple[DataFrame, str]:
     """The staged shingle sets of some documents. Texts are shuffled only if the ids are too many to broadcast."""
     ids, path = stage(ids, "ids")
@@ -150,13 +136,116 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     links = (
         pairs.join(left, "u").join(right, "v")
         .filter((small * 100 >= large * percent) & (common * 100 >= total * percent))
-        .select("u", "v").distinct()
+        .select("u", "v")
     )
-    return stage(links, "links")[0]
+    return links.distinct()
 
 
-def _pairs(left, right):
-    return F.least(left, right).alias("u"), F.greatest(left, right).alias("v")
+def _classes(named: DataFrame) -> tuple[DataFrame, DataFrame, str]:
+    """Links (u, v) that tie equal sets together, the documents that stand for them, and the folder both read."""
+    same = ["h1", "h2", "n_shingles"]
+    # by parts of a class first: one class may hold a third of all rows
+    parted = named.select("doc_id", *same, F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).alias("part"))
+    parts, path = stage(parted.groupBy(*same, "part").agg(F.min("doc_id").alias("part_id"), F.count("*").alias("n")), "classes")
+    firsts = parts.groupBy(*same).agg(F.min("part_id").alias("first_id"), F.sum("n").alias("members"))
+    several = parts.join(firsts.filter("members > 1"), same)
+    inner = parted.join(several.select(*same, "part", "part_id"), [*same, "part"]).select(F.col("doc_id").alias("u"), F.col("part_id").alias("v"))
+    links = inner.union(several.select("part_id", "first_id")).filter("u <> v")
+    return links, firsts.select(F.col("first_id").alias("doc_id")), path
+
+
+def compare(left: dict, right: dict | None, band: int, percent: int) -> list:
+    """Links between two tiles, or within one, that join two components; the tiles' components are joined along."""
+    other = right or left
+    alike = []
+    for at in range(len(left["id"])):
+        rest = np.arange(at + 1 if right is None else 0, len(other["id"]))
+        rest = rest[~(other["a"][rest, :band] == left["a"][at, :band]).any(axis=1)]
+        rest = rest[(other["b"][rest] == left["b"][at]).any(axis=1)]
+        own = left["sets"][at]
+        small, large = np.minimum(len(own), other["n"][rest]), np.maximum(len(own), other["n"][rest])
+        rest = rest[100 * small >= percent * large]
+        for start in range(0, len(rest), _CHUNK):
+            chunk = rest[start : start + _CHUNK]
+            chunk = chunk[other["c"][chunk] != left["c"][at]]
+            if not len(chunk):
+                continue
+            several = [other["sets"][k] for k in chunk]
+            flat = np.concatenate(several)
+            held = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+            ends = np.cumsum([len(x) for x in several])
+            common = np.add.reduceat(held, ends - other["n"][chunk], dtype=np.int64)
+            linked = chunk[100 * common >= percent * (len(own) + other["n"][chunk] - common)]
+            for k in linked:
+                a, b = left["c"][at], other["c"][k]
+                if a != b:
+                    alike.append((int(left["id"][at]), int(other["id"][k])))
+                    for side in (left, other):
+                        side["c"][side["c"] == b] = a
+    return alike
+
+
+def _comparer(percent: int):
+    def tile(rows):
+        ids, components, a, b, sets = zip(*rows)
+        sets = [np.sort(np.asarray(x, np.int64)) for x in sets]
+        n = np.array([len(x) for x in sets])
+        return {"id": ids, "c": np.array(components), "a": np.array(a), "b": np.array(b), "sets": sets, "n": n}
+
+    def found(place, sides):
+        if sides[0] and (sides[1] or place[2] == place[3]):
+            left = tile(sides[0])
+            links = compare(left, tile(sides[1]) if sides[1] else None, place[0], percent)
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["u", "v"])
+
+    def match(batches):
+        """Rows come sorted by place; at most two tiles are held."""
+        at, sides = None, ([], [])
+        for batch in slices(batches, _SLICE):
+            columns = [batch.column(k).to_pylist() for k in range(5)]
+            lists = [[x.values.to_numpy() for x in batch.column(k)] for k in (7, 8, 9)]
+            for *place, side, doc, c, a, b, held in zip(*columns, batch.column(5).to_pylist(), batch.column(6).to_pylist(), *lists):
+                if place != at:
+                    if at is not None and (out := found(at, sides)) is not None:
+                        yield out
+                    at, sides = place, ([], [])
+                sides[side].append((doc, c, a, b, held))
+        if at is not None and (out := found(at, sides)) is not None:
+            yield out
+
+    return match
+
+
+def _apart(shared: DataFrame, joined: DataFrame) -> tuple[DataFrame, str]:
+    """Members (doc_id, band i, component c) of the keys that hold several components, staged."""
+    spark = shared.sparkSession
+    placed = shared.join(joined, F.col("doc_id") == F.col("node"), "left").select(
+        "key", "i", "doc_id", F.coalesce("component", "doc_id").alias("c")
+    )
+    placed, path = stage(placed, "placed")
+    mixed = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low < high")
+    apart = stage(placed.join(mixed.select("key"), "key", "left_semi").select("doc_id", "i", "c").distinct(), "apart")
+    discard(spark, path)
+    return apart
+
+
+def _tiled(apart: DataFrame, named: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components that share a key, found in tasks by band."""
+    place = ["i", "x"]
+    rows = apart.join(named.select("doc_id", "a", "b").distinct(), "doc_id").withColumn("x", F.get("a", "i"))
+    large = rows.groupBy(*place).count().filter(F.col("count") > TILE).select(*place, F.ceil(F.col("count") / TILE).cast("int").alias("tiles"))
+    large, path = stage(large, "large")
+    few = large.count() <= BROADCAST_BANDS
+    split = rows.join(F.broadcast(large) if few else large, place, "left").withColumn("tiles", F.coalesce("tiles", F.lit(1)))
+    split = split.withColumn("tile", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
+    met = split.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("partner")).join(sets, "doc_id").select(
+        *place, F.least("tile", "partner").alias("low"), F.greatest("tile", "partner").alias("high"),
+        (F.col("tile") > F.col("partner")).cast("int").alias("side"), "doc_id", "c", "a", "b", "shingles",
+    )
+    pair = [*place, "low", "high"]
+    links, _ = stage(met.repartition(*pair).sortWithinPartitions(*pair).mapInArrow(_comparer(percent), _LINK), "links")
+    discard(apart.sparkSession, path)
+    return links
 
 
 def near_duplicates(
@@ -173,18 +262,11 @@ def near_duplicates(
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     signed, _ = stage(texts.mapInArrow(_signer(shingle_words, bands, rows), _SIGNATURE), "signatures")
     named = signed.filter("n_shingles > 0 and doc_id is not null")
-    same = ["h1", "h2", "n_shingles"]
-    firsts = named.groupBy(*same).agg(F.min("doc_id").alias("first_id"))
-    copies = named.join(firsts, same).filter("doc_id <> first_id").select(
-        F.col("doc_id").alias("u"), F.col("first_id").alias("v")
-    )
-    classes = named.join(
-        firsts.withColumnRenamed("first_id", "doc_id"), [*same, "doc_id"], "left_semi"
-    )
+    copies, classes, classes_path = _classes(named)
     members = (
-        classes.select("doc_id", "b", F.posexplode("a").alias("i", "x"))
+        named.join(classes.distinct(), "doc_id").select("doc_id", "b", F.posexplode("a").alias("i", "x"))
         .select("doc_id", "i", "x", F.posexplode("b").alias("j", "y"))
-        .select("doc_id", "i", "j", F.xxhash64("i", "j", "x", "y").alias("key"))
+        .select("doc_id", "i", F.xxhash64("i", "j", "x", "y").alias("key"))
     )
     hubs = members.groupBy("key").agg(
         F.min("doc_id").alias("first_id"),
@@ -192,26 +274,17 @@ def near_duplicates(
         F.min_by("doc_id", F.xxhash64("doc_id")).alias("some_id"),
     ).filter("first_id < last_id")
     shared, shared_path = stage(members.join(hubs, "key"), "members")
-    stars = shared.select("doc_id", F.explode(F.array("first_id", "last_id", "some_id")).alias("hub"))
-    tried, tried_path = stage(stars.filter("doc_id <> hub").select(*_pairs("doc_id", "hub")).distinct(), "pairs")
+    stars = shared.select("doc_id", F.explode(F.array("first_id", "last_id", "some_id")).alias("hub")).filter("doc_id <> hub")
+    tried = stars.select(F.least("doc_id", "hub").alias("u"), F.greatest("doc_id", "hub").alias("v")).distinct()
     sets, sets_path = _sets(texts, shared.select("doc_id").distinct(), shingle_words)
-    links = _confirmed(tried, sets, percent)
-    joined = components(copies.union(links), "u", "v")
-
-    apart = _apart(shared, joined)
-    degrees = links.select("u").union(links.select("v")).groupBy("u").count().toDF("doc_id", "links")
-    linked = apart.join(degrees, "doc_id", "left").groupBy("key").agg(
-        F.max_by(F.struct(F.col("doc_id").alias("hub"), F.col("c").alias("hub_c")), F.coalesce("links", F.lit(0))).alias("h")
-    ).select("key", "h.*")
-    second = apart.join(linked, "key").filter("c <> hub_c").select(*_pairs("doc_id", "hub")).distinct()
-    second, second_path = stage(second.join(tried, ["u", "v"], "left_anti"), "pairs")
-    joined = _joined(joined, _confirmed(second, sets, percent))
-
-    apart, apart_path = stage(_apart(shared, joined), "apart")
-    rest = _possible(apart, sets, named, percent).join(tried.union(second), ["u", "v"], "left_anti")
-    rest, rest_path = stage(rest, "pairs")
-    joined = _joined(joined, _confirmed(rest, sets, percent))
-    discard(spark, shared_path, sets_path, tried_path, second_path, apart_path, rest_path)
+    links, links_path = stage(copies.union(_confirmed(tried, sets, percent)), "links")
+    joined = components(links, "u", "v")
+
+    apart, apart_path = _apart(shared, joined)
+    more = _tiled(apart, named, sets, percent)
+    if not more.isEmpty():
+        joined = components(joined.toDF("u", "v").union(more), "u", "v")
+    discard(spark, classes_path, shared_path, sets_path, links_path, apart_path)
     component = F.coalesce("component", "doc_id").alias("component_id")
     out = signed.join(joined, signed.doc_id == joined.node, "left")
     return out.select(
@@ -220,58 +293,6 @@ def near_duplicates(
     )
 
 
-def _joined(joined: DataFrame, links: DataFrame) -> DataFrame:
-    """The components with some more links."""
-    if links.isEmpty():
-        return joined
-    return components(joined.toDF("u", "v").union(links), "u", "v")
-
-
-def _apart(shared: DataFrame, joined: DataFrame) -> DataFrame:
-    """Members (with component c) of the keys that hold several components; top is the largest one."""
-    placed = shared.join(joined, F.col("doc_id") == F.col("node"), "left").select(
-        "key", "i", "j", "doc_id", F.coalesce("component", "doc_id").alias("c")
-    )
-    sizes = placed.groupBy("key", "c").agg(F.count("*").alias("n"))
-    keys = sizes.groupBy("key").agg(F.max_by("c", F.col("n")).alias("top"), F.count("*").alias("parts"))
-    return placed.join(keys.filter("parts > 1").drop("parts"), "key")
-
-
-def most_different(percent: int) -> int:
-    """The most bits in which sketches of sets that similar may differ."""
-    alike = (1 + percent / 100) / 2
-    return int(SKETCH * (1 - alike + MARGIN * (alike * (1 - alike) / SKETCH) ** 0.5))
-
-
-def _possible(apart: DataFrame, sets: DataFrame, named: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components whose sizes and sketches allow the similarity, each from one table only.
-
-    One side of a pair lies outside the key's largest component, which is never paired with itself.
-    """
-    ids = apart.select("doc_id").distinct()
-    sketches = sets.join(ids, "doc_id", "left_semi").mapInArrow(_sketch, _SKETCH)
-    bands = named.join(ids, "doc_id", "left_semi").select("doc_id", "n_shingles", "a", "b").distinct()
-    sketched = bands.join(sketches.distinct(), "doc_id")
-    rows = apart.join(sketched, "doc_id")
-    left = rows.filter("c <> top").select("key", "i", "j", *[F.col(x).alias(f"{x}1") for x in ("doc_id", "c", "n_shingles", "a", "b", "bits")])
-    right = rows.select("key", "top", *[F.col(x).alias(f"{x}2") for x in ("doc_id", "c", "n_shingles", "a", "b", "bits")])
-
-    def first_common(x, y):
-        return F.array_position(F.zip_with(x, y, lambda p, q: p == q), True) - 1
-
-    small, large = F.least("n_shingles1", "n_shingles2"), F.greatest("n_shingles1", "n_shingles2")
-    different = F.aggregate(
-        F.zip_with("bits1", "bits2", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda total, n: total + n
-    )
-    once = (F.col("c2") == F.col("top")) | (F.col("doc_id1") < F.col("doc_id2"))
-    pairs = left.join(right, "key").filter(
-        (F.col("c1") != F.col("c2")) & once & (small * 100 >= large * percent)
-        & (different <= most_different(percent))
-        & (first_common("a1", "a2") == F.col("i")) & (first_common("b1", "b2") == F.col("j"))
-    )
-    return pairs.select(*_pairs("doc_id1", "doc_id2")).distinct()
-
-
 def without_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """The documents, with one of each group of near copies: the one with the smallest doc_id.
 

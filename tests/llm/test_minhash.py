@@ -68,12 +68,60 @@ def test_messy_rows(messy, empty):
     assert minhash.near_duplicates(empty).collect() == []
 
 
-@pytest.mark.parametrize("seed", [6411, 7331, 12167])
-def test_sketches_reject_no_true_pair_at_the_bound(spark, seed):
-    """Sets of similarity 0.8 whose sketches lie more than 3.5 standard errors off, as one pair in 4,000 does."""
-    values = np.random.default_rng(seed).integers(0, 2**63, 30, dtype=np.uint64).view(np.int64).tolist()
-    rows = [(1, values[:27]), (2, values[3:])]
-    sets = spark.createDataFrame([(i, sorted(v)) for i, v in rows], "doc_id bigint, shingles array<bigint>")
-    named = spark.createDataFrame([(i, 27, [5], [6]) for i, _ in rows], "doc_id bigint, n_shingles bigint, a array<bigint>, b array<bigint>")
-    apart = spark.createDataFrame([(9, 0, 0, i, i, 1) for i, _ in rows], "key bigint, i int, j int, doc_id bigint, c bigint, top bigint")
-    assert [tuple(r) for r in minhash._possible(apart, sets, named, 80).collect()] == [(1, 2)]
+def _varied(seed, groups, size):
+    """Groups of texts that differ from their base by up to a fifth: links near the bound, groups near each other."""
+    draw = random.Random(seed)
+    texts = {}
+    for g in range(groups):
+        base = [f"g{g % 2}w{k}" for k in range(60)] + [f"g{g}v{k}" for k in range(20)]
+        for _ in range(size):
+            words = list(base)
+            for _ in range(draw.randint(0, 8)):
+                words[draw.randrange(len(words))] = f"x{draw.random()}"
+            texts[len(texts)] = " ".join(words)
+    return texts
+
+
+@pytest.mark.parametrize("tile,ids,bands", [(512, 10**6, 10**6), (5, 0, 0)])
+def test_tiles_meet_whole_or_in_pairs(docs_of, monkeypatch, tile, ids, bands):
+    """Broadcast and shuffled look-ups, bands within one tile and over many."""
+    monkeypatch.setattr(minhash, "TILE", tile)
+    monkeypatch.setattr(minhash, "BROADCAST_IDS", ids)
+    monkeypatch.setattr(minhash, "BROADCAST_BANDS", bands)
+    texts = _varied(3, 6, 25)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs_of(texts.items()), 2).collect()}
+    assert got == brute(texts, 2)
+
+
+def _tile(texts, ids, c):
+    sets = [np.sort(minhash.shingle_set(texts[i], 2, minhash._WordHashes()).view(np.int64)) for i in ids]
+    return {
+        "id": ids, "c": np.array(c), "a": np.zeros((len(ids), 9), int), "b": np.zeros((len(ids), 9), int),
+        "sets": sets, "n": np.array([len(x) for x in sets]),
+    }
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_compare_finds_all_components_with_a_forest(seed):
+    texts = _varied(seed, 3, 20)
+    ids, expected = list(texts), brute(texts, 2)
+    for left, right in ((ids, None), (ids[:25], ids[25:])):
+        sides = [_tile(texts, x, x) if x else None for x in (left, right)]
+        inner = [minhash.compare(_tile(texts, x, x), None, 0, 80) for x in (left, right) if x]
+        links = minhash.compare(*sides, 0, 80) + sum(inner if right else [], [])
+        up = {i: i for i in ids}
+        for u, v in links * 60:  # as many rounds as the longest chain
+            up[u] = up[v] = min(up[u], up[v])
+        assert up == expected
+        assert len(links) < 2 * len(ids)
+        assert all(expected[u] == expected[v] for u, v in links)
+
+
+def test_pairs_count_in_their_first_band():
+    texts = {1: "a b c d e f", 2: "a b c d e f g"}
+    left = _tile(texts, [1, 2], [1, 2])
+    assert minhash.compare(left, None, 0, 80) == [(1, 2)]
+    assert minhash.compare(_tile(texts, [1, 2], [1, 2]), None, 1, 80) == []  # equal in band 0 as well
+    apart = _tile(texts, [1, 2], [1, 2])
+    apart["b"][1] = 7  # no table in common
+    assert minhash.compare(apart, None, 0, 80) == []
