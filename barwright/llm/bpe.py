@@ -28,6 +28,8 @@ LEXICON_WORDS = 100_000
 #: Words that a task counts, and whose ids it remembers, at once; then it starts anew.
 COUNTED_WORDS, CACHED_WORDS = 150_000, 300_000
 _SLICE = 256
+#: Words merged side by side, and the bytes of the longest of them.
+_MERGED, _SHORT_WORD = 4096, 48
 # what separates and what makes words, as the tokenizer file has it
 _SPACE = r"\t\n\x0b\x0c\r \x85\xa0"
 _WIDE_SPACE = _SPACE + r"  -     　"
@@ -62,6 +64,18 @@ class Vocabulary:
         self.made = [ids[x + y] for x, y in pairs]
         names = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.marks = re.compile("(" + "|".join(names) + ")") if names else None
+        # the same merges as sorted arrays, for many words at once
+        keys = np.fromiter(self.ranks, np.int64, len(self.ranks))
+        order = np.argsort(keys)
+        self.pairs = keys[order], np.fromiter(self.ranks.values(), np.int64, len(keys))[order]
+        self.results = np.array(self.made, np.int64)
+
+    @classmethod
+    def of(cls, parts: dict) -> "Vocabulary":
+        """The vocabulary with these attributes: what ``vars`` gives is plain data, and travels without this class."""
+        made = cls.__new__(cls)
+        vars(made).update(parts)
+        return made
 
     def merge(self, word: str) -> list:
         """The ids of one word: the pair of lowest rank is merged, the leftmost first."""
@@ -83,6 +97,70 @@ class Vocabulary:
                 ranks[at] = rank(made << 32 | parts[at + 1], never)
         return parts
 
+    def merge_all(self, words: list) -> list:
+        """``merge`` of many words: those of a like length side by side, a merge each in every step."""
+        out = [None] * len(words)
+        coded = [w.encode() for w in words]
+        order = sorted(range(len(words)), key=lambda k: len(coded[k]))
+        for at in range(0, len(order), _MERGED):
+            rows = [k for k in order[at : at + _MERGED] if 1 < len(coded[k]) <= _SHORT_WORD]
+            for k in order[at : at + _MERGED]:
+                if not 1 < len(coded[k]) <= _SHORT_WORD:
+                    out[k] = self.merge(words[k])
+            if rows:
+                for k, ids in zip(rows, self._merged([coded[k] for k in rows])):
+                    out[k] = ids
+        return out
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys, ranks = self.pairs
+        wanted = left << 32 | right
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, ranks[at], len(self.made))
+
+    def _merged(self, coded: list) -> list:
+        if not len(self.made):
+            return [[*(self.letters[b] for b in c[:-1]), self.last_letters[c[-1]]] for c in coded]
+        never, n = len(self.made), len(coded)
+        sizes = np.array([len(c) for c in coded])
+        wide = int(sizes.max())
+        text = np.frombuffer(b"".join(c.ljust(wide, b"\0") for c in coded), np.uint8).reshape(n, wide)
+        ids = np.array(self.letters, np.int64)[text]
+        ids[np.arange(n), sizes - 1] = np.array(self.last_letters, np.int64)[text[np.arange(n), sizes - 1]]
+        ranks = self._ranks(ids[:, :-1], ids[:, 1:])
+        ranks[np.arange(wide - 1) >= sizes[:, None] - 1] = never
+        out, names = [None] * n, np.arange(n)
+        while len(names):
+            best = ranks.argmin(axis=1)
+            rank = ranks[np.arange(len(names)), best]
+            done = rank == never
+            if done.any():
+                for k, row, size in zip(names[done].tolist(), ids[done].tolist(), sizes[done].tolist()):
+                    out[k] = row[:size]
+                going = ~done
+                names, ids, ranks, sizes, best, rank = (x[going] for x in (names, ids, ranks, sizes, best, rank))
+                if not len(names):
+                    break
+            rows = np.arange(len(names))
+            later = np.arange(ids.shape[1] - 1)
+            ids[rows, best] = self.results[rank]
+            ids = np.take_along_axis(ids, later + (later > best[:, None]), 1)
+            ranks = np.take_along_axis(ranks, later[:-1] + (later[:-1] >= best[:, None]), 1) if ids.shape[1] > 1 else ranks[:, :0]
+            sizes = sizes - 1
+            if not ranks.shape[1]:
+                for k, row in zip(names.tolist(), ids.tolist()):
+                    out[k] = row[:1]
+                break
+            before = np.flatnonzero(best > 0)
+            at = best[before]
+            ranks[before, at - 1] = self._ranks(ids[before, at - 1], ids[before, at])
+            behind = np.flatnonzero(best < sizes - 1)
+            at = best[behind]
+            ranks[behind, at] = self._ranks(ids[behind, at], ids[behind, at + 1])
+            last = np.flatnonzero((best >= sizes - 1) & (best < ranks.shape[1]))
+            ranks[last, best[last]] = never
+        return out
+
     def words(self, text: str | None) -> list:
         """The words of a text; a special token stands for itself."""
         if not text:
@@ -212,11 +290,12 @@ class Encoder:
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         new = [w for w in set().union(*texts) if w not in self.known]
-        for word, number in zip(new, self.lexicon.numbers(new).tolist()):
-            if word in self.vocabulary.special:
-                ids = [self.vocabulary.special[word]]
-            else:
-                ids = self.lexicon.ids(number) if number >= 0 else self.vocabulary.merge(word)
+        numbers = self.lexicon.numbers(new).tolist()
+        special = self.vocabulary.special
+        unseen = [w for w, number in zip(new, numbers) if number < 0 and w not in special]
+        merged = dict(zip(unseen, self.vocabulary.merge_all(unseen)))
+        for word, number in zip(new, numbers):
+            ids = [special[word]] if word in special else self.lexicon.ids(number) if number >= 0 else merged[word]
             self.known[word] = (" ".join(map(str, ids)), self.vocabulary.decode(ids))
 
     def encode(self, words: list) -> tuple[str, str]:
@@ -265,12 +344,16 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, most: int) -> list:
 def _encoder(spark: SparkSession, docs: DataFrame, path: str, lexicon_words: int):
     vocabulary = Vocabulary(path)
     frequent = frequent_words(docs, vocabulary, lexicon_words)
-    content = compile_lexicon({w: vocabulary.merge(w) for w in frequent})
-    shared = spark.sparkContext.broadcast((vocabulary, content))
+    content = compile_lexicon(dict(zip(frequent, vocabulary.merge_all(frequent))))
+    # plain data: executors need not have this package
+    shared = spark.sparkContext.broadcast({"vocabulary": vars(vocabulary), "lexicon": content})
 
     def encoder():
-        own, lexicon = shared.value
-        return Encoder(own, Lexicon(lexicon))
+        """This worker's encoder: what a broadcast holds stays from task to task, so words are remembered."""
+        own = shared.value
+        if "encoder" not in own:
+            own["encoder"] = Encoder(Vocabulary.of(own["vocabulary"]), Lexicon(own["lexicon"]))
+        return own["encoder"]
 
     return encoder
 

@@ -69,3 +69,11 @@ def test_messy_rows(library, messy, empty):
     none = hashlib.sha256(b"").hexdigest()
     assert {(r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in rows if r["doc_id"] in (1, 2)} == {(0, none, none)}
     assert bpe.digests(empty, PATH).collect() == []
+
+
+def test_words_merged_side_by_side(document_texts):
+    vocabulary = bpe.Vocabulary(PATH)
+    words = sorted({w for t in document_texts.values() for w in vocabulary.words(t)}) + ["a", "é", "x" * 60, "日本語" * 9]
+    assert vocabulary.merge_all(words) == [vocabulary.merge(w) for w in words]
+    assert vocabulary.merge_all([]) == []
+    assert bpe.Vocabulary.of(vars(vocabulary)).merge_all(words[:50]) == vocabulary.merge_all(words[:50])
