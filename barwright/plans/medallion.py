@@ -23,7 +23,7 @@ from barwright.operators.silver import (
 from barwright.functions.scalars import normalize_ticker
 from barwright.schemas import SILVER_SCHEMA, conform
 from barwright.session import remove, staged
-from barwright.sources import layers
+from barwright.sources import feeds, layers
 
 
 class Load(NamedTuple):
@@ -59,6 +59,31 @@ def load_bronze(
     return Load(stored, (seen.get["n"] if stored else raw.count()) - stored)
 
 
+def load_feed_files(
+    spark: SparkSession, path, columns, root: str, source: str = fixed.DEFAULT_SOURCE, ticker=None, sep: str = ",", **options
+) -> Load:
+    """Landed delimited files into bronze; lines that don't fit their header are kept (``layers.read_unread``).
+
+    ``ticker`` is as in ``feeds.normalize_feed``, the other options as in ``load_bronze``.
+    """
+    feed = feeds.read_feed_files(spark, path, columns, sep).withColumn("_file", F.input_file_name())
+    load = load_bronze(feeds.normalize_feed(feeds.intact(feed), ticker), root, source, **options)
+    bad = feeds.rejected(feed).select(
+        F.col("_file").alias("file"), F.col(feeds.CORRUPT).alias("line"), F.lit("another number of fields than the header").alias("reason")
+    )
+    layers.write_unread(bad, spark.read.text(path).inputFiles(), root, source)
+    return load
+
+
+def load_json_files(spark: SparkSession, path, root: str, source: str = fixed.DEFAULT_SOURCE, **options) -> Load:
+    """Landed JSON responses into bronze; those without a price history are kept (``layers.read_unread``)."""
+    responses = feeds.read_json_responses(spark, path)
+    load = load_bronze(feeds.flatten_history(responses), root, source, **options)
+    bad = feeds.rejected_responses(responses.withColumn("file", F.input_file_name()))
+    layers.write_unread(bad.withColumnRenamed("value", "line"), responses.inputFiles(), root, source)
+    return load
+
+
 def build_silver(
     spark: SparkSession,
     root: str,

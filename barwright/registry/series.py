@@ -11,6 +11,7 @@ from barwright.registry.base import (
     raw_brand,
 )
 from barwright.session import new_folder, staged
+from barwright.plans import medallion
 from barwright.sources import bars, feeds, layers
 
 _ALL_BARS = f"SELECT ticker, trade_date, {RAW_VALUES} FROM bars"
@@ -56,9 +57,10 @@ FEED_HEADER = ["Symbol", "Date", "Open", "High", "Low", "Close", "Adj Close", "V
 
 
 def _landed_feed(spark, folder):
-    """The raw bars as delimited files of three layouts.
+    """The raw bars as delimited files of four layouts.
 
-    'Brand#1x' has no adj close and its columns in another order, 'Brand#2x' volumes written as floats.
+    'Brand#1x' has no adj close and its columns in another order, 'Brand#2x' volumes written as floats,
+    'Brand#3x' a file per brand with a blank first line, and a line too short at its end.
     """
     path = new_folder(spark, "feed")
     columns = [
@@ -74,10 +76,15 @@ def _landed_feed(spark, folder):
     }
     for start, header in layouts.items():
         brand = F.substring("Symbol", 1, 7)
-        rows = landed.where(brand == start if start else ~brand.isin("Brand#1", "Brand#2"))
+        rows = landed.where(brand == start if start else ~brand.isin("Brand#1", "Brand#2", "Brand#3"))
         if start == "Brand#2":
             rows = rows.withColumn("Volume", F.format_string("%.1f", F.col("Volume").cast("double")))
         rows.select(*header).write.mode("append").option("header", True).csv(path)
+    own = landed.where(F.substring("Symbol", 1, 7) == "Brand#3")
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in FEED_HEADER])
+    text = F.concat_ws("\n", F.lit(" "), F.lit(",".join(FEED_HEADER)), F.collect_list(line), F.lit("torn,line"))
+    files = own.groupBy(F.col("Symbol").alias("own")).agg(text.alias("value"))
+    files.repartition("own").write.mode("append").partitionBy("own").text(f"{path}/one_each")
     return path
 
 
@@ -89,10 +96,25 @@ def _landed_feed(spark, folder):
     ),
 )
 def _(spark, folder):
-    feed = feeds.read_feed_files(spark, _landed_feed(spark, folder), FEED_HEADER)
+    path = _landed_feed(spark, folder)
+    feed = feeds.read_feed_files(spark, [f"{path}/*.csv", f"{path}/one_each/*/*.txt"], FEED_HEADER)
     return feeds.normalize_feed(feeds.intact(feed), F.col("Symbol"))
 
 
+@query(
+    "feed_rejects",
+    oracle("SELECT 'torn,line' AS line, count(DISTINCT ticker) AS n FROM raw WHERE ticker LIKE 'Brand#3%'"),
+)
+def _(spark, folder):
+    """The lines that a load of landed files could not read, after it was repeated."""
+    path, root = _landed_feed(spark, folder), new_folder(spark, "lake")
+    for _ in range(2):
+        medallion.load_feed_files(
+            spark, [f"{path}/*.csv", f"{path}/one_each/*/*.txt"], FEED_HEADER, root, "landed", F.col("Symbol"), start="1995-01-01", end="1995-02-01"
+        )
+    return layers.read_unread(spark, root, "landed").groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _landed_histories(spark, folder):
     """The raw bars as JSON responses, one per ticker and month (so at most 62 entries each)."""
     entry = F.struct(
@@ -131,6 +153,30 @@ def _(spark, folder):
     return feeds.flatten_history(feeds.read_json_responses(spark, _landed_histories(spark, folder)))
 
 
+@query(
+    "json_rejects",
+    oracle(
+        """
+SELECT kind AS reason, CAST(count(DISTINCT ticker) AS BIGINT) AS n
+FROM raw, (VALUES ('no JSON'), ('no result'), ('no price history')) AS k(kind) GROUP BY kind"""
+    ),
+)
+def _(spark, folder):
+    """Three bad responses per ticker beside the sound ones of one ticker, kept with their reasons."""
+    path, root = new_folder(spark, "history"), new_folder(spark, "lake")
+    raw = raw_brand(spark, folder)
+    tickers = raw.select("ticker").distinct()
+    empty = F.to_json(F.struct(F.array(F.struct(F.col("ticker").alias("symbol"))).alias("results")))
+    bad = F.array(F.concat(F.lit("<html>"), "ticker"), F.lit('{"results": []}'), empty)
+    entry = F.struct(F.col("trade_date").cast("string").alias("date"), "open", "high", "low", "close", "volume")
+    sound = raw.where("ticker = 'Brand#11'").select(
+        F.to_json(F.struct(F.array(F.struct(F.col("ticker").alias("symbol"), F.array(entry).alias("historicalDataPrice"))).alias("results"))).alias("value")
+    )
+    tickers.select(F.explode(bad).alias("value")).union(sound).write.text(path)
+    medallion.load_json_files(spark, path, root, "landed", start="1995-01-01", end="1995-02-01")
+    return layers.read_unread(spark, root, "landed").groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "json_quote_first",
     oracle(

@@ -54,6 +54,13 @@ REJECTED_SCHEMA = T.StructType(
     + [T.StructField("reject_reasons", T.ArrayType(T.StringType()))]
 )
 
+UNREAD_SCHEMA = _struct(
+    ("file", T.StringType(), True),
+    ("line", T.StringType(), True),
+    ("reason", T.StringType(), True),
+    ("load", T.StringType(), True),
+)
+
 DAILY_METRICS_SCHEMA = T.StructType(
     SILVER_SCHEMA.fields
     + _struct(

@@ -29,6 +29,7 @@ from barwright.schemas import (
     GOLD_SCHEMAS,
     REJECTED_SCHEMA,
     SILVER_SCHEMA,
+    UNREAD_SCHEMA,
     conform,
     empty,
 )
@@ -233,6 +234,36 @@ def compact_bronze(spark: SparkSession, root: str, source: str = fixed.DEFAULT_S
     return n_rows
 
 
+# --- input that could not be read -------------------------------------------------------------
+
+
+def unread_path(root: str, source: str) -> str:
+    return f"{root}/unread/{source}"
+
+
+def write_unread(rows: DataFrame, files, root: str, source: str) -> int:
+    """Keep the lines (file, line, reason) of a read of some files that gave no bar; returns how many.
+
+    They take the place of those that earlier reads kept of the same files.
+    """
+    spark, path = rows.sparkSession, unread_path(root, source)
+    folder, seen = versions.pending(path), Observation()
+    read = spark.createDataFrame([(f,) for f in files], "file string").select("file", F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("reason"))
+    try:
+        rows.select("file", "line", "reason").observe(seen, F.count(F.lit(1)).alias("n")).unionByName(read).write.parquet(folder)
+        versions.publish(spark, path, folder, _LOAD)
+        return seen.get["n"]
+    finally:
+        remove(spark, folder)
+
+
+def read_unread(spark: SparkSession, root: str, source: str) -> DataFrame:
+    """The lines of landed files that gave no bar: file, line, reason."""
+    stored = _read(spark, unread_path(root, source), UNREAD_SCHEMA)
+    last = stored.groupBy("file").agg(F.max(_LOAD).alias(_LOAD))
+    return stored.where(F.col("line").isNotNull()).join(last, ["file", _LOAD], "left_semi").select("file", "line", "reason")
+
+
 # --- silver -----------------------------------------------------------------------------------
 
 _RUN, _BARS, _REJECTED, _ALL, _PRESENT = "version", "bars", "rejected", "all", "present"

@@ -1,3 +1,4 @@
+import gzip
 import json
 from datetime import date
 
@@ -5,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from barwright import schemas
-from barwright.sources import feeds
+from barwright.plans import medallion
+from barwright.sources import feeds, layers
 
 HEADER = ["Date", "Open", "High", "Low", "Close", "Adj Close", "Volume"]
 
@@ -41,6 +43,56 @@ def test_every_file_has_its_own_header(spark, tmp_path):
     ]
 
 
+def test_blank_first_lines_marks_and_quoted_names(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("\n  \nDate,Close,Open,High,Low,Volume\n\n2024-01-02,1.5,1,2,0.5,7\n")
+    (tmp_path / "b.csv").write_text('\ufeffDate;"Close";Open;High;Low;Volume\n2024-01-03;1.5;1;2;0.5;7\n'.replace(";", ","))
+    (tmp_path / "c.csv").write_text("\n\n")
+    (tmp_path / "d.csv").write_text("")
+    feed = feeds.read_feed_files(spark, str(tmp_path), HEADER)
+    assert feeds.rejected(feed).count() == 0
+    bars = feeds.normalize_feed(feeds.intact(feed), "A").collect()
+    assert sorted(r.trade_date for r in bars) == [date(2024, 1, 2), date(2024, 1, 3)]
+    assert all(r.adj_close == 1.5 and r.volume == 7 for r in bars)
+
+
+def test_packed_files_and_repeated_names(spark, tmp_path):
+    with gzip.open(tmp_path / "a.csv.gz", "wt") as file:
+        file.write("Date,Close,Close,Open\n2024-01-02,1,2,3\n")
+    feed = feeds.read_feed_files(spark, str(tmp_path), HEADER)
+    assert tuple(feed.select("Close", "Open", "Volume").first()) == ("1", "3", None)
+
+
+def test_a_header_must_end_early(monkeypatch):
+    monkeypatch.setattr(feeds, "HEADER_BYTES", 10)
+    assert feeds.header_of("a,b\n1,2", ",") == ("a", "b")
+    with pytest.raises(ValueError, match="no header"):
+        feeds.header_of("a" * 10, ",")
+
+
+def test_files_of_one_header_are_one_scan_without_a_sort(spark, tmp_path):
+    for k, header in enumerate(["Date,Close", "Close,Date", "Date,Close"]):
+        (tmp_path / f"{k}.csv").write_text(f"{header}\n1,1\n")
+    text = feeds.intact(feeds.read_feed_files(spark, str(tmp_path), HEADER))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan csv") == 2
+    assert "Sort" not in text and "Exchange" not in text and "FileScan text" not in text
+
+
+def test_lines_that_gave_no_bar_are_kept_by_the_job(spark, tmp_path):
+    landed, root = tmp_path / "landed", str(tmp_path / "lake")
+    landed.mkdir()
+    (landed / "a.csv").write_text("Date,Open,High,Low,Close,Volume\n2024-01-02,1,2,0.5,nan,7\n2024-01-03,1,2,0.5,1.5,7\ntorn\n")
+    for _ in range(2):
+        assert medallion.load_feed_files(spark, str(landed), HEADER, root, ticker="A") == (2, 0)
+    assert [(r.line, r.reason) for r in layers.read_unread(spark, root, "yahoo_finance").collect()] == [
+        ("torn", "another number of fields than the header")
+    ]
+    assert medallion.build_silver(spark, root) == 1  # the price that is no number ends no load
+    assert [r.reject_reasons for r in layers.read_rejected(spark, root).collect()] == [["no number close_price"]]
+    (landed / "a.csv").write_text("Date,Open,High,Low,Close,Volume\n2024-01-02,1,2,0.5,1,7\n")
+    medallion.load_feed_files(spark, str(landed), HEADER, root, ticker="A")
+    assert layers.read_unread(spark, root, "yahoo_finance").isEmpty()
+
+
 def test_parquet_feed(spark, tmp_path):
     columns = ["Date", "Open", "High", "Low", "Close", "Volume"]
     row = ("2024-01-02", 1.0, 2.0, 0.5, 1.5, 12_000_000.0)
@@ -99,6 +151,11 @@ def test_json_history(responses):
     ]
 
 
+def test_rejected_responses(responses):
+    found = {(r.reason, r.value[:8]) for r in feeds.rejected_responses(responses).collect()}
+    assert found == {("no JSON", "<html>"), ("no result", '{"result'), ("no result", '{"error"'), ("no price history", '{"result')}
+
+
 def test_first_quote(responses):
     assert [r.symbol for r in feeds.first_quote(responses, "symbol string").collect()] == ["PETR4", "ITUB4", "VALE3"]
 
