@@ -5,7 +5,8 @@ The operators that use them take frames with one row per (ticker, trade_date) --
 deduplicated before any window runs -- and trade_date is a calendar date. A ticker's partition is
 therefore bounded by the number of days in the data (some 2,500 rows for ten years of trading),
 however large its share of the raw input was. Raw rows, where one ticker or one copied bar may
-hold a third of the input, only ever meet partial aggregation.
+hold a third of the input, only ever meet partial aggregation. ``functions.blocks`` cuts series that
+are too long for one task.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,29 +16,32 @@ from barwright import fixed
 from barwright.functions.scalars import col_of
 
 
-def by_date():
-    return Window.partitionBy("ticker").orderBy("trade_date")
+SERIES = ("ticker",)
 
 
-def trailing(rows: int = fixed.ROLLING_ROWS):
-    return by_date().rowsBetween(1 - rows, Window.currentRow)
+def by_date(keys=SERIES):
+    return Window.partitionBy(*keys).orderBy("trade_date")
 
 
-def to_date():
-    return by_date().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def trailing(rows: int = fixed.ROLLING_ROWS, keys=SERIES):
+    return by_date(keys).rowsBetween(1 - rows, Window.currentRow)
 
 
-def rolling_mean(c, min_values: int = 1, rows: int = fixed.ROLLING_ROWS) -> Column:
-    return _with_at_least(min_values, c, F.avg(col_of(c)), rows)
+def to_date(keys=SERIES):
+    return by_date(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def rolling_std(c, min_values: int = 2, rows: int = fixed.ROLLING_ROWS) -> Column:
+def rolling_mean(c, min_values: int = 1, rows: int = fixed.ROLLING_ROWS, keys=SERIES) -> Column:
+    return _with_at_least(min_values, c, F.avg(col_of(c)), rows, keys)
+
+
+def rolling_std(c, min_values: int = 2, rows: int = fixed.ROLLING_ROWS, keys=SERIES) -> Column:
     # stddev_samp is already null for a single value
-    return _with_at_least(max(min_values, 2), c, F.stddev_samp(col_of(c)), rows, given=2)
+    return _with_at_least(max(min_values, 2), c, F.stddev_samp(col_of(c)), rows, keys, given=2)
 
 
-def _with_at_least(min_values, c, aggregate, rows, given=1):
-    window = trailing(rows)
+def _with_at_least(min_values, c, aggregate, rows, keys, given=1):
+    window = trailing(rows, keys)
     if min_values <= given:
         return aggregate.over(window)
     return F.when(F.count(col_of(c)).over(window) >= min_values, aggregate.over(window))

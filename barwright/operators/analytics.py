@@ -4,8 +4,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barwright import fixed
+from barwright.functions import blocks
 from barwright.functions.scalars import all_present, member_of
-from barwright.functions.series import compound_over_dates, rolling_mean, rolling_std
+from barwright.functions.series import SERIES, compound_over_dates, rolling_mean, rolling_std
 
 
 def ticker_stats(daily: DataFrame) -> DataFrame:
@@ -37,11 +38,22 @@ def bollinger_bands(daily: DataFrame, ticker: str | None = None) -> DataFrame:
     For one ticker the filter runs before the window, so it reaches the scan.
     """
     df = daily if ticker is None else daily.where(F.col("ticker") == ticker)
+    return _bands(df.select("ticker", "trade_date", "close_price"))
+
+
+def bollinger_bands_by_block(daily: DataFrame, block_days: int = 366) -> DataFrame:
+    """``bollinger_bands`` of all tickers, with windows over one block of a ticker's days each."""
+    closes = daily.select("ticker", "trade_date", "close_price")
+    overlapped = blocks.with_overlap(closes, block_days, ["close_price"])
+    return _bands(overlapped, blocks.KEYS).where(~F.col(blocks.AHEAD)).drop(blocks.AHEAD, blocks.BLOCK)
+
+
+def _bands(closes: DataFrame, keys=SERIES) -> DataFrame:
     width = fixed.BOLLINGER_WIDTH * F.col("std_20")
     return (
-        df.select("ticker", "trade_date", "close_price")
-        .withColumn("sma_20", rolling_mean("close_price"))
-        .withColumn("std_20", rolling_std("close_price"))
+        closes
+        .withColumn("sma_20", rolling_mean("close_price", keys=keys))
+        .withColumn("std_20", rolling_std("close_price", keys=keys))
         .withColumn("upper_band", F.col("sma_20") + width)
         .withColumn("lower_band", F.col("sma_20") - width)
     )
@@ -52,11 +64,21 @@ def volume_zscores(daily: DataFrame) -> DataFrame:
 
     Null while the frame has fewer than five values, and null where the volume is constant.
     """
+    return _zscores(daily.select("ticker", "trade_date", "volume"))
+
+
+def volume_zscores_by_block(daily: DataFrame, block_days: int = 366) -> DataFrame:
+    """``volume_zscores`` with windows over one block of a ticker's days each."""
+    overlapped = blocks.with_overlap(daily.select("ticker", "trade_date", "volume"), block_days, ["volume"])
+    return _zscores(overlapped, blocks.KEYS).where(~F.col(blocks.AHEAD)).drop(blocks.AHEAD, blocks.BLOCK)
+
+
+def _zscores(volumes: DataFrame, keys=SERIES) -> DataFrame:
     enough = fixed.ZSCORE_MIN_VALUES
     return (
-        daily.select("ticker", "trade_date", "volume")
-        .withColumn("vol_mean", rolling_mean("volume", enough))
-        .withColumn("vol_std", rolling_std("volume", enough))
+        volumes
+        .withColumn("vol_mean", rolling_mean("volume", enough, keys=keys))
+        .withColumn("vol_std", rolling_std("volume", enough, keys=keys))
         .withColumn("vol_zscore", F.try_divide(F.col("volume") - F.col("vol_mean"), "vol_std"))
     )
 

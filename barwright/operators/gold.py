@@ -2,12 +2,13 @@
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright import fixed
+from barwright.functions import blocks
 from barwright.functions.scalars import ratio_minus_one
-from barwright.functions.series import compounded, rolling_mean, rolling_std, to_date
+from barwright.functions.series import compounded, growth, rolling_mean, rolling_std, to_date
 
 
 def add_cum_return(df: DataFrame) -> DataFrame:
@@ -30,6 +31,79 @@ def daily_metrics(silver: DataFrame) -> DataFrame:
     )
 
 
+def _windows(df: DataFrame, growth_so_far) -> DataFrame:
+    """The columns of daily_metrics by block; copied rows ahead of a block are used and dropped."""
+    yearly = math.sqrt(fixed.TRADING_DAYS_PER_YEAR)
+    own = F.when(F.col(blocks.AHEAD), F.lit(1.0)).otherwise(growth("daily_return"))
+    return (
+        df.withColumn("avg_volume_20d", rolling_mean("volume", keys=blocks.KEYS))
+        .withColumn("volatility_20d", rolling_std("daily_return", keys=blocks.KEYS) * yearly)
+        .withColumn("year", F.year("trade_date"))
+        .withColumn("month", F.month("trade_date"))
+        .withColumn("cum_return", growth_so_far * F.product(own).over(to_date(blocks.KEYS)) - 1)
+        .where(~F.col(blocks.AHEAD))
+    )
+
+
+def daily_metrics_by_block(silver: DataFrame, block_days: int = 366) -> DataFrame:
+    """``daily_metrics`` for series too long for one task: windows hold one block of a ticker's days.
+
+    The rolling columns equal those of ``daily_metrics`` bit for bit, the compound return up to rounding.
+    Reads ``silver`` three times, twice for few columns, so it should be a stored table.
+    """
+    block = blocks.block_of(block_days)
+    overlapped = blocks.with_overlap(silver, block_days, ["volume", "daily_return"])
+    carry = blocks.block_growth(silver, block, "daily_return").select(*blocks.KEYS, "carry")
+    columns = [*daily_metrics_columns(silver)]
+    return _windows(overlapped.join(carry, list(blocks.KEYS)), F.col("carry")).select(*columns)
+
+
+def daily_metrics_columns(silver: DataFrame) -> list[str]:
+    return [*silver.columns, "avg_volume_20d", "volatility_20d", "year", "month", "cum_return"]
+
+
+def month_states(silver: DataFrame, before: DataFrame | None = None) -> DataFrame:
+    """Per ticker and month with rows, what later months need of all rows up to its end.
+
+    Columns ticker, year, month, tail (the last 19 rows' date, volume and return) and growth (the product of
+    1 + return). ``before`` has the states (ticker, tail, growth) that the rows of ``silver`` come after.
+    """
+    month = (F.year("trade_date") * 12 + F.month("trade_date") - 1)
+    tails = blocks.last_rows(silver, month, ["volume", "daily_return"])
+    grown = blocks.block_growth(silver, month, "daily_return").select(*blocks.KEYS, (F.col("carry") * F.col("own")).alias("growth"))
+    states = tails.join(grown, list(blocks.KEYS))
+    if before is not None:
+        first = before.select("ticker", F.lit(-1).alias(blocks.BLOCK), "tail", F.col("growth").alias("_since"))
+        states = states.unionByName(first, allowMissingColumns=True)
+    rows = fixed.ROLLING_ROWS - 1
+    so_far = Window.partitionBy("ticker").orderBy(blocks.BLOCK)
+    states = states.withColumn("tail", blocks.joined_tails(so_far.rowsBetween(-rows, Window.currentRow), rows))
+    if before is not None:
+        since = F.max("_since").over(so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        states = states.withColumn("growth", F.col("growth") * F.coalesce(since, F.lit(1.0)))
+    block = F.col(blocks.BLOCK)
+    return states.where(block >= 0).select(
+        "ticker", F.floor(block / 12).cast("int").alias("year"), (block % 12 + 1).cast("int").alias("month"), "tail", "growth"
+    )
+
+
+def last_states(states: DataFrame, year: int, month: int) -> DataFrame:
+    """Every ticker's state (ticker, tail, growth) at the start of a month: that of its last month before."""
+    earlier = states.where((F.col("year") < year) | ((F.col("year") == year) & (F.col("month") < month)))
+    last = earlier.groupBy("ticker").agg(F.max_by(F.struct("tail", "growth"), F.struct("year", "month")).alias("s"))
+    return last.select("ticker", "s.tail", "s.growth")
+
+
+def daily_metrics_after(silver: DataFrame, before: DataFrame) -> DataFrame:
+    """``daily_metrics`` of the rows of ``silver``, which follow on the states ``before`` (ticker, tail, growth)."""
+    ahead = before.select("ticker", F.explode("tail").alias("row")).select(
+        "ticker", "row.*", F.lit(True).alias(blocks.AHEAD), F.lit(0).alias(blocks.BLOCK)
+    )
+    rows = silver.withColumns({blocks.AHEAD: F.lit(False), blocks.BLOCK: F.lit(0)}).unionByName(ahead, allowMissingColumns=True)
+    joined = rows.join(before.select("ticker", "growth"), "ticker", "left")
+    return _windows(joined, F.coalesce("growth", F.lit(1.0))).select(*daily_metrics_columns(silver))
+
+
 def portfolio_summary(daily: DataFrame) -> DataFrame:
     """One row per ticker over the whole period."""
     return daily.groupBy("ticker").agg(

@@ -13,7 +13,8 @@ from barwright.functions.scalars import (
     number_label,
     ticker_label,
 )
-from barwright.operators.analytics import mean_per_key
+from barwright.operators.analytics import bollinger_bands, equal_weight_backtest, mean_per_key, top_cumulative
+from barwright.operators.correlation import correlation_matrix
 from barwright.operators.gold import by_total_return
 
 
@@ -75,6 +76,30 @@ def monthly_heatmap(monthly: DataFrame, tickers=fixed.FOCUS_TICKERS) -> DataFram
     )
 
 
+def cumulative_series(daily: DataFrame, n: int = fixed.TOP_SERIES) -> DataFrame:
+    """Cumulative return in percent of the ``n`` tickers that end highest."""
+    return top_cumulative(daily, n).select(
+        ticker_label("ticker").alias("ticker"), "trade_date", as_percent("cum_return").alias("return_pct")
+    )
+
+
+def correlations(daily: DataFrame, tickers=None) -> DataFrame:
+    """Correlation of every pair of the given tickers, or of all."""
+    chosen = daily if tickers is None else daily.where(member_of("ticker", tickers))
+    pairs = correlation_matrix(chosen)
+    return pairs.withColumns({c: ticker_label(c) for c in ("ticker_a", "ticker_b")})
+
+
+def bollinger_series(daily: DataFrame, ticker: str) -> DataFrame:
+    """The bands of one ticker; its filter reaches the scan."""
+    return bollinger_bands(daily, ticker).withColumn("ticker", ticker_label("ticker"))
+
+
+def backtest_series(daily: DataFrame) -> DataFrame:
+    """Compound return in percent of all tickers at equal weights."""
+    return equal_weight_backtest(daily).select("trade_date", as_percent("portfolio_cum_return").alias("return_pct"))
+
+
 def month_labels_between(first, last) -> list[str]:
     """Every yyyy-MM label from one date's month to another's."""
     n = (last.year - first.year) * 12 + last.month - first.month + 1

@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barwright import fixed
-from barwright.operators import analytics, gold, report
-from barwright.operators.correlation import correlation_matrix
+from barwright.operators import gold, report
 from barwright.operators.incremental import add_return_after, prior_closes
 from barwright.operators.quality import checked_on_the_way, refuse
 from barwright.operators.silver import (
@@ -151,10 +150,11 @@ def gold_tables(silver: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def build_gold(spark: SparkSession, root: str) -> dict[str, int]:
+def build_gold(spark: SparkSession, root: str, states: bool = False) -> dict[str, int]:
     """Rebuild the gold tables from all of silver; returns rows per table.
 
-    The summary reads the daily table just written instead of computing its windows again.
+    The summary reads the daily table just written instead of computing its windows again. With ``states``,
+    the states that ``extend_gold`` goes on from are stored as well.
     """
     silver = layers.read_silver(spark, root)
     if silver.isEmpty():
@@ -165,15 +165,50 @@ def build_gold(spark: SparkSession, root: str) -> dict[str, int]:
         "portfolio_summary": gold.portfolio_summary(daily),
         "monthly_returns": gold.monthly_returns(silver),
     }
+    if states:
+        tables["series_states"] = gold.month_states(silver)
     for name, table in tables.items():
         rows[name] = layers.write_gold(table, root, name)
     return rows
 
 
+def extend_gold(spark: SparkSession, root: str, since) -> dict[str, int]:
+    """Bring gold up to date after silver has changed from date ``since`` on; returns rows per table.
+
+    Months from that of ``since`` on are computed from their own silver rows and every ticker's state at
+    their start; earlier months are neither read nor written, whatever the order the dates came in. The
+    summary is gathered from the daily table. Without stored states it is a full build that stores them.
+    """
+    states = layers.read_gold(spark, root, "series_states")
+    if states.isEmpty():
+        return build_gold(spark, root, states=True)
+    first = date.fromisoformat(str(since)).replace(day=1)
+    silver = layers.read_silver(spark, root, since=first)
+    held = []
+    try:
+        before = staged(gold.last_states(states, first.year, first.month), "states", held)
+        tables = {
+            "daily_metrics": gold.daily_metrics_after(silver, before),
+            "monthly_returns": gold.monthly_returns(silver),
+            "series_states": gold.month_states(silver, before),
+        }
+        months = {(int(d[:4]), int(d[5:7])) for d in layers.silver_dates(spark, root)}
+        rows = {name: layers.write_gold_since(table, root, name, first, months) for name, table in tables.items()}
+    finally:
+        remove(spark, *held)
+    daily = layers.read_gold(spark, root, "daily_metrics")
+    rows["portfolio_summary"] = layers.write_gold(gold.portfolio_summary(daily), root, "portfolio_summary")
+    return rows
+
+
 def report_sections(
-    daily: DataFrame, summary: DataFrame, monthly: DataFrame, tickers=fixed.FOCUS_TICKERS
+    daily: DataFrame, summary: DataFrame, monthly: DataFrame, tickers=fixed.FOCUS_TICKERS, correlated=None
 ) -> dict[str, DataFrame]:
-    """The dataset of every report section whose input has rows."""
+    """The dataset of every report section whose input has rows, in percent and with labels as shown.
+
+    ``tickers`` are those of the volatility, heatmap and Bollinger sections. ``correlated`` names those of
+    the correlation section; all of them by default, whose square is the section's size.
+    """
     sections = {}
     if not summary.isEmpty():
         sections["summary_table"] = report.report_summary_table(summary)
@@ -181,13 +216,13 @@ def report_sections(
     if not monthly.isEmpty():
         sections["monthly_heatmap"] = report.monthly_heatmap(monthly, tickers)
     if not daily.isEmpty():
-        sections["cumulative_return"] = analytics.top_cumulative(daily)
+        sections["cumulative_return"] = report.cumulative_series(daily)
         sections["volatility"] = report.volatility_series(daily, tickers)
-        sections["correlation"] = correlation_matrix(report.chosen_or_all(daily, tickers))
-        sections["portfolio_backtest"] = analytics.equal_weight_backtest(daily)
+        sections["correlation"] = report.correlations(daily, correlated)
+        sections["portfolio_backtest"] = report.backtest_series(daily)
         shown = daily.where(F.col("ticker").isin(list(tickers))).agg(F.min("ticker")).first()[0]
         if shown is not None:
-            sections["bollinger_bands"] = analytics.bollinger_bands(daily, shown)
+            sections["bollinger_bands"] = report.bollinger_series(daily, shown)
     return sections
 
 
@@ -196,7 +231,7 @@ def report_folder(root: str, report_time: datetime) -> str:
 
 
 def build_report(
-    spark: SparkSession, root: str, report_time: datetime | None = None, tickers=fixed.FOCUS_TICKERS
+    spark: SparkSession, root: str, report_time: datetime | None = None, tickers=fixed.FOCUS_TICKERS, correlated=None
 ) -> str | None:
     """Write every section as Parquet under one folder and return it; None if gold is empty."""
     sections = report_sections(
@@ -205,6 +240,7 @@ def build_report(
             for name in ("daily_metrics", "portfolio_summary", "monthly_returns")
         ],
         tickers=tickers,
+        correlated=correlated,
     )
     if not sections:
         return None

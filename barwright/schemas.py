@@ -96,7 +96,26 @@ MONTHLY_RETURNS_SCHEMA = _struct(
     ("month_return", T.DoubleType(), True),
 )
 
+SERIES_STATES_SCHEMA = _struct(
+    ("ticker", T.StringType(), False),
+    ("year", T.IntegerType(), False),
+    ("month", T.IntegerType(), False),
+    (
+        "tail",
+        T.ArrayType(
+            _struct(
+                ("trade_date", T.DateType(), True),
+                ("volume", T.LongType(), True),
+                ("daily_return", T.DoubleType(), True),
+            )
+        ),
+        True,
+    ),
+    ("growth", T.DoubleType(), True),
+)
+
 GOLD_SCHEMAS = {
+    "series_states": SERIES_STATES_SCHEMA,
     "daily_metrics": DAILY_METRICS_SCHEMA,
     "portfolio_summary": PORTFOLIO_SUMMARY_SCHEMA,
     "monthly_returns": MONTHLY_RETURNS_SCHEMA,

@@ -389,6 +389,18 @@ def write_gold(df: DataFrame, root: str, name: str) -> int:
     return n_rows
 
 
+def write_gold_since(df: DataFrame, root: str, name: str, first, months) -> int:
+    """Replace the months of a gold table from that of date ``first`` on; ``months`` are those ``df`` has."""
+    path = gold_path(root, name)
+    order = [c for c in ("ticker", "trade_date") if c in df.columns]
+    n_rows = _write(conform(df, GOLD_SCHEMAS[name]), path, ["year", "month"], order)
+    for folder in versions.listed(df.sparkSession, f"{path}/year=*/month=*"):
+        month = tuple(int(part.split("=")[1]) for part in folder.split("/")[-2:])
+        if month >= (first.year, first.month) and month not in months:
+            remove(df.sparkSession, folder)
+    return n_rows
+
+
 def read_gold(spark: SparkSession, root: str, name: str, schema=None) -> DataFrame:
     schema = schema or GOLD_SCHEMAS.get(name)
     if schema is None:
