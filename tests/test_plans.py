@@ -112,7 +112,7 @@ def test_all_layers_and_report(spark, raw_df, tmp_path):
         "bollinger_bands",
     }
     bands = spark.read.parquet(f"{result['report']}/bollinger_bands")
-    assert {r.ticker for r in bands.collect()} == {"ITUB4.SA"}
+    assert {r.ticker for r in bands.collect()} == {"ITUB4"}
 
 
 def test_sections_without_rows_are_left_out(spark, silver_df):
