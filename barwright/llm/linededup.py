@@ -43,10 +43,11 @@ def _line_rows(docs: DataFrame) -> DataFrame:
     return lines.select("doc_id", "text_key", "line_no", split_words(F.lower("line")).alias("words"))
 
 
-def _half(words, n, side: str) -> Column:
+def _half(joined, n, side: str) -> Column:
+    """Hash of the first or last half of what would be ``n`` words of a line."""
     head = F.floor(n / 2).cast("int")
-    part = F.slice(words, 1, head) if side == "head" else F.slice(words, F.size(words) - (n - head) + 1, n - head)
-    return F.xxhash64(F.lit(side), n, part)
+    count = head if side == "head" else head - n
+    return F.xxhash64(F.lit(side), n, F.call_function("substring_index", joined, F.lit(" "), count.cast("int")))
 
 
 def _earliest(keyed: DataFrame) -> DataFrame:
@@ -103,12 +104,11 @@ def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     equal an earlier one.
     """
     spark = docs.sparkSession
-    words = F.col("words")
-    n = F.size(words)
-    halves = [_half(words, m, side) for m in (n, n - 1) for side in ("head", "tail")]
-    rows = _line_rows(docs).select(
-        "doc_id", "text_key", "line_no", n.alias("n"),
-        F.xxhash64(words).alias("c1"), F.xxhash64(F.lit(1), words).alias("c2"),
+    n, joined = F.col("n"), F.col("joined")
+    halves = [_half(joined, m, side) for m in (n, n - 1) for side in ("head", "tail")]
+    lines = _line_rows(docs).select("doc_id", "text_key", "line_no", F.size("words").alias("n"), F.array_join("words", " ").alias("joined"))
+    rows = lines.select(
+        "doc_id", "text_key", "line_no", "n", F.xxhash64(joined).alias("c1"), F.xxhash64(F.lit(1), joined).alias("c2"),
         F.when(n >= min_words, F.array(*halves)).alias("halves"),
     )
     rows, rows_path = stage(rows, "lines")
@@ -123,12 +123,14 @@ def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     shared = halved.join(shared_halves, "half", "left_semi").select("c1").distinct()
     shared, shared_path = stage(shared, "shared")
     few = shared.count() <= BROADCAST_CLASSES
-    # classes that share a half have min_words words; no filter on words, which would split lines twice
-    texts = _line_rows(docs.filter("doc_id is not null")).select("doc_id", "line_no", "words", F.xxhash64(words).alias("c1"))
-    texts = texts.join(F.broadcast(shared) if few else shared, "c1", "left_semi")
-    texts = texts.select("words", n.alias("n"), "c1", F.xxhash64(F.lit(1), words).alias("c2"), _order().alias("order"))
-    # the earliest line of each class brings the words
-    texts = texts.join(classes, [*_CLASS, "order"], "left_semi").dropDuplicates(["c1"]).select("order", "c1", "words")
+    # the earliest line of each class brings the words; only documents that hold one are split again
+    firsts, firsts_path = stage(classes.join(F.broadcast(shared) if few else shared, "c1", "left_semi"), "firsts")
+    holders = firsts.select(F.floor(F.col("order") / F.lit(_PLACES).cast("decimal(10,0)")).cast("bigint").alias("doc_id")).distinct()
+    held = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id is not null")
+    held = held.join(F.broadcast(holders) if few else holders, "doc_id", "left_semi")
+    texts = _line_rows(held).select("doc_id", "line_no", "words", F.array_join("words", " ").alias("joined"))
+    texts = texts.select("words", F.size("words").alias("n"), F.xxhash64(joined).alias("c1"), F.xxhash64(F.lit(1), joined).alias("c2"), _order().alias("order"))
+    texts = texts.join(F.broadcast(firsts) if few else firsts, [*_CLASS, "order"], "left_semi").dropDuplicates(["c1"]).select("order", "c1", "words")
     texts, texts_path = stage(texts, "texts")
 
     claims = _earliest(_variants(texts))
@@ -140,7 +142,7 @@ def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     decided = classes.join(near, ["order", "c1"], "left").select(*_CLASS, "order", F.least("order", "partner").alias("first"))
     decided, _ = stage(decided, "decided")
-    discard(spark, classes_path, shared_path, texts_path)
+    discard(spark, classes_path, shared_path, firsts_path, texts_path)
 
     own = _order()
     out = rows.join(decided, _CLASS, "left").select(
