@@ -89,6 +89,9 @@ class Network:
         ends = np.cumsum(sizes)
         parts = [self.flat[e - s : e].reshape(shape) for e, s, shape in zip(ends, sizes, self.SHAPES)]
         self.places, self.bias, self.out, self.out_bias = parts
+        # written anew in every step: large arrays are slow to come by
+        self.logits = np.empty((max(_ROWS, STEP), SYMBOLS), np.float32)
+        self.ones = np.ones(SYMBOLS, np.float32)
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
         """around: the window's symbols, a row per place."""
@@ -97,27 +100,31 @@ class Network:
             total += table[symbols]
         return np.tanh(total)
 
+    def _shifted(self, hidden: np.ndarray) -> np.ndarray:
+        """Logits less a constant of their row, so that none overflows and no row vanishes under exp."""
+        logits = np.matmul(hidden, self.out, out=self.logits[: len(hidden)])
+        logits += self.out_bias
+        most = logits.max()
+        logits -= most if most - logits.min() < 80 else logits.max(axis=1, keepdims=True)
+        return logits
+
     def log_probabilities(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         scores = np.empty(len(target))
         for at in range(0, len(target), _ROWS):
             part = slice(at, at + _ROWS)
-            logits = self.hidden(around[:, part]) @ self.out + self.out_bias
-            logits -= logits.max(axis=1, keepdims=True)
+            logits = self._shifted(self.hidden(around[:, part]))
             own = logits[np.arange(len(logits)), target[part]]
-            scores[part] = own - np.log(np.exp(logits, out=logits).sum(axis=1))
+            scores[part] = own - np.log(np.exp(logits, out=logits) @ self.ones)
         return scores
 
     def gradient(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Of the mean loss, as one flat array."""
-        rows = np.arange(len(target))
         hidden = self.hidden(around)
-        p = hidden @ self.out + self.out_bias
-        p -= p.max(axis=1, keepdims=True)
+        p = self._shifted(hidden)
         np.exp(p, out=p)
-        p /= p.sum(axis=1, keepdims=True)
-        p[rows, target] -= 1
-        p /= len(target)
-        back = (p @ self.out.T) * (1 - hidden**2)
+        p *= (1 / (len(target) * (p @ self.ones)))[:, None]
+        p[np.arange(len(target)), target] -= np.float32(1 / len(target))
+        back = (p @ self.out.T) * (1 - hidden * hidden)
         places, symbols, width = self.SHAPES[0]
         cells = ((np.arange(places)[:, None] * symbols + around)[:, :, None] * width + np.arange(width)).ravel()
         tables = np.bincount(cells, np.tile(back.ravel(), places), places * symbols * width).astype(np.float32)
@@ -189,11 +196,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def _known(counts: DataFrame) -> tuple:
     """The commonest words with their counts, the most frequent first, and the least count from which all are there."""
     least, found = None, 0
-    for n, words in sorted(map(tuple, counts.groupBy("n").count().collect()), reverse=True):
-        found += words
+    # as many of the highest counts as fit, in steps of an eighth of a power of two: a few hundred rows
+    step = F.floor(F.log2("n") * 8)
+    sizes = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.min("n").alias("least"))
+    for row in sizes.orderBy(F.desc("step")).collect():
+        found += row["words"]
         if found > KNOWN:
             break
-        least = n
+        least = row["least"]
     top = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
     known = {bytes(w): n for w, n in top}
     more = counts.filter(F.col("n") >= least).collect() if least else []
