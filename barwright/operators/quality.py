@@ -56,6 +56,37 @@ def quality_report(df: DataFrame, as_of=None, keys=SERIES_KEYS) -> DataFrame:
     return report.withColumn("passed", violations == 0)
 
 
+def ledger(silver: DataFrame) -> DataFrame:
+    """The checks of ``quality_report`` counted per date, with the number of tickers: sums of it are the report.
+
+    One row per trade_date. Whether a date is in the future is known from the date itself.
+    """
+    checks = {name: check for name, check in _row_checks(silver.columns, None).items() if name != "future_dates"}
+    per_key = silver.groupBy(*SERIES_KEYS).agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.count_if(condition).alias(name) for name, condition in checks.items()]
+    )
+    return per_key.groupBy("trade_date").agg(
+        F.sum("n_rows").alias("n_rows"), F.count("ticker").alias("n_tickers"),
+        *[F.sum(name).alias(name) for name in checks], F.sum(F.col("n_rows") - 1).alias("duplicate_rows"),
+    )
+
+
+def report_of_ledger(counts: DataFrame, as_of=None) -> DataFrame:
+    """``quality_report`` from the rows of a ledger: it reads a row per date, not the bars."""
+    today = F.current_date() if as_of is None else F.lit(as_of).cast("date")
+    names = [c for c in counts.columns if c not in ("trade_date", "n_rows", "n_tickers", "duplicate_rows")]
+
+    def total(column, name):
+        return F.coalesce(F.sum(column), F.lit(0)).alias(name)
+
+    report = counts.agg(
+        total("n_rows", "n_rows"), F.max("trade_date").alias("last_date"), *[total(c, c) for c in names],
+        total(F.when(F.col("trade_date") > today, F.col("n_rows")), "future_dates"), total("duplicate_rows", "duplicate_rows"),
+    )
+    violations = sum((F.col(name) for name in [*names, "future_dates", "duplicate_rows"]), F.lit(0))
+    return report.withColumn("passed", violations == 0)
+
+
 def refuse(counts: dict):
     """QualityError naming every check with a count above zero, if there is one."""
     figures = {k: v for k, v in counts.items() if k not in ("n_rows", "last_date", "passed")}

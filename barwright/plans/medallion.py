@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from barwright import fixed
 from barwright.operators import gold, report
 from barwright.operators.incremental import add_return_after, prior_closes
-from barwright.operators.quality import checked_on_the_way, refuse
+from barwright.operators.quality import checked_on_the_way, ledger, refuse
 from barwright.operators.silver import (
     add_processed_at,
     clean_bars,
@@ -20,7 +20,7 @@ from barwright.operators.silver import (
     transform_silver,
 )
 from barwright.functions.scalars import normalize_ticker
-from barwright.schemas import SILVER_SCHEMA, conform
+from barwright.schemas import LEDGER_SCHEMA, SILVER_SCHEMA, conform
 from barwright.session import remove, staged
 from barwright.sources import feeds, layers
 
@@ -101,7 +101,7 @@ def build_silver(
     than ``trade_date``, the run goes on from there as with ``since``.
 
     Bars and rejected rows of the run are written aside, checked by the tasks that write them, and
-    published together: a run that fails at any point leaves silver as it was. Dates of the run that
+    published together, with a ledger of the checks per date: a run that fails at any point leaves silver as it was. Dates of the run that
     have no valid bar (any more) have none from then on, and rejected rows are those of the last run
     over their date. Superseded folders go, but for those of the run before.
     """
@@ -133,6 +133,7 @@ def build_silver(
             run.write(rejected_rows(raw), "rejected")
         else:
             run.covers_without_rows("rejected")
+        run.write(conform(ledger(run.written("bars", SILVER_SCHEMA)), LEDGER_SCHEMA), "ledger")
         run.publish()
         layers.expire_silver(spark, root)
         return n_rows

@@ -40,6 +40,9 @@ EXACT = {
     "period_high",
     "period_low",
     "min",
+    "q25",
+    "q50",
+    "q75",
     "max",
 }
 

@@ -9,7 +9,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from barwright.operators import gold
+from barwright.operators import gold, quality
 from barwright.plans import medallion
 from barwright.registry.base import (
     CLEAN_VALUES,
@@ -26,6 +26,7 @@ from barwright.registry.base import (
     silver_brand,
     silver_events,
 )
+from barwright.schemas import LEDGER_SCHEMA
 from barwright.session import new_folder
 from barwright.sources import bars, layers
 
@@ -294,3 +295,42 @@ def _(spark, folder):
     medallion.build_silver(spark, root, since=_DAY, processed_at=PROCESS_TIME)
     rejected = layers.read_rejected(spark, root).drop("source", "ingested_at")
     return rejected.withColumn("reasons", F.concat_ws("; ", "reject_reasons")).drop("reject_reasons")
+
+
+_LEDGER_ZEROS = ", ".join(
+    f"CAST(0 AS BIGINT) AS {name}"
+    for name in LEDGER_SCHEMA.fieldNames() + ["future_dates"]
+    if name not in ("trade_date", "n_rows", "n_tickers")
+)
+
+
+@query(
+    "quality_from_ledger",
+    oracle(f"SELECT count(*) AS n_rows, max(trade_date) AS last_date, {_LEDGER_ZEROS}, true AS passed FROM clean", "users").replace(
+        "SELECT * FROM bars", f"SELECT * FROM bars WHERE trade_date <> DATE '{_DAY}'"
+    ),
+)
+def _(spark, folder):
+    """The gate's figures over all of silver, after a date has lost its bars, from the runs' ledgers."""
+    root = new_folder(spark, "lake")
+    raw = _user_bars(spark, folder)
+    medallion.load_bronze(raw, root, "events")
+    medallion.build_silver(spark, root, processed_at=PROCESS_TIME)
+    spoilt = raw.where(F.col("trade_date") == F.lit(_DAY).cast("date")).withColumn("open", F.lit(-1.0))
+    medallion.load_bronze(spoilt, root, "events")
+    medallion.build_silver(spark, root, since=_DAY, processed_at=PROCESS_TIME)
+    return quality.report_of_ledger(layers.read_ledger(spark, root), _END)
+
+
+@query(
+    "coverage_by_date",
+    oracle("SELECT trade_date, count(*) AS n_rows, count(DISTINCT ticker) AS n_tickers FROM clean GROUP BY 1", "users"),
+)
+def _(spark, folder):
+    """Bars and tickers per date, from the ledger of two runs."""
+    root = new_folder(spark, "lake")
+    raw = _user_bars(spark, folder)
+    for start, end in ((_START, _MIDDLE), (_MIDDLE, _END)):
+        medallion.load_bronze(raw, root, "events", start=start, end=end)
+        medallion.build_silver(spark, root, since=None if start == _START else start, processed_at=PROCESS_TIME)
+    return layers.read_ledger(spark, root).select("trade_date", "n_rows", "n_tickers")

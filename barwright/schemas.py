@@ -61,6 +61,24 @@ UNREAD_SCHEMA = _struct(
     ("load", T.StringType(), True),
 )
 
+LEDGER_SCHEMA = T.StructType(
+    [T.StructField("trade_date", T.DateType())]
+    + [
+        T.StructField(name, T.LongType())
+        for name in [
+            "n_rows",
+            "n_tickers",
+            "null_ticker",
+            "null_trade_date",
+            "null_close_price",
+            "null_volume",
+            *[f"non_positive_{c}" for c in PRICE_COLUMNS],
+            "nan_prices",
+            "duplicate_rows",
+        ]
+    ]
+)
+
 DAILY_METRICS_SCHEMA = T.StructType(
     SILVER_SCHEMA.fields
     + _struct(

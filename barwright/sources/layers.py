@@ -27,6 +27,7 @@ from barwright.functions.scalars import normalize_ticker
 from barwright.schemas import (
     BRONZE_SCHEMA,
     GOLD_SCHEMAS,
+    LEDGER_SCHEMA,
     REJECTED_SCHEMA,
     SILVER_SCHEMA,
     UNREAD_SCHEMA,
@@ -266,7 +267,7 @@ def read_unread(spark: SparkSession, root: str, source: str) -> DataFrame:
 
 # --- silver -----------------------------------------------------------------------------------
 
-_RUN, _BARS, _REJECTED, _ALL, _PRESENT = "version", "bars", "rejected", "all", "present"
+_RUN, _BARS, _REJECTED, _LEDGER, _ALL, _PRESENT = "version", "bars", "rejected", "ledger", "all", "present"
 
 
 class SilverRun:
@@ -283,13 +284,17 @@ class SilverRun:
         self.covers = _ALL if first is None and last is None else f"{first or ''}_{last or ''}"
 
     def write(self, df: DataFrame, kind: str, covers: str | None = None) -> int:
-        n_rows = _write(df, f"{self.folder}/kind={kind}", ["trade_date"], ["ticker"])
+        n_rows = _write(df, f"{self.folder}/kind={kind}", ["trade_date"], [c for c in ["ticker"] if c in df.columns])
         versions.mark(self.spark, f"{self.folder}/_covers_{kind}_{covers or self.covers}")
         return n_rows
 
     def covers_without_rows(self, kind: str) -> None:
         versions.mark(self.spark, f"{self.folder}/_covers_{kind}_{self.covers}")
 
+    def written(self, kind: str, schema) -> DataFrame:
+        """What this run has written, before it is published."""
+        return _read(self.spark, f"{self.folder}/kind={kind}", schema)
+
     def publish(self) -> None:
         versions.publish(self.spark, self.table, self.folder, _RUN)
         self.made = None
@@ -334,7 +339,7 @@ def expire_silver(spark: SparkSession, root: str, keep: int = 1) -> None:
     table = silver_path(root)
     runs = versions.numbers(spark, table, _RUN)
     old = set(runs[: len(runs) - keep] if keep else runs)
-    for kind in (_BARS, _REJECTED):
+    for kind in (_BARS, _REJECTED, _LEDGER):
         current = set(_current(spark, root, kind).values())
         folders = _folders(spark, f"{table}/{_RUN}=*/kind={kind}")
         remove(spark, *(folder for number, _, folder in folders if number in old and folder not in current))
@@ -365,6 +370,11 @@ def read_rejected(spark: SparkSession, root: str) -> DataFrame:
     return _read_current(spark, root, _REJECTED, REJECTED_SCHEMA)
 
 
+def read_ledger(spark: SparkSession, root: str) -> DataFrame:
+    """The checks of every stored date, counted by the run that wrote it: one row per date."""
+    return _read_current(spark, root, _LEDGER, LEDGER_SCHEMA)
+
+
 # --- gold -------------------------------------------------------------------------------------
 
 
