@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from barwright.llm import bpe, decontam, langid, linededup, minhash  # noqa: E402
-from barwright.llm.common import stage, table  # noqa: E402
+from barwright.llm.common import discard, stage, table  # noqa: E402
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, step in STAGES[:-1]:
-        docs, _ = stage(step(spark, docs, sf_dir), name)
+        docs, path = stage(step(spark, docs, sf_dir), name)
+        discard(spark, *before)  # what this stage has read
+        before = [path]
     return STAGES[-1][1](spark, docs, sf_dir)
