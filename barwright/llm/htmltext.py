@@ -80,7 +80,7 @@ class Page:
         stack, inline, silent = [0], [], 0  # open blocks, open inline elements, open silent blocks
         parts, links, at, raw = [], 0, 0, None
         find = _TAG.search
-        node = 0
+        node, opened = 0, {}  # how many blocks of each tag are open, so that a stray end tag costs no search
 
         def flush():
             text = "".join(parts)
@@ -119,16 +119,18 @@ class Page:
                 continue
             flush()
             if closing:
-                if any(self.tag[n] == tag for n in stack[1:]):
+                if opened.get(tag):
                     while True:
                         gone = self.tag[stack.pop()]
+                        opened[gone] -= 1
                         silent -= gone in SILENT
                         if gone == tag:
                             break
             else:
                 if tag in CLOSES_P and self.tag[stack[-1]] == "p" or tag in CLOSED_BY_SAME and self.tag[stack[-1]] == tag:
-                    stack.pop()
+                    opened[self.tag[stack.pop()]] -= 1
                 self._open(stack, tag, found[3] or found[6] or "", seen)
+                opened[tag] = opened.get(tag, 0) + 1
                 silent += tag in SILENT
                 raw = tag if tag in RAW else None
             node, links = stack[-1], 0

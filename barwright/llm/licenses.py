@@ -2,9 +2,10 @@
 
 The document frequency of every word of the licence templates is counted over the whole corpus. Each
 key phrase of a template is indexed under its word of highest IDF, with its position. A file's words are
-looked up there; a hit at place p for posting q says that the template would begin at p - q. Hits that
-agree on a beginning are one candidate. It is verified that all key phrases of the template stand where
-they must, and scored by the share of the template's IDF weight that stands in place.
+looked up there; where a hit at place p for posting q verifies as the whole phrase, the template would begin
+at p - q. The postings of a template's phrases are intersected by these beginnings: all its phrases must agree
+on one, give or take ``SLACK`` words put in or left out between them. The score is the share of the
+template's IDF weight that stands in place, as seen from any of its phrases.
 
 Plain phrases are found besides, at every place where their words stand consecutively.
 """
@@ -40,9 +41,29 @@ TEMPLATES = [
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ["permission is hereby granted free of charge"]),
     ("mit", "licensed under the mit license", ["mit license"]),
     ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0", ["mozilla public license"]),
+    ("agpl-3.0", "gnu affero general public license version 3 19 november 2007", ["gnu affero general public license", "version 3"]),
+    ("apache-2.0", "apache license version 2 0 january 2004", ["apache license", "version 2 0 january 2004"]),
+    ("bsd", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", ["may be used to endorse or promote products derived from this software"]),
+    ("cc-by-4.0", "this work is licensed under the creative commons attribution 4 0 international license", ["creative commons attribution 4 0"]),
+    ("cc-by-nc-4.0", "this work is licensed under the creative commons attribution noncommercial 4 0 international license", ["creative commons attribution noncommercial 4 0"]),
+    ("cc-by-nd-4.0", "this work is licensed under the creative commons attribution noderivatives 4 0 international license", ["creative commons attribution noderivatives 4 0"]),
+    ("cc-by-sa-4.0", "this work is licensed under the creative commons attribution sharealike 4 0 international license", ["creative commons attribution sharealike 4 0"]),
+    ("cc0-1.0", "creative commons cc0 1 0 universal", ["cc0 1 0 universal"]),
+    ("cc0-1.0", "the laws of most jurisdictions throughout the world automatically confer exclusive copyright and related rights defined below upon the creator and subsequent owner", ["automatically confer exclusive copyright and related rights"]),
+    ("cc0-1.0", "the person who associated a work with this deed has dedicated the work to the public domain by waiving all of his or her rights to the work worldwide", ["has dedicated the work to the public domain"]),
+    ("gpl-2.0", "gnu general public license version 2 june 1991", ["gnu general public license", "version 2 june 1991"]),
+    ("gpl-2.0", "under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version", ["gnu general public license", "as published by the free software foundation", "version 2"]),
+    ("gpl-3.0", "gnu general public license version 3 29 june 2007", ["gnu general public license", "version 3 29 june 2007"]),
+    ("gpl-3.0", "under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version", ["gnu general public license", "as published by the free software foundation", "version 3"]),
+    ("lgpl", "gnu lesser general public license version 2 1 february 1999", ["gnu lesser general public license", "version 2 1"]),
+    ("lgpl", "gnu lesser general public license version 3 29 june 2007", ["gnu lesser general public license", "version 3"]),
+    ("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement", ["the software is provided as is without warranty of any kind", "and noninfringement"]),
+    ("mpl-2.0", "mozilla public license version 2 0", ["mozilla public license version 2 0"]),
     ("unlicense", "this is free and unencumbered software released into the public domain", ["free and unencumbered software"]),
 ]
 LEAST_SCORE = 0.5
+#: Words by which a template's phrases may be off from each other.
+SLACK = 6
 _SLICE = 512
 
 
@@ -75,7 +96,7 @@ class Index:
             for key in map(split_words, keys):
                 at = _find(words, key)[0]
                 rarest = max(range(at, at + len(key)), key=lambda k: (weights[k], -k))
-                self.postings[words[rarest]].append((len(self.templates), rarest))
+                self.postings[words[rarest]].append((len(self.templates), len(spans), rarest))
                 spans.append((at, key))
             self.templates.append((label, words, weights, sum(weights), spans))
         self.phrases = [(split_words(p), label) for p, label in (phrases or PHRASES).items()]
@@ -86,17 +107,37 @@ class Index:
         rare = self.rare & known
         if not rare:
             return []
-        begins = {(t, p - q) for p, w in enumerate(words) if w in rare for t, q in self.postings[w]}
+        begins = defaultdict(set)  # of each template's phrases
+        for p, w in enumerate(words):
+            if w in rare:
+                for t, k, q in self.postings[w]:
+                    at, key = self.templates[t][4][k]
+                    if words[p - q + at : p - q + at + len(key)] == key and p - q + at >= 0:
+                        begins[t, k].add(p - q)
         found = []
-        for t, begin in sorted(begins):
+        for t in sorted({t for t, _ in begins}):
             label, own, weights, total, spans = self.templates[t]
-            if any(begin + at < 0 or words[begin + at : begin + at + len(key)] != key for at, key in spans):
-                continue
-            there = sum(x for k, (w, x) in enumerate(zip(own, weights)) if 0 <= begin + k < len(words) and words[begin + k] == w)
-            if there >= LEAST_SCORE * total:
-                found.append((label, max(begin, 0), min(1.0, there / total)))
+            for first in sorted(begins.get((t, 0), ())):
+                shifts = [first]
+                for k in range(1, len(spans)):
+                    near = [b for b in begins.get((t, k), ()) if abs(b - first) <= SLACK]
+                    if not near:
+                        break
+                    shifts.append(min(near, key=lambda b: (abs(b - first), b)))
+                if len(shifts) < len(spans):
+                    continue
+                there = self.weight(t, words, set(shifts))
+                if there >= LEAST_SCORE * total:
+                    found.append((label, max(first, 0), min(1.0, there / total)))
         return found
 
+    def weight(self, template: int, words: list, begins: set) -> float:
+        """The weight of a template's words that stand in place, seen from any of these beginnings."""
+        _, own, weights, _, _ = self.templates[template]
+        return sum(
+            x for k, (w, x) in enumerate(zip(own, weights)) if any(0 <= b + k < len(words) and words[b + k] == w for b in begins)
+        )
+
     def base(self, words: list, known: set) -> list:
         """(place, label) of every plain phrase."""
         return [(place, label) for phrase, label in self.phrases if known.issuperset(phrase) for place in _find(words, phrase)]

@@ -64,3 +64,17 @@ def test_messy_rows(spark):
     assert len(got) == 6 and {r["text"] for r in got if r["page_id"] in (1, 2)} == {""}
     assert len([r for r in got if r["page_id"] == 3]) == 2
     assert htmltext.main_texts(df.filter("false")).collect() == []
+
+
+def test_stray_end_tags_cost_no_search():
+    """Time grows with the page, not with its square: ten times the tags in some ten times the time."""
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        page = htmltext.Page("<div></p>" * n, {})
+        assert len(page.parent) == n + 1
+        return time.process_time() - start
+
+    seconds(1000)
+    assert seconds(40_000) < 40 * max(seconds(4000), 0.005)

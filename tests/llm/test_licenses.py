@@ -58,15 +58,38 @@ def test_index_equals_trying_all_places():
                 own[draw.randrange(len(own))] = draw.choice(vocabulary)
             words += own + draw.choices(vocabulary, k=draw.randint(0, 3))
         expected = set()
-        for label, own, weights, total, spans in index.templates:
-            for begin in range(-len(own), len(words)):
-                if all(begin + a >= 0 and words[begin + a : begin + a + len(key)] == key for a, key in spans):
-                    there = sum(x for k, (w, x) in enumerate(zip(own, weights)) if 0 <= begin + k < len(words) and words[begin + k] == w)
-                    if there >= licenses.LEAST_SCORE * total:
-                        expected.add((label, max(begin, 0)))
+        for t, (label, own, weights, total, spans) in enumerate(index.templates):
+            starts = [[p for p in range(len(words)) if words[p : p + len(key)] == key] for _, key in spans]
+            for first in starts[0]:
+                begin = first - spans[0][0]
+                shifts = [begin]
+                for (at, _), places in list(zip(spans, starts))[1:]:
+                    near = sorted((abs(p - at - begin), p - at) for p in places if abs(p - at - begin) <= licenses.SLACK)
+                    shifts += [near[0][1]] if near else []
+                if len(shifts) == len(spans) and index.weight(t, words, set(shifts)) >= licenses.LEAST_SCORE * total:
+                    expected.add((label, max(begin, 0)))
         assert {(m[0], m[1]) for m in index.matches(words, set(words))} == expected
 
 
+HEADERS = {
+    "gpl-2.0": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "gpl-3.0": "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "cc0-1.0": "The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related Rights (defined below) upon the creator and subsequent owner(s)",
+    "apache-2.0": "Licensed under the Apache License as published, Version 2.0",
+    "mit": 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.',
+}
+
+
+def test_standard_notices_and_words_put_in_between(docs_of):
+    texts = dict(enumerate(HEADERS.values()))
+    found = {r["doc_id"]: r["labels"].split(",") for r in licenses.scan(docs_of(texts.items())).collect()}
+    for k, label in enumerate(HEADERS):
+        assert set(found[k]) - {"gpl"} == {label}
+    far = "licensed under the apache license " + "and more " * 5 + "version 2 0"
+    assert licenses.Index({}, 9).matches(licenses.split_words(far), set(licenses.split_words(far))) == []
+
+
 def test_messy_rows(messy, empty):
     assert licenses.scan(messy).count() == messy.count()
     assert licenses.scan(empty).collect() == []
