@@ -44,7 +44,8 @@ def messages(events: DataFrame) -> DataFrame:
     was streamed since its last edit or regeneration, or since the last regeneration of an earlier
     turn, whichever is latest; a message with nothing since a regeneration is gone. Events of one seq
     count in the order of kind, role and text. A null text is empty, a null role ``""``; events with a
-    null or unknown kind are ignored. The role is that of the message's last event.
+    null or unknown kind are ignored. The role is that of the message's last event. Texts of any length are
+    joined whole. An empty log has no messages.
     """
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     log = events.select("conv_id", "seq", "kind", "turn", role.alias("role"), text.alias("text")).distinct()
@@ -73,7 +74,8 @@ def render(chat: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """Per conversation: conv_id, formatted, loss_spans (start and length in characters).
 
     Reads conv_id, turn, role, text as ``messages`` gives them; equal turns go by role and text. The
-    spans lie on the escaped texts of ``loss_role``. Conversations with a null conv_id are one.
+    spans lie on the escaped texts of ``loss_role``. Conversations with a null conv_id are one. No messages,
+    no conversations.
     """
     order = W.partitionBy("conv_id").orderBy("turn", "role", "text")
     head = F.concat(F.lit(HEAD), escaped(F.col("role"), _ROLE_ESCAPES), F.lit(AFTER_ROLE))

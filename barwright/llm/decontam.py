@@ -47,7 +47,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram:
     left alone. A word is hit if it lies in a run of ``window`` words that an item has too, or in a
     whole item of fewer words. Null and wordless texts have no words and no hit. A repeated row is
     returned as often as it comes; an item without id hits words but is not counted or named. An
-    empty benchmark hits nothing.
+    empty benchmark hits nothing, an empty table of documents gives an empty result. Texts of any length
+    count whole.
     """
     span = window - gram + 1
     items = benchmark.select("item_id", word_array(F.col("text")).alias("words")).filter(F.size("words") > 0)

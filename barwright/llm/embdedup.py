@@ -27,6 +27,8 @@ by_value(__name__)
 THRESHOLD, RECALL = 0.93, 0.995
 #: Vectors of a tile, and the width of a confidence bound in standard errors.
 TILE, CONFIDENCE = 2048, 4.0
+#: Pairs of a tile whose keys and vectors are held side by side.
+_PAIRS = 1 << 16
 #: Up to so many buckets larger than a tile are broadcast.
 BROADCAST_BUCKETS = 100_000
 #: Vectors per bucket that the number of bits aims at.
@@ -104,13 +106,14 @@ def _linked(a: dict, b: dict, same: bool, table: int, turn: np.ndarray, threshol
     if same:
         possible = np.triu(possible, 1)
     i, j = np.nonzero(possible)
-    fresh = (a["id"][i] != b["id"][j]) & ~(a["keys"][i, :table] == b["keys"][j, :table]).any(axis=1)
-    i, j = i[fresh], j[fresh]
-    close = np.empty(len(i), bool)
-    for at in range(0, len(i), 1 << 16):
-        part = slice(at, at + (1 << 16))
-        close[part] = np.einsum("ij,ij->i", a["unit"][i[part]], b["unit"][j[part]]) >= threshold
-    return i[close], j[close]
+    kept = []
+    for at in range(0, len(i), _PAIRS):
+        x, y = i[at : at + _PAIRS], j[at : at + _PAIRS]
+        fresh = (a["id"][x] != b["id"][y]) & ~(a["keys"][x, :table] == b["keys"][y, :table]).any(axis=1)
+        x, y = x[fresh], y[fresh]
+        close = np.einsum("ij,ij->i", a["unit"][x], b["unit"][y]) >= threshold
+        kept.append((x[close], y[close]))
+    return tuple(np.concatenate(c) for c in zip(*kept)) if kept else (i, j)
 
 
 def _forest(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -182,7 +185,8 @@ def linked_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFram
     Reads ``vec_id``, ``embedding`` and ``label``; only vectors of one label and one length are compared.
     Vectors that are null, empty, zero or hold a null or non-finite component link with nothing, nor
     do rows with a null label or vec_id; a null vec_id has a null component and is kept. A row that
-    repeats another one counts once, and rows that share a vec_id but differ are one node.
+    repeats another one counts once, and rows that share a vec_id but differ are one node. An empty table
+    gives an empty result.
     """
     usable = vectors.filter("vec_id is not null and label is not null and embedding is not null").select(
         F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"),

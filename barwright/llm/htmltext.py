@@ -360,14 +360,17 @@ def main_texts(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
 
     Reads ``page_id``, ``url`` and ``html``. A null or empty html has an empty text. Whole pages are read,
     whatever their length; unclosed and stray tags are mended as browsers do for blocks. Repeated rows
-    come out alike. Training takes about ``sample`` pages, chosen by a hash of page_id.
+    come out alike, pages without page_id are read as others and not trained on. Training takes about
+    ``sample`` pages, chosen by a hash of page_id, twice as many at most. An empty table gives an empty result.
     """
     usable = pages.filter("html is not null and page_id is not null").select("page_id", "html")
     usable = usable.filter(F.char_length("html") <= SAMPLE_CHARS)
     total = pages.select("page_id").count()
     draw = F.pmod(F.xxhash64("page_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = usable.filter(draw < F.lit(sample / max(total, 1))).collect()  # about ``sample`` rows
-    trees, vocabulary = train([r["html"] for r in sorted(chosen, key=lambda r: r["page_id"])])
+    # about ``sample`` pages; a page_id of very many rows can't make them more than twice that
+    drawn = usable.filter(draw < F.lit(sample / max(total, 1))).distinct()
+    chosen = drawn.orderBy(F.xxhash64("page_id", "html")).limit(2 * sample).collect()
+    trees, vocabulary = train([r["html"] for r in sorted(chosen, key=lambda r: (r["page_id"], r["html"]))])
 
     def read(batches):
         seen = {}

@@ -133,7 +133,8 @@ def languages(docs: DataFrame, **options) -> DataFrame:
 
     Reads ``doc_id``, ``text`` and, for training only, ``lang``. A null text and one without letters
     are ``und`` with score 0; so is everything where no labelled document is. Repeated rows are
-    scored alike. A null doc_id is not held out, and not trained on either.
+    scored alike. A null doc_id is not held out, and not trained on either. Texts of any length count
+    whole, in blocks. An empty table gives an empty result.
     """
     names, matrix = train(docs, **options)
     model = docs.sparkSession.sparkContext.broadcast(matrix)

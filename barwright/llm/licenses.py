@@ -168,7 +168,9 @@ def scan(docs: DataFrame) -> DataFrame:
 
     Reads ``doc_id`` and ``text``. A null, empty or wordless text has no words, no places (first_word and
     last_word null), empty labels and score 0. ``score`` is that of the best template, 0 without one.
-    ``matches`` lists the templates found with their first word's place. Repeated rows come out alike.
+    ``matches`` lists the templates found with their first word's place. Repeated rows come out alike, rows
+    without doc_id are scanned as others. Texts of any length are looked up whole. An empty table gives an
+    empty result.
     """
     frequencies, documents = _frequencies(docs)
     index = Index(frequencies, documents)

@@ -101,7 +101,7 @@ def line_decisions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     end at line feeds. A line without words is kept, a null text has no lines, an empty one has one.
     Rows that share a doc_id tie: lines at the same place of theirs never remove each other. Rows
     without doc_id come after all others and tie among themselves; of their lines only those go that
-    equal an earlier one.
+    equal an earlier one. Lines of any length count whole. An empty table gives an empty result.
     """
     spark = docs.sparkSession
     n, joined = F.col("n"), F.col("joined")

@@ -77,3 +77,25 @@ def test_messy_rows(spark):
         1: (2, 1, True), 2: (2, 1, False), 12: (2, 1, False), None: (0, None, True), **{i: (0, i, True) for i in (3, 4, 5, 6, 7, 8, 9, 10, 11)}
     }
     assert embdedup.linked_vectors(df.filter("false")).collect() == []
+
+
+def test_a_tile_of_near_copies_stays_small():
+    """All pairs of a full tile, at the tables of a large label: keys and vectors are held for some of them only."""
+    import tracemalloc
+
+    random = np.random.default_rng(2)
+    bits, tables = embdedup.plan(10**7)
+    base = random.standard_normal(64)
+    units = base + 0.01 * random.standard_normal((1024, 64))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    turn = embdedup.rotations(64, bits, tables)[0]
+    turned = units @ turn.T
+    tile = {
+        "id": np.arange(1024), "keys": np.arange(1024 * tables).reshape(1024, tables), "unit": units,
+        "code": np.packbits(turned >= 0, axis=1), "factor": np.abs(turned).sum(axis=1) / 8,
+    }
+    tracemalloc.start()
+    i, j = embdedup._linked(tile, tile, True, tables - 1, turn, 0.93)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(i) == 1024 * 1023 // 2 and peak < 300e6
