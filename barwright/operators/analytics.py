@@ -1,5 +1,7 @@
 """Questions asked of the daily metrics."""
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -156,3 +158,43 @@ def return_histogram(
         .groupBy("ticker", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+
+
+#: Width of the finest cells of a mergeable histogram.
+FINEST = 2.0**-10
+
+
+def histogram_cells(daily: DataFrame, value: str = "daily_return", finest: float = FINEST) -> DataFrame:
+    """(ticker, low, n): values counted in cells of one power-of-two width, from one scan.
+
+    Cells of several frames, or of several loads of a table, add up by ``merged_cells``.
+    """
+    x = F.col(value)
+    low = (x - F.pmod(x, F.lit(finest)) + F.lit(0.0)).alias("low")  # no negative zero
+    known = daily.where(x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return known.groupBy("ticker", low).agg(F.count(F.lit(1)).alias("n"))
+
+
+def merged_cells(*cells: DataFrame) -> DataFrame:
+    every = reduce(DataFrame.unionByName, cells)
+    return every.groupBy("ticker", "low").agg(F.sum("n").alias("n"))
+
+
+def bin_width(least: float, greatest: float, bins: int, finest: float = FINEST) -> float:
+    """The smallest power of two times ``finest`` by which at most ``bins`` bins span the cells."""
+    width = finest
+    while greatest // width - least // width + 1 > bins:
+        width *= 2
+    return width
+
+
+def folded_histogram(cells: DataFrame, bins: int = fixed.HISTOGRAM_BINS, finest: float = FINEST) -> DataFrame:
+    """(ticker, low, width, n): cells folded until at most ``bins`` bins of one width span all of them.
+
+    A bin is two bins of half its width, so nothing is counted anew when the range grows: cells that were
+    stored earlier fold along. ``cells`` should be a stored table; its least and greatest cell come to the driver.
+    """
+    least, greatest = cells.agg(F.min("low"), F.max("low")).first()
+    width = F.lit(finest if least is None else bin_width(least, greatest, bins, finest))
+    low = F.col("low") - F.pmod("low", width) + F.lit(0.0)
+    return cells.groupBy("ticker", low.alias("low"), width.alias("width")).agg(F.sum("n").alias("n"))

@@ -156,3 +156,25 @@ def _table_piecemeal(name):
 
 for _name, _sql in _PIECEMEAL.items():
     query(f"extend_gold_{_name}", oracle(_sql, "users"))(_table_piecemeal(_name))
+
+
+_FOLDED = """
+, r AS (SELECT upper(ticker) AS ticker, daily_return AS x FROM daily WHERE daily_return IS NOT NULL),
+wide AS (
+  SELECT min(pow(2.0, e)) AS w FROM generate_series(-10, 60) AS g(e), (SELECT min(x) AS a, max(x) AS b FROM r) AS m
+  WHERE floor(b / pow(2.0, e)) - floor(a / pow(2.0, e)) + 1 <= 60)
+SELECT ticker, floor(x / w) * w AS low, w AS width, count(*) AS n FROM r, wide GROUP BY 1, 2, 3"""
+
+
+@query("return_histogram_folded", oracle(_FOLDED))
+def _(spark, folder):
+    return analytics.folded_histogram(staged(analytics.histogram_cells(silver_brand(spark, folder)), "cells"))
+
+
+@query("return_histogram_merged", oracle(_FOLDED, "part"))
+def _(spark, folder):
+    """Cells counted for two parts of the dates and merged."""
+    silver = staged(silver_part(spark, folder), "silver")
+    early = F.col("trade_date") < F.lit("1997-01-01").cast("date")
+    parts = [staged(analytics.histogram_cells(silver.where(side)), "cells") for side in (early, ~early)]
+    return analytics.folded_histogram(staged(analytics.merged_cells(*parts), "cells"))

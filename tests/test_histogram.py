@@ -1,0 +1,56 @@
+"""Histograms from mergeable cells of power-of-two widths."""
+
+import math
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from barwright.operators import analytics
+
+SCHEMA = "ticker string, daily_return double"
+
+
+def rows(seed, n, spread):
+    draw = random.Random(seed)
+    return [(draw.choice("AB"), draw.gauss(0, spread)) for _ in range(n)]
+
+
+def two_pass(data, bins):
+    known = [(t, x) for t, x in data if x is not None and math.isfinite(x)]
+    width = analytics.bin_width(min(x for _, x in known), max(x for _, x in known), bins)
+    return width, Counter((t, x // width * width) for t, x in known)
+
+
+@pytest.mark.parametrize("spread", [1e-4, 0.02, 3.0, 1e12])
+@pytest.mark.parametrize("bins", [1 + 1, 60])
+def test_same_counts_as_in_two_passes(spark, spread, bins):
+    data = rows(1, 500, spread) + [("A", None), ("A", float("nan")), ("B", float("inf"))]
+    found = analytics.folded_histogram(analytics.histogram_cells(spark.createDataFrame(data, SCHEMA)), bins).collect()
+    width, expected = two_pass(data, bins)
+    assert {(r.ticker, r.low): r.n for r in found} == expected
+    assert {r.width for r in found} == {width}
+    lows = [r.low for r in found]
+    assert (max(lows) - min(lows)) / width + 1 <= bins
+
+
+def test_merging_equals_counting_at_once(spark):
+    first, second = rows(2, 300, 0.01), rows(3, 300, 1.0)  # the second part has a far greater range
+    parts = [analytics.histogram_cells(spark.createDataFrame(d, SCHEMA)) for d in (first, second)]
+    whole = analytics.histogram_cells(spark.createDataFrame(first + second, SCHEMA))
+    merged = analytics.folded_histogram(analytics.merged_cells(*parts))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, analytics.folded_histogram(whole).collect()))
+
+
+def test_one_scan(spark, tmp_path):
+    spark.createDataFrame(rows(4, 50, 0.1), SCHEMA).write.parquet(str(tmp_path / "t"))
+    plan = analytics.histogram_cells(spark.read.parquet(str(tmp_path / "t")))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "partial_count" in plan and "Sort" not in plan
+
+
+def test_empty_and_constant(spark):
+    empty = spark.createDataFrame([], SCHEMA)
+    assert analytics.folded_histogram(analytics.histogram_cells(empty)).collect() == []
+    same = spark.createDataFrame([("A", -0.0), ("A", 0.0)], SCHEMA).withColumn("daily_return", F.col("daily_return") * 1)
+    assert [tuple(r) for r in analytics.folded_histogram(analytics.histogram_cells(same)).collect()] == [("A", 0.0, analytics.FINEST, 2)]
