@@ -4,8 +4,10 @@ Every unit vector is turned by random rotations, and the signs of its coordinate
 code goes a correction factor, the inner product of the turned vector and its own code: dividing by it
 makes the inner product of one vector's code with another turned vector an unbiased estimate of their
 cosine, and its error is bounded with known confidence. Disjoint groups of code bits are the keys of the
-hash tables. Vectors that share a key are compared by estimate first; only where the bound reaches the
-threshold is the cosine recomputed in double precision, and that alone decides.
+hash tables. Only codes travel to every table: vectors that share a key are compared by the bits in which
+their codes differ, which bound the angle with the same confidence. Those that may have a partner fetch
+their vectors and are compared by estimate; only where its bound reaches the threshold is the cosine
+recomputed in double precision, and that alone decides.
 
 A bucket larger than a tile is split: its tiles meet in pairs, in tasks of their own. A task sums links per
 vector and returns a spanning forest of them, so what it emits is linear in what it reads. A pair that
@@ -33,6 +35,8 @@ _PAIRS = 1 << 16
 BROADCAST_BUCKETS = 100_000
 #: Vectors per bucket that the number of bits aims at.
 _AIM = 32
+_PLACE = ["label", "dim", "table", "key", "low", "high"]
+_POSSIBLE = "label string, dim int, table int, key bigint, low int, high int, side int, vec_id bigint, row bigint"
 _CODED = "vec_id bigint, label string, dim int, keys array<bigint>, unit binary, code binary, factor double"
 _LINKS = "vec_id bigint, n bigint, other bigint"
 
@@ -150,7 +154,7 @@ def _matcher(bits: int, tables: int, threshold: float):
             turns[dim] = rotations(dim, bits, tables)[0]
         a = tile(left) if left else None
         b = tile(right) if right else a
-        if a is None:
+        if a is None or (low != high and not right):
             return None
         i, j = _linked(a, b, low == high, table, turns[dim], threshold)
         if not len(i):
@@ -163,22 +167,66 @@ def _matcher(bits: int, tables: int, threshold: float):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in arrays] + [others], ["vec_id", "n", "other"])
 
     def match(batches):
-        """Rows come sorted by place; at most two tiles are held."""
-        turns, at, sides = {}, None, ([], [])
-        for batch in batches:
-            columns = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
-            for *place, side, vec_id, keys, unit, code, factor in zip(*columns):
-                if place != at:
-                    if at is not None and len(sides[0]) + len(sides[1]) > 1 and (out := found(at, *sides, turns)) is not None:
-                        yield out
-                    at, sides = place, ([], [])
-                sides[side].append((vec_id, keys, unit, code, factor))
-        if at is not None and len(sides[0]) + len(sides[1]) > 1 and (out := found(at, *sides, turns)) is not None:
-            yield out
+        turns = {}
+        for place, sides in _tiles(batches):
+            if (out := found(place, *sides, turns)) is not None:
+                yield out
 
     return match
 
 
+def _tiles(batches):
+    """(place, the rows of its two sides) of rows sorted by place; at most two tiles are held."""
+    at, sides = None, ([], [])
+    for batch in batches:
+        for row in zip(*(batch.column(k).to_pylist() for k in range(batch.num_columns))):
+            place, side, values = row[: len(_PLACE)], row[len(_PLACE)], row[len(_PLACE) + 1 :]
+            if place != at:
+                if len(sides[0]) + len(sides[1]) > 1:
+                    yield at, sides
+                at, sides = place, ([], [])
+            sides[side].append(values)
+    if len(sides[0]) + len(sides[1]) > 1:
+        yield at, sides
+
+
+def most_different(wide: int, threshold: float) -> float:
+    """The most bits of so many in which codes of vectors at the threshold differ, within the confidence."""
+    share = math.acos(threshold) / math.pi
+    return wide * share + CONFIDENCE * math.sqrt(wide * share * (1 - share))
+
+
+def _finder(threshold: float):
+    """Of each tile or pair of tiles, the vectors whose code is near another one's."""
+
+    def signs(rows):
+        codes = np.frombuffer(b"".join(r[2] for r in rows), np.uint8).reshape(len(rows), -1)
+        return np.unpackbits(codes, axis=1).astype(np.float32) * 2 - 1
+
+    def near(place, sides):
+        if not sides[0] or (place[4] != place[5] and not sides[1]):
+            return [[], []]
+        left = signs(sides[0])
+        right = signs(sides[1]) if sides[1] else left
+        wide = left.shape[1]
+        close = left @ right.T >= wide - 2 * most_different(wide, threshold)
+        if not sides[1]:
+            np.fill_diagonal(close, False)
+        flags = [close.any(axis=1), close.any(axis=0)]
+        return [[r for r, flag in zip(rows, own) if flag] for rows, own in zip(sides, flags)]
+
+    def find(batches):
+        for place, sides in _tiles(batches):
+            kept = near(place, sides)
+            rows = [(*place, side, *r[:2]) for side in (0, 1) for r in kept[side]]
+            if rows:
+                kinds = [pa.string(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+                names = [*_PLACE, "side", "vec_id", "row"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+    return find
+
+
 def linked_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per row: vec_id, n_links, component_id (smallest vec_id reachable, itself included), kept.
 
@@ -194,10 +242,11 @@ def linked_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFram
     )
     largest = usable.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     bits, tables = plan(largest, threshold)
-    coded, _ = stage(usable.dropDuplicates().mapInArrow(_coder(bits, tables), _CODED), "codes")
+    coded = usable.dropDuplicates().mapInArrow(_coder(bits, tables), _CODED)
+    coded, coded_path = stage(coded.withColumn("row", F.xxhash64("label", "unit")), "codes")
 
-    place = ["label", "dim", "table", "key"]
-    entries = coded.select("*", F.posexplode("keys").alias("table", "key"))
+    place = _PLACE[:4]
+    entries = coded.select("label", "dim", "vec_id", "row", "code", F.posexplode("keys").alias("table", "key"))
     large = entries.groupBy(*place).count().filter(F.col("count") > TILE).select(
         *place, F.ceil(F.col("count") / TILE).cast("int").alias("tiles")
     )
@@ -207,13 +256,16 @@ def linked_vectors(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFram
     split = split.withColumn("tile", F.pmod(F.xxhash64("vec_id"), F.col("tiles")).cast("int"))
     met = split.select("*", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("partner")).select(
         *place, F.least("tile", "partner").alias("low"), F.greatest("tile", "partner").alias("high"),
-        (F.col("tile") > F.col("partner")).cast("int").alias("side"),
-        "vec_id", "keys", "unit", "code", "factor",
+        (F.col("tile") > F.col("partner")).cast("int").alias("side"), "vec_id", "row", "code",
+    )
+    possible = met.repartition(*_PLACE).sortWithinPartitions(*_PLACE).mapInArrow(_finder(threshold), _POSSIBLE)
+    possible, possible_path = stage(possible, "possible")
+    whole = possible.join(coded.select("vec_id", "row", "keys", "unit", "code", "factor"), ["vec_id", "row"]).select(
+        *_PLACE, "side", "vec_id", "keys", "unit", "code", "factor"
     )
-    pair = [*place, "low", "high"]
-    found = met.repartition(*pair).sortWithinPartitions(*pair).mapInArrow(_matcher(bits, tables, threshold), _LINKS)
+    found = whole.repartition(*_PLACE).sortWithinPartitions(*_PLACE).mapInArrow(_matcher(bits, tables, threshold), _LINKS)
     found, _ = stage(found, "vector-links")
-    discard(vectors.sparkSession, large_path)
+    discard(vectors.sparkSession, large_path, coded_path, possible_path)
     counts = found.filter("other is null").groupBy(F.col("vec_id").alias("id")).agg(F.sum("n").alias("n_links"))
     joined = components(found.filter("other is not null"), "vec_id", "other")
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"))

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from barwright.llm import embdedup
@@ -99,3 +100,27 @@ def test_a_tile_of_near_copies_stays_small():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert len(i) == 1024 * 1023 // 2 and peak < 300e6
+
+
+def test_finder_keeps_every_vector_with_a_near_code():
+    """Vectors of a pair at the threshold stay, within a tile and across two; most of the others don't."""
+    random = np.random.default_rng(5)
+    units = random.standard_normal((400, 64))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    for k in range(0, 100, 2):  # pairs at a cosine of 0.93
+        other = random.standard_normal(64)
+        other -= (other @ units[k]) * units[k]
+        units[k + 1] = 0.93 * units[k] + np.sqrt(1 - 0.93**2) * other / np.linalg.norm(other)
+    codes = np.packbits(units @ embdedup.rotations(64, 8, 8)[0].T >= 0, axis=1)
+    rows = [(k, k, codes[k].tobytes()) for k in range(400)]
+    find = embdedup._finder(0.93)
+
+    def kept(low, high, sides):
+        batches = [pa.RecordBatch.from_pylist([
+            dict(zip([*embdedup._PLACE, "side", "vec_id", "row", "code"], ("l", 64, 0, 1, low, high, side, *r))) for side in (0, 1) for r in sides[side]
+        ])]
+        return {i for out in find(batches) for i in out.column("vec_id").to_pylist()}
+
+    inner = kept(0, 0, (rows, []))
+    assert inner >= set(range(100)) and len(inner) < 300
+    assert kept(0, 1, (rows[0::2], rows[1::2])) >= set(range(100))
