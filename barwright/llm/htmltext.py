@@ -47,9 +47,10 @@ CLOSES_P = frozenset(
 )
 KEPT_TAGS = frozenset("article main".split())
 DROPPED_TAGS = frozenset("aside footer form header nav".split())
+DROPPED_ANYWHERE = frozenset("aside form nav".split())
 DROPPED_TOKENS = frozenset(
-    "ad ads advert advertisement banner breadcrumb comment cookie footer menu nav notice promo related share sidebar "
-    "social sponsored".split()
+    "ad ads advert advertisement banner breadcrumb comment cookie copyright footer menu nav newsletter notice promo related "
+    "share sidebar signup social sponsored subscribe".split()
 )
 
 _TAG = re.compile(
@@ -255,7 +256,7 @@ def _weak_labels(page: Page) -> list:
         words = {t.lstrip(".") for t in page.tokens[node]}
         if page.keep[node]:
             labels.append(page.keep[node] == "1")
-        elif above is False or page.tag[node] in DROPPED_TAGS and above is None or DROPPED_TOKENS & words:
+        elif above is False or page.tag[node] in DROPPED_TAGS and above is None or page.tag[node] in DROPPED_ANYWHERE or DROPPED_TOKENS & words:
             labels.append(False)
         elif page.tag[node] in KEPT_TAGS:
             labels.append(True)
@@ -271,11 +272,13 @@ _HOLDERS = [
 ]
 _NOISE = {
     "links": ["<nav>|</nav>", '<div class="menu">|</div>', '<ul class="nav">|</ul>', '<div class="breadcrumb">|</div>',
-              '<aside class="sidebar">|</aside>', '<div class="related">|</div>', '<div class="share-social">|</div>'],
+              '<aside class="sidebar">|</aside>', "<aside>|</aside>", '<div class="tags">|</div>', '<div class="related">|</div>', '<div class="share-social">|</div>'],
     "words": ["<header>|</header>", "<footer>|</footer>", '<div class="footer">|</div>', '<div class="ad">|</div>',
               '<div class="advert sponsored">|</div>', '<div class="banner promo">|</div>', '<div class="cookie-notice">|</div>',
               '<div role="alert" class="notice">|</div>', '<div class="sidebar">|</div>', "<form>|</form>",
-              '<form class="newsletter">|</form>', '<div class="modal consent">|</div>', '<div class="header">|</div>'],
+              '<form class="newsletter">|</form>', "<aside>|</aside>", '<p class="copyright">|</p>', '<div class="copyright">|</div>',
+              '<div class="signup">|</div>', '<div class="subscribe box">|</div>', '<section class="newsletter-signup">|</section>',
+              '<div class="modal consent">|</div>', '<div class="header">|</div>'],
     "talk": ['<section class="comments">|</section>', '<div id="comments">|</div>', '<ol class="commentlist">|</ol>'],
 }
 
@@ -285,6 +288,18 @@ def _marked(frame: str, inside: str, keep: int) -> str:
     return f'{start[:-1]} data-keep="{keep}">{inside}{end}'
 
 
+def _shown(draw: random.Random, text: str) -> list:
+    """Pictures with captions, tables and lists of terms: an article's own, too."""
+    words = text.split() or ["x"]
+    cells = [" ".join(words[k :: 4]) or "0" for k in range(4)]
+    rows = "".join(f"<tr><td>{a}</td><td>{b}</td></tr>" for a, b in (cells[:2], cells[2:]))
+    return [
+        f'<figure><img src="a.png"><figcaption>{text[:60]}</figcaption></figure>', f"<table>{rows}</table>",
+        f"<table><thead><tr><th>{cells[0][:12]}</th><th>{cells[1][:12]}</th></tr></thead><tbody>{rows}</tbody></table>",
+        f"<dl><dt>{text[:12]}</dt><dd>{text}</dd></dl>",
+    ]
+
+
 def _composed(draw: random.Random, paragraphs: list, noise: list) -> str:
     """A page of usual structure around some paragraphs; every frame says whether it is kept."""
     some = lambda texts, low, high: [html.escape(draw.choice(texts)) for _ in range(draw.randint(low, high))]
@@ -305,12 +320,16 @@ def _composed(draw: random.Random, paragraphs: list, noise: list) -> str:
     for text in some(paragraphs, 1, 9):
         if draw.random() < 0.2:
             text = text[: draw.randint(2, 30)]
-        body.append(draw.choice([f"<p>{text}</p>"] * 6 + [f"<h2>{text[:40]}</h2>", f"<ul><li>{text}</li></ul>", f"<p><b>{text}<br>", f"<blockquote><p>{text}</p></blockquote>"]))
-    if draw.random() < 0.4:
+        body.append(draw.choice([f"<p>{text}</p>"] * 6 + [f"<h2>{text[:40]}</h2>", f"<ul><li>{text}</li></ul>", f"<p><b>{text}<br>", f"<blockquote><p>{text}</p></blockquote>", *_shown(draw, text)]))
+    for _ in range(draw.choice([0, 0, 1, 1, 2])):
         body.insert(draw.randint(1, len(body)), bit())
+    if draw.random() < 0.25:
+        body.insert(draw.randint(1, len(body)), _marked("<aside>|</aside>", draw.choice(["|", "<p>|</p>"]).replace("|", some(noise + paragraphs, 1, 1)[0]), 0))
     holder = draw.choice(_HOLDERS)
     main = _marked(holder, "".join(body), 1)
     before, after = [bit() for _ in range(draw.randint(1, 4))], [bit() for _ in range(draw.randint(1, 4))]
+    if draw.random() < 0.25:
+        after.insert(1, _marked(draw.choice(['<p class="copyright">|</p>', '<div class="copyright">|</div>']), some(noise, 1, 1)[0], 0))
     middle = "".join([*before[1:], main, *after[1:]])
     if draw.random() < 0.4:
         middle = f'<div class="wrapper">{middle}</div>'
@@ -328,7 +347,7 @@ def train(sources: list) -> tuple[Trees, dict]:
             if own[node] is not None:
                 (paragraphs if own[node] else noise).append(text)
     draw = random.Random(5)
-    for _ in range(max(150, len(sources))):
+    for _ in range(max(200, len(sources))):
         pages.append(Page(_composed(draw, paragraphs, noise), seen))
         labels.append(_weak_labels(pages[-1]))
     counts = {}

@@ -78,3 +78,35 @@ def test_stray_end_tags_cost_no_search():
 
     seconds(1000)
     assert seconds(40_000) < 40 * max(seconds(4000), 0.005)
+
+
+_PAR = "A sentence of the story that goes on for a while, with a comma and an end. " * 2
+_HAND_MADE = {
+    "aside": (
+        f"<nav><ul><li><a href=1>Home</a></li><li><a href=2>News</a></li></ul></nav><article><h1>Title here</h1><p>{_PAR}</p>"
+        f"<aside>Related: x</aside><p>{_PAR}</p></article><footer>Imprint</footer>", f"Title here {_PAR}{_PAR}",
+    ),
+    "copyright": (f'<article><h1>Title here</h1><p>{_PAR}</p><p>{_PAR}</p></article><p class="copyright">Copyright Example Ltd</p>', f"Title here {_PAR}{_PAR}"),
+    "sign-up": (f'<header>Site</header><article><p>{_PAR}</p><div class="signup-box"><p>Sign up for our letter</p></div><p>{_PAR}</p></article>', _PAR + _PAR),
+    "caption and table": (
+        f"<nav><a href=1>Home</a></nav><article><h1>T</h1><p>{_PAR}</p><figure><img src=a><figcaption>A caption of the picture.</figcaption></figure>"
+        f"<table><tr><td>One</td><td>Two</td></tr></table><p>{_PAR}</p></article>", f"T {_PAR}A caption of the picture. One Two {_PAR}",
+    ),
+    "no sections": (
+        f'<div id="top-menu"><a href=1>Home</a> <a href=2>Shop</a></div><div class="entry-content"><h2>Head</h2><p>{_PAR}</p><ul><li>{_PAR}</li></ul></div>'
+        f'<div class="footer-links"><a href=9>Terms</a></div>', f"Head {_PAR}{_PAR}",
+    ),
+    "comments": (
+        f'<main><h1>Head</h1><p>{_PAR}</p><p>{_PAR}</p></main><section id="comments"><div class="comment"><p>I liked this very much, thank you.</p></div></section>',
+        f"Head {_PAR}{_PAR}",
+    ),
+}
+
+
+def test_hand_made_pages(spark, sf_dir):
+    """Structures written by hand, none by the generator that the trees learn from."""
+    given = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    pages = [(-k - 1, "u", f"<html><body>{source}</body></html>") for k, (source, _) in enumerate(_HAND_MADE.values())]
+    rows = htmltext.main_texts(given.union(spark.createDataFrame(pages, given.schema))).filter("page_id < 0").collect()
+    found = {r["page_id"]: r["text"] for r in rows}
+    assert {name: found[-k - 1] for k, name in enumerate(_HAND_MADE)} == {n: " ".join(e.split()) for n, (_, e) in _HAND_MADE.items()}
