@@ -101,11 +101,14 @@ class Network:
         return np.tanh(total)
 
     def _shifted(self, hidden: np.ndarray) -> np.ndarray:
-        """Logits less a constant of their row, so that none overflows and no row vanishes under exp."""
+        """Logits, less their row's largest where exp could overflow or a row vanish under it.
+
+        No hidden value is beyond one, so the weights bound what a logit can be.
+        """
         logits = np.matmul(hidden, self.out, out=self.logits[: len(hidden)])
         logits += self.out_bias
-        most = logits.max()
-        logits -= most if most - logits.min() < 80 else logits.max(axis=1, keepdims=True)
+        if (np.abs(self.out).sum(axis=0) + np.abs(self.out_bias)).max() > 40:
+            logits -= logits.max(axis=1, keepdims=True)
         return logits
 
     def log_probabilities(self, around: np.ndarray, target: np.ndarray) -> np.ndarray:

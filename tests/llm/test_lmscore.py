@@ -100,3 +100,14 @@ def test_order_of_words_counts_as_registered(docs_of):
     texts.append((100, " ".join(np.random.default_rng(0).permutation(list("abcdefgh") * 60))))
     rows = {r["doc_id"]: r["mean_log_prob"] for r in lmscore.word_scores(docs_of(texts).coalesce(1)).collect()}
     assert rows[0] > -math.log(8) / 2 and rows[0] > rows[100] + 1
+
+
+def test_large_weights_overflow_nothing():
+    network = lmscore.Network()
+    around = np.random.default_rng(1).integers(0, lmscore.SYMBOLS, (4, 300))
+    target = np.arange(300) % lmscore.SYMBOLS
+    small = network.log_probabilities(around, target)
+    logits = (network.hidden(around) @ network.out + network.out_bias).astype(float)
+    assert np.allclose(small, logits[np.arange(300), target] - np.log(np.exp(logits).sum(axis=1)), atol=1e-4)
+    network.out *= 2000
+    assert np.isfinite(network.log_probabilities(around, target)).all() and np.isfinite(network.gradient(around, target)).all()
