@@ -110,6 +110,10 @@ def build_silver(
         if since is None:
             return 0
     stored = layers.silver_dates(spark, root)
+    if source is not None and trade_date is None:
+        others = [d for s in layers.bronze_sources(spark, root) for d in layers.bronze_dates(spark, root, s)[:1]]
+        if str(since) <= min([*others, *stored[:1]]):
+            since = None  # nothing lies ahead of it: a full run
     if trade_date is not None and since is None and any(d > str(trade_date) for d in stored):
         trade_date, since = None, trade_date
     raw = layers.read_bronze(spark, root, None, trade_date, since)
