@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barwright import fixed
 from barwright.functions import blocks
-from barwright.functions.scalars import ratio_minus_one
+from barwright.functions.scalars import all_present, ratio_minus_one
 from barwright.functions.series import compounded, growth, rolling_mean, rolling_std, to_date
 
 
@@ -31,16 +31,16 @@ def daily_metrics(silver: DataFrame) -> DataFrame:
     )
 
 
-def _windows(df: DataFrame, growth_so_far) -> DataFrame:
+def _windows(df: DataFrame) -> DataFrame:
     """The columns of daily_metrics by block; copied rows ahead of a block are used and dropped."""
     yearly = math.sqrt(fixed.TRADING_DAYS_PER_YEAR)
-    own = F.when(F.col(blocks.AHEAD), F.lit(1.0)).otherwise(growth("daily_return"))
+    own = F.when(F.col(blocks.AHEAD), F.coalesce(blocks.CARRY, F.lit(1.0))).otherwise(growth("daily_return"))
     return (
         df.withColumn("avg_volume_20d", rolling_mean("volume", keys=blocks.KEYS))
         .withColumn("volatility_20d", rolling_std("daily_return", keys=blocks.KEYS) * yearly)
         .withColumn("year", F.year("trade_date"))
         .withColumn("month", F.month("trade_date"))
-        .withColumn("cum_return", growth_so_far * F.product(own).over(to_date(blocks.KEYS)) - 1)
+        .withColumn("cum_return", F.product(own).over(to_date(blocks.KEYS)) - 1)
         .where(~F.col(blocks.AHEAD))
     )
 
@@ -49,13 +49,12 @@ def daily_metrics_by_block(silver: DataFrame, block_days: int = 366) -> DataFram
     """``daily_metrics`` for series too long for one task: windows hold one block of a ticker's days.
 
     The rolling columns equal those of ``daily_metrics`` bit for bit, the compound return up to rounding.
-    Reads ``silver`` three times, twice for few columns, so it should be a stored table.
+    Reads ``silver`` four times, thrice for few columns, so it should be a stored table. A row without ticker or
+    date belongs to no block and is left out.
     """
-    block = blocks.block_of(block_days)
-    overlapped = blocks.with_overlap(silver, block_days, ["volume", "daily_return"])
-    carry = blocks.block_growth(silver, block, "daily_return").select(*blocks.KEYS, "carry")
-    columns = [*daily_metrics_columns(silver)]
-    return _windows(overlapped.join(carry, list(blocks.KEYS)), F.col("carry")).select(*columns)
+    dated = silver.where(all_present("ticker", "trade_date"))
+    overlapped = blocks.with_overlap(dated, block_days, ["volume", "daily_return"], compounded="daily_return")
+    return _windows(overlapped).select(*daily_metrics_columns(silver))
 
 
 def daily_metrics_columns(silver: DataFrame) -> list[str]:
@@ -96,12 +95,9 @@ def last_states(states: DataFrame, year: int, month: int) -> DataFrame:
 
 def daily_metrics_after(silver: DataFrame, before: DataFrame) -> DataFrame:
     """``daily_metrics`` of the rows of ``silver``, which follow on the states ``before`` (ticker, tail, growth)."""
-    ahead = before.select("ticker", F.explode("tail").alias("row")).select(
-        "ticker", "row.*", F.lit(True).alias(blocks.AHEAD), F.lit(0).alias(blocks.BLOCK)
-    )
-    rows = silver.withColumns({blocks.AHEAD: F.lit(False), blocks.BLOCK: F.lit(0)}).unionByName(ahead, allowMissingColumns=True)
-    joined = rows.join(before.select("ticker", "growth"), "ticker", "left")
-    return _windows(joined, F.coalesce("growth", F.lit(1.0))).select(*daily_metrics_columns(silver))
+    ahead = blocks.copied_ahead(before.withColumnRenamed("growth", blocks.CARRY), "tail", "ticker")
+    rows = silver.withColumn(blocks.AHEAD, F.lit(False)).unionByName(ahead, allowMissingColumns=True)
+    return _windows(rows.withColumn(blocks.BLOCK, F.lit(0))).select(*daily_metrics_columns(silver))
 
 
 def portfolio_summary(daily: DataFrame) -> DataFrame:

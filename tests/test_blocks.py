@@ -84,6 +84,22 @@ def test_overlap_brings_no_more_than_its_rows(make_series):
     assert max(counts.values()) == 19 and min(counts.values()) <= 19
 
 
+def test_short_and_sparse_series_bring_few_rows_along(make_series):
+    """Thirty rows, each in a block of its own by the calendar, are one block; of longer sparse ones, blocks get longer."""
+    silver = make_series(series(7, 3, 30, [61, 90]))
+    assert blocks.with_overlap(silver, 60, ["volume"]).where(blocks.AHEAD).isEmpty()
+    sparse = make_series(series(8, 2, 600, [61, 90]) | {"S": series(9, 1, 25, [61])["T0"], "D": series(9, 1, 400, [1])["T0"]})
+    cut = blocks.with_overlap(sparse, 60, ["volume", "daily_return"], compounded="daily_return")
+    counts = cut.groupBy(*blocks.KEYS).agg(F.count_if(~F.col(blocks.AHEAD)).alias("n"), F.count_if(blocks.AHEAD).alias("ahead")).collect()
+    assert sum(r["ahead"] for r in counts) < sum(r["n"] for r in counts) / 2
+    assert len([r for r in counts if r["ticker"] == "T0"]) > 5 and max(r["n"] for r in counts) < 90
+    plain, cut = gold.daily_metrics(sparse), gold.daily_metrics_by_block(sparse, 60)
+    exact = ["avg_volume_20d", "volatility_20d"]
+    assert rows(cut, *exact) == rows(plain, *exact)
+    for a, b in zip(rows(cut, "cum_return"), rows(plain, "cum_return")):
+        assert a[:2] == b[:2] and a[2] == pytest.approx(b[2], rel=1e-9, abs=1e-9)
+
+
 @pytest.fixture
 def raw(make_raw):
     draw = random.Random(6)
