@@ -7,21 +7,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Days whose presence one number tells.
+MASK_DAYS = 64
+
+
 def ticker_coverage(df: DataFrame) -> DataFrame:
     """First date, last date and number of trading days per ticker.
 
-    Distinct days are counted by grouping twice, (ticker, date) and then ticker: copies of a bar
-    vanish before the first shuffle and what reaches a ticker's task is one row per day.
+    Days are marked as bits, a number per ticker and 64 days: copies of a bar vanish before the first shuffle,
+    what reaches a ticker's task is at most one row per 64 days, and no task holds its days more than once.
     """
-    return (
-        df.groupBy("ticker", "trade_date")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .groupBy("ticker")
-        .agg(
-            F.min("trade_date").alias("first_date"),
-            F.max("trade_date").alias("last_date"),
-            F.count("trade_date").alias("trading_days"),
-        )
+    day = F.unix_date("trade_date")
+    marked = df.select(
+        "ticker",
+        "trade_date",
+        F.floor(day / MASK_DAYS).cast("int").alias("_span"),
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(day, F.lit(MASK_DAYS))).alias("_bit"),
+    )
+    spans = marked.groupBy("ticker", "_span").agg(
+        F.min("trade_date").alias("_first"), F.max("trade_date").alias("_last"), F.bit_or("_bit").alias("_days")
+    )
+    return spans.groupBy("ticker").agg(
+        F.min("_first").alias("first_date"),
+        F.max("_last").alias("last_date"),
+        F.when(F.count("_span") > 0, F.sum(F.bit_count("_days"))).otherwise(F.lit(0)).alias("trading_days"),
     )
 
 

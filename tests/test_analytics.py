@@ -157,6 +157,20 @@ def test_histogram_with_a_given_range(spark):
     assert rows == {0: 1, 1: 1, 2: 3, 3: 1}
 
 
+def test_coverage_counts_days_as_bits(spark):
+    """Days before and after 1970, ends of the calendar, copies, and tickers without a date."""
+    days = [date(1969, 12, 31), date(1969, 12, 31), date(1970, 1, 1), date(1970, 3, 5), date(1970, 3, 6)]
+    rows = [("A", d) for d in days] + [("A", None), ("B", None), ("C", date(1, 1, 1)), ("C", date(9999, 12, 31))]
+    df = profile.ticker_coverage(spark.createDataFrame(rows, "ticker string, trade_date date"))
+    found = {r["ticker"]: tuple(r)[1:] for r in df.collect()}
+    assert found == {
+        "A": (date(1969, 12, 31), date(1970, 3, 6), 4), "B": (None, None, 0), "C": (date(1, 1, 1), date(9999, 12, 31), 2)
+    }
+    # no map task or reduce task holds a ticker's single days
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert all("trade_date" not in line.split("keys=[")[1].split("]")[0] for line in plan.splitlines() if "keys=[" in line)
+
+
 def test_profile(raw_df, raw_df_with_nulls):
     coverage = by_key(profile.ticker_coverage(raw_df.unionByName(raw_df)), "ticker")
     assert coverage["PETR4.SA"].trading_days == 2 and coverage["ITUB4.SA"].trading_days == 1
