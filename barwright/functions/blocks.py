@@ -48,10 +48,13 @@ def last_rows(df: DataFrame, block, columns, rows: int = fixed.ROLLING_ROWS - 1)
     )
 
 
+def last_of(every: Column, rows: int = fixed.ROLLING_ROWS - 1) -> Column:
+    return F.when(F.size(every) > rows, F.slice(every, F.size(every) - rows + 1, rows)).otherwise(every)
+
+
 def joined_tails(before, rows: int = fixed.ROLLING_ROWS - 1) -> Column:
     """The last ``rows`` entries of several blocks' tails, over a window of blocks of one ticker."""
-    every = F.flatten(F.collect_list("tail").over(before))
-    return F.when(F.size(every) > rows, F.slice(every, F.size(every) - rows + 1, rows)).otherwise(every)
+    return last_of(F.flatten(F.collect_list("tail").over(before)), rows)
 
 
 def with_overlap(

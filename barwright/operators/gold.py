@@ -68,18 +68,21 @@ def month_states(silver: DataFrame, before: DataFrame | None = None) -> DataFram
     1 + return). ``before`` has the states (ticker, tail, growth) that the rows of ``silver`` come after.
     """
     month = (F.year("trade_date") * 12 + F.month("trade_date") - 1)
-    tails = blocks.last_rows(silver, month, ["volume", "daily_return"])
-    grown = blocks.block_growth(silver, month, "daily_return").select(*blocks.KEYS, (F.col("carry") * F.col("own")).alias("growth"))
-    states = tails.join(grown, list(blocks.KEYS))
+    # a month has few rows, so one aggregate holds them all
+    every = F.array_sort(F.collect_list(F.struct("trade_date", "volume", "daily_return")))
+    states = silver.where(all_present("ticker", "trade_date")).groupBy("ticker", month.alias(blocks.BLOCK)).agg(
+        blocks.last_of(every).alias("tail"), F.product(growth("daily_return")).alias("growth")
+    )
     if before is not None:
-        first = before.select("ticker", F.lit(-1).alias(blocks.BLOCK), "tail", F.col("growth").alias("_since"))
-        states = states.unionByName(first, allowMissingColumns=True)
+        states = states.unionByName(before.select("ticker", F.lit(-1).alias(blocks.BLOCK), "tail", "growth"))
     rows = fixed.ROLLING_ROWS - 1
     so_far = Window.partitionBy("ticker").orderBy(blocks.BLOCK)
-    states = states.withColumn("tail", blocks.joined_tails(so_far.rowsBetween(-rows, Window.currentRow), rows))
-    if before is not None:
-        since = F.max("_since").over(so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        states = states.withColumn("growth", F.col("growth") * F.coalesce(since, F.lit(1.0)))
+    states = states.withColumns(
+        {
+            "tail": blocks.joined_tails(so_far.rowsBetween(-rows, Window.currentRow), rows),
+            "growth": F.product("growth").over(so_far.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        }
+    )
     block = F.col(blocks.BLOCK)
     return states.where(block >= 0).select(
         "ticker", F.floor(block / 12).cast("int").alias("year"), (block % 12 + 1).cast("int").alias("month"), "tail", "growth"

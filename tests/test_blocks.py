@@ -144,6 +144,19 @@ def test_extended_gold_equals_a_full_build_in_any_order(spark, raw, tmp_path):
     assert sorted(map(tuple, stored.collect()), key=repr) == states[0]
 
 
+def test_states_take_one_scan_and_two_shuffles(spark, make_series, tmp_path):
+    make_series(series(10, 3, 200, [1, 3])).write.parquet(str(tmp_path / "silver"))
+    silver = spark.read.parquet(str(tmp_path / "silver"))
+    states = gold.month_states(silver)
+    text = states._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and text.count("Exchange hashpartitioning") == 2 and "Join" not in text
+    daily = {(r["ticker"], r["trade_date"]): r for r in gold.daily_metrics(silver).collect()}
+    for r in states.collect():
+        own = sorted(d for t, d in daily if t == r["ticker"] and (d.year, d.month) <= (r["year"], r["month"]))[-19:]
+        assert [x["trade_date"] for x in r["tail"]] == own
+        assert r["growth"] == pytest.approx(1 + daily[r["ticker"], own[-1]]["cum_return"], rel=1e-9)
+
+
 def test_months_that_lost_all_bars_go(spark, raw, tmp_path):
     root = str(tmp_path)
     medallion.load_bronze(raw, root)
