@@ -51,7 +51,7 @@ def bars_from_lineitem(spark: SparkSession, folder: str, by: str = "brand") -> D
         parts = table(spark, folder, "part").select("p_partkey", F.col("p_brand").alias("ticker"))
         items = items.join(parts, items.l_partkey == parts.p_partkey)
     elif by == "part":
-        items = items.withColumn("ticker", F.concat(F.lit("P"), F.col("l_partkey").cast("string")))
+        items = items.withColumn("ticker", F.col("l_partkey"))
     else:
         raise ValueError(f"unknown series key: {by}")
     price = F.try_divide("l_extendedprice", "l_quantity")
@@ -59,7 +59,9 @@ def bars_from_lineitem(spark: SparkSession, folder: str, by: str = "brand") -> D
     within = cents.cast("decimal(14,0)") * F.lit(10**5) + F.col("l_quantity").cast("decimal(5,0)")
     position = F.col("l_orderkey").cast("decimal(19,0)") * F.lit(Decimal(10**19)) + within
     position = position.cast("decimal(38,0)")
-    return _bars(items, price, position, F.sum("l_quantity"))
+    found = _bars(items, price, position, F.sum("l_quantity"))
+    # the number travels, its text is made from it afterwards
+    return found if by == "brand" else found.withColumn("ticker", F.concat(F.lit("P"), F.col("ticker").cast("string")))
 
 
 def bars_from_events(spark: SparkSession, folder: str, by: str = "event_type") -> DataFrame:
